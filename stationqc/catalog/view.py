@@ -60,5 +60,5 @@ def readings(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
 def telemetry(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     """Telemetry of the scored day and its context, one row per slot, as the operators take it."""
     return readings(spark, sf_dir, model).withColumns(
-        {"qod_date": F.lit(QOD_DATE).cast("date"), "sec": epoch_seconds("utc_datetime")}
+        {"qod_date": F.lit(QOD_DATE).cast("date"), "sec": F.expr(epoch_seconds("utc_datetime"))}
     )

@@ -1,10 +1,13 @@
-"""Column expressions used by more than one operator."""
+"""Spark SQL expression snippets used by more than one operator.
+
+Operators state their columns as SQL expressions and add them a level at a time (:func:`extend`): a level is one
+projection or one Window node however many columns it has, which keeps plans of this width short.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,74 +15,78 @@ from pyspark.sql import functions as F
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
-def epoch_seconds(column: str) -> Column:
-    """Whole seconds since 1970 of a timestamp without time zone."""
-    return F.expr(f"timestampdiff(SECOND, {EPOCH}, {column})")
+def extend(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add columns, or replace those that exist, in one projection."""
+    kept = [f"`{c}`" for c in df.columns if c not in columns]
+    return df.selectExpr(*kept, *[f"{sql} AS `{name}`" for name, sql in columns.items()])
 
 
-def timestamp_of(seconds: Column | str) -> Column:
-    """Inverse of :func:`epoch_seconds`."""
-    sec = F.col(seconds) if isinstance(seconds, str) else seconds
-    return F.timestamp_add("SECOND", sec, F.expr(EPOCH))
+def named(expressions: Mapping[str, str]) -> list[Column]:
+    """The same as Columns, for ``agg``."""
+    return [F.expr(sql).alias(name) for name, sql in expressions.items()]
+
 
+def epoch_seconds(timestamp: str) -> str:
+    """Whole seconds since 1970 of a timestamp without time zone."""
+    return f"timestampdiff(SECOND, {EPOCH}, {timestamp})"
 
-def day_start(sec: Column) -> Column:
-    return sec - sec % 86400
 
+def timestamp_of(seconds: str) -> str:
+    """Inverse of :func:`epoch_seconds`."""
+    return f"timestampadd(SECOND, {seconds}, {EPOCH})"
 
-def hour_start(sec: Column) -> Column:
-    return sec - sec % 3600
 
+def floor_to(sec: str, seconds: int | str) -> str:
+    return f"({sec} - {sec} % {seconds})"
 
-def rint2(value: Column) -> Column:
-    """Round half-even to two decimals.
 
-    Averages of short decimals land on exact halves; summation noise far below the ninth decimal is
-    removed first, so the side a half falls to does not depend on the order rows were added up in.
-    """
-    return F.rint(F.round(value, 9) * 100) / 100
+def number(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def any_of(conditions: Iterable[str]) -> str:
+    return "(" + " OR ".join(conditions) + ")"
 
 
-def yes(condition: Column) -> Column:
+def yes(condition: str) -> str:
     """A condition that is false when unknown."""
-    return F.coalesce(condition, F.lit(False))
+    return f"coalesce({condition}, false)"
 
 
-def flag(condition: Column, code: int = 1) -> Column:
+def flag(condition: str, code: int = 1) -> str:
     """``code`` where the condition holds, 0 where it does not or is unknown."""
-    return F.when(condition, F.lit(code)).otherwise(F.lit(0))
+    return f"if({condition}, {code}, 0)"
 
 
-def wind_u(speed: Column, direction: Column) -> Column:
-    return -speed * F.sin(direction * F.lit(math.pi) / F.lit(180.0))
+def rint2(value: str) -> str:
+    """Round half-even to two decimals.
+
+    Averages of short decimals land on exact halves; summation noise far below the ninth decimal is removed first, so
+    the side a half falls to does not depend on the order rows were added up in.
+    """
+    return f"(rint(round({value}, 9) * 100) / 100)"
+
 
+def wind_u(speed: str, direction: str) -> str:
+    return f"(-{speed} * sin({direction} * {math.pi!r}D / 180D))"
 
-def wind_v(speed: Column, direction: Column) -> Column:
-    return -speed * F.cos(direction * F.lit(math.pi) / F.lit(180.0))
 
+def wind_v(speed: str, direction: str) -> str:
+    return f"(-{speed} * cos({direction} * {math.pi!r}D / 180D))"
 
-def vector_speed(u: Column, v: Column) -> Column:
-    return rint2(F.sqrt(u * u + v * v))
 
+def vector_speed(u: str, v: str) -> str:
+    return rint2(f"sqrt({u} * {u} + {v} * {v})")
 
-def vector_direction(u: Column, v: Column) -> Column:
+
+def vector_direction(u: str, v: str) -> str:
     """Bearing the wind comes from; a mean of exactly 180 stays as it is."""
-    bearing = F.degrees(F.atan2(u, v))
-    return rint2(F.when(bearing < 180, bearing + 180).when(bearing > 180, bearing - 180).otherwise(bearing))
+    bearing = f"degrees(atan2({u}, {v}))"
+    return rint2(f"({bearing} + CASE WHEN {bearing} < 180 THEN 180D WHEN {bearing} > 180 THEN -180D ELSE 0D END)")
 
 
-def json_pairs(pairs: Column) -> Column:
+def json_pairs(pairs: str) -> str:
     """``[["CODE", 5.0], ...]`` text of an array of (code, pct) structs."""
-    items = F.transform(
-        pairs,
-        lambda x: F.concat(F.lit('["'), x["code"], F.lit('", '), x["pct"].cast("string"), F.lit("]")),
+    return (
+        f"concat('[', array_join(transform({pairs}, x -> concat('[\"', x.code, '\", ', string(x.pct), ']')), ', '), ']')"
     )
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
-
-
-def add(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.withColumns(columns) if columns else df

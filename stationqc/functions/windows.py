@@ -1,55 +1,57 @@
 """Window frames over one station-day.
 
-``rangeBetween`` frames with both ends moving re-scan the whole frame for every row. Most checks here need
-only counts or "the latest ... up to", which frames growing from the start of the series give in one pass;
-a count over a moving window is then the difference of two growing counts.
+Frames with both ends moving re-scan the whole frame for every row. Most checks here need only counts or "the latest
+... up to", which frames growing from the start of the series give in one pass; a count over a moving window is then
+the difference of two growing counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Window, WindowSpec
-
 KEYS = ("device_id", "qod_date")
-START = Window.unboundedPreceding
-END = Window.unboundedFollowing
 
+EVERYTHING = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
-def timeline(keys: Sequence[str] = KEYS, order: str = "sec") -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(order)
 
+def last_rows(n: int) -> str:
+    """This row and the ``n`` above it."""
+    return f"ROWS BETWEEN {n} PRECEDING AND CURRENT ROW"
 
-def everything(w: WindowSpec) -> WindowSpec:
-    """All rows of the series."""
-    return w.rowsBetween(START, END)
 
+def older_than(seconds: int) -> str:
+    """Rows with a time before ``now - seconds``."""
+    return f"RANGE BETWEEN UNBOUNDED PRECEDING AND {seconds + 1} PRECEDING"
 
-def so_far(w: WindowSpec) -> WindowSpec:
-    """All rows up to and including this one."""
-    return w.rowsBetween(START, 0)
 
+def until(seconds: int) -> str:
+    """Rows with a time up to ``now + seconds``."""
+    return f"RANGE BETWEEN UNBOUNDED PRECEDING AND {seconds} FOLLOWING"
 
-def earlier(w: WindowSpec) -> WindowSpec:
-    """All rows above this one."""
-    return w.rowsBetween(START, -1)
 
+def last_seconds(seconds: int) -> str:
+    """Moving window ``(now - seconds, now]``."""
+    return f"RANGE BETWEEN {seconds - 1} PRECEDING AND CURRENT ROW"
 
-def older_than(w: WindowSpec, seconds: int) -> WindowSpec:
-    """Rows with a time before ``now - seconds``."""
-    return w.rangeBetween(START, -seconds - 1)
 
+def past_seconds(seconds: int) -> str:
+    """Moving window ``[now - seconds, now)``."""
+    return f"RANGE BETWEEN {seconds} PRECEDING AND 1 PRECEDING"
 
-def until(w: WindowSpec, seconds: int) -> WindowSpec:
-    """Rows with a time up to ``now + seconds``."""
-    return w.rangeBetween(START, seconds)
 
+class Timeline:
+    """The series of one station-day (or one of its variables) in time order."""
 
-def last_seconds(w: WindowSpec, seconds: int) -> WindowSpec:
-    """Moving window ``(now - seconds, now]``."""
-    return w.rangeBetween(-seconds + 1, 0)
+    def __init__(self, keys: Sequence[str] = KEYS, order: str = "sec") -> None:
+        self.spec = f"PARTITION BY {', '.join(keys)} ORDER BY {order}"
 
+    def over(self, function: str, frame: str = "") -> str:
+        return f"{function} OVER ({self.spec} {frame})"
 
-def past_seconds(w: WindowSpec, seconds: int) -> WindowSpec:
-    """Moving window ``[now - seconds, now)``."""
-    return w.rangeBetween(-seconds, -1)
+    def lag(self, value: str) -> str:
+        return self.over(f"lag({value})")
+
+    def lead(self, value: str) -> str:
+        return self.over(f"lead({value})")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stationqc.functions.columns import json_pairs
+from stationqc.functions.columns import extend, json_pairs
 from stationqc.params import VARIABLES
 
 # Fault codes as users see them, in output order.
@@ -22,74 +21,63 @@ RAW_CODES = {
 }
 BIN_CODES = {"invalid": "ANOMALOUS_INCREASE", "unidentified": "UNIDENTIFIED_ANOMALOUS_CHANGE"}
 BIN_TEXTS = {
-    "invalid": "ANOMALOUS_INCREASE",
-    "short": "NO_DATA_MIN",
-    "unidentified": "UNIDENTIFIED_ANOMALOUS_INCREASE",
+    "jump__invalid": "ANOMALOUS_INCREASE",
+    "ann_all_from_raw": "NO_DATA_MIN",
+    "jump__unidentified": "UNIDENTIFIED_ANOMALOUS_INCREASE",
 }
 HOURS_PER_DAY = 24
 
-CODES_TYPE = "array<struct<code:string,pct:double>>"
+NO_CODES = "CAST(array() AS array<struct<code:string,pct:double>>)"
 
 
 def text_annotation(df: DataFrame, columns: Sequence[str] = VARIABLES) -> DataFrame:
     """``{p}__text``: codes of the flags that are set, joined by commas; empty for a clean reading."""
-    return df.withColumns(
-        {
-            f"{p}__text": F.concat_ws(
-                ",", *[F.when(F.col(f"{p}__{f}") > 0, F.lit(code)) for f, code in RAW_CODES.items()]
-            )
-            for p in columns
-        }
-    )
+
+    def text(p: str) -> str:
+        return ", ".join(f"if({p}__{f} > 0, '{code}', NULL)" for f, code in RAW_CODES.items())
+
+    return extend(df, {f"{p}__text": f"concat_ws(',', {text(p)})" for p in columns})
 
 
-def append_text(text: Column, condition: Column, code: str) -> Column:
+def append_text(text: str, condition: str, code: str) -> str:
     """Add a code to a comma-joined text unless the text already contains it."""
-    joined = F.when(text == "", F.lit(code)).otherwise(F.concat(text, F.lit(f",{code}")))
-    return F.when((condition > 0) & ~text.contains(code), joined).otherwise(text)
+    return (
+        f"CASE WHEN NOT coalesce({condition}, false) OR contains({text}, '{code}') THEN {text} "
+        f"WHEN {text} = '' THEN '{code}' ELSE concat({text}, ',{code}') END"
+    )
 
 
-def codes_of(counts: dict[str, Column], total: Column) -> Column:
-    """Array of (code, pct) for the codes with a count, pct of the total to one decimal, in the order given."""
-    shares = [
-        F.struct(
-            F.lit(code).alias("code"),
-            F.bround(F.try_divide(n.cast("double"), total.cast("double")) * 100, 1).alias("pct"),
-        )
+def codes_of(counts: Mapping[str, str], total: str) -> str:
+    """Array of (code, pct) for the codes with a count; pct of the total, half-even to one decimal."""
+    shares = ", ".join(
+        f"struct('{code}' AS code, bround(try_divide(double({n}), double({total})) * 100, 1) AS pct)"
         for code, n in counts.items()
-    ]
-    every = F.filter(F.array(*shares), lambda s: s["pct"] > 0)
-    return F.coalesce(every, F.expr(f"cast(array() as {CODES_TYPE})"))
+    )
+    return f"coalesce(filter(array({shares}), x -> x.pct > 0), {NO_CODES})"
 
 
-def daily_param_codes(hourly: Column) -> Column:
-    """(code, pct) over a day from its hours' lists (array of arrays, in hour order).
+def daily_param_codes(hourly: str) -> str:
+    """(code, pct) over a day from its hours' lists (an array of arrays in hour order).
 
     Always a 24th per hour, however many hours there are; codes in the order they first appear. The sum runs hour by
     hour, so its digits do not depend on how the data were partitioned.
     """
-    flat = F.flatten(hourly)
-    codes = F.array_distinct(F.transform(flat, lambda x: x["code"]))
-
-    def share(code: Column) -> Column:
-        same = F.filter(flat, lambda x: x["code"] == code)
-        return F.aggregate(same, F.lit(0.0), lambda total, x: total + x["pct"] / HOURS_PER_DAY)
-
-    return F.transform(codes, lambda c: F.struct(c.alias("code"), share(c).alias("pct")))
+    flat = f"flatten({hourly})"
+    share = (
+        f"aggregate(filter({flat}, x -> x.code = c), 0D, (total, x) -> total + x.pct / {HOURS_PER_DAY})"
+    )
+    return f"transform(array_distinct(transform({flat}, x -> x.code)), c -> struct(c AS code, {share} AS pct))"
 
 
-def daily_codes_json(daily: dict[str, Column]) -> Column:
+def daily_codes_json(daily: Mapping[str, str]) -> str:
     """``{"CODE": [["variable", pct], ...], ...}`` over all variables; codes sorted, variables in the order given."""
-    codes = F.array_sort(
-        F.array_distinct(F.flatten(F.array(*[F.transform(c, lambda x: x["code"]) for c in daily.values()])))
+    codes = ", ".join(f"transform({pairs}, x -> x.code)" for pairs in daily.values())
+    holders = ", ".join(
+        f"transform(filter({pairs}, x -> x.code = c), x -> struct('{p}' AS code, x.pct AS pct))"
+        for p, pairs in daily.items()
     )
-
-    def holder(variable: str, pairs: Column, code: Column) -> Column:
-        own = F.filter(pairs, lambda x: x["code"] == code)
-        return F.transform(own, lambda x: F.struct(F.lit(variable).alias("code"), x["pct"].alias("pct")))
-
-    def holders(code: Column) -> Column:
-        return F.flatten(F.array(*[holder(p, c, code) for p, c in daily.items()]))
-
-    members = F.transform(codes, lambda c: F.concat(F.lit('"'), c, F.lit('": '), json_pairs(holders(c))))
-    return F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+    members = (
+        f"transform(array_sort(array_distinct(flatten(array({codes})))), "
+        f"c -> concat('\"', c, '\": ', {json_pairs(f'flatten(array({holders}))')}))"
+    )
+    return f"concat('{{', array_join({members}, ', '), '}}')"

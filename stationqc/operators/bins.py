@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from stationqc.functions.columns import (
     any_of,
+    extend,
     flag,
+    floor_to,
+    named,
+    number,
     rint2,
     vector_direction,
     vector_speed,
@@ -20,9 +23,9 @@ from stationqc.functions.columns import (
     wind_v,
     yes,
 )
-from stationqc.functions.windows import KEYS, timeline
+from stationqc.functions.windows import KEYS, Timeline
 from stationqc.operators.annotate import BIN_TEXTS, append_text
-from stationqc.operators.jumps import RAW_FLAGS, JumpRule, jump_flags, rolling_medians
+from stationqc.operators.jumps import RAW_FLAGS, JumpRule, search_jumps
 from stationqc.params import (
     GAUGE_MM,
     JUMPING,
@@ -34,73 +37,70 @@ from stationqc.params import (
     VariableParams,
 )
 
+SEARCHED = "parameter IN (" + ", ".join(f"'{p}'" for p in JUMPING) + ")"
 
-def by_parameter(params: ModelParams, value: Callable[[VariableParams], float | None], kind: str = "double") -> Column:
+
+def by_parameter(params: ModelParams, value: Callable[[VariableParams], float | None]) -> str:
     """A parameter-table value for the row's ``parameter``."""
-    chosen = F.lit(None).cast(kind)
-    for v in params.variables:
-        chosen = F.when(F.col("parameter") == v.parameter, F.lit(value(v)).cast(kind)).otherwise(chosen)
-    return chosen
+    cases = " ".join(f"WHEN '{v.parameter}' THEN {number(value(v))}" for v in params.variables)
+    return f"(CASE parameter {cases} END)"
 
 
-def time_bins(sec: Column, minutes: int) -> Column:
-    return sec - sec % (minutes * 60)
+def per_kind(speed: str, direction: str, rain: str, scalar: str) -> str:
+    return (
+        f"CASE parameter WHEN 'wind_speed' THEN {speed} WHEN 'wind_direction' THEN {direction} "
+        f"WHEN '{RAIN}' THEN {rain} ELSE {scalar} END"
+    )
 
 
 def readings_by_parameter(
     df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False
 ) -> DataFrame:
     """One row per slot and variable, with the bin it falls into. Needs the raw flags of all variables."""
-    u, v = wind_u(F.col("wind_speed"), F.col("wind_direction")), wind_v(F.col("wind_speed"), F.col("wind_direction"))
-    nothing = F.lit(None).cast("double")
+    nothing = "CAST(NULL AS DOUBLE)"
 
-    def reading(p: str) -> Column:
+    def reading(p: str) -> str:
         fields = {
-            "parameter": F.lit(p),
-            "bin": time_bins(F.col("sec"), params.of(p).bin_minutes),
-            "value": F.col(p),
-            "u": u if p in WIND else nothing,
-            "v": v if p in WIND else nothing,
-            "rain": F.col("precip_diff") if p == RAIN else nothing,
-            "faulty": F.col(f"{p}__faulty"),
+            "parameter": f"'{p}'",
+            "bin": floor_to("sec", params.of(p).bin_minutes * 60),
+            "value": p,
+            "u": wind_u(*WIND) if p in WIND else nothing,
+            "v": wind_v(*WIND) if p in WIND else nothing,
+            "rain": "precip_diff" if p == RAIN else nothing,
+            "faulty": f"{p}__faulty",
         }
-        fields |= {f: F.coalesce(F.col(f"{p}__{f}"), F.lit(0)) for f in RAW_FLAGS}
+        fields |= {f: f"coalesce({p}__{f}, 0)" for f in RAW_FLAGS}
         if texts:
-            fields["text"] = F.col(f"{p}__text")
-        return F.struct(*[c.alias(n) for n, c in fields.items()])
+            fields["text"] = f"{p}__text"
+        return f"struct({', '.join(f'{sql} AS {name}' for name, sql in fields.items())})"
 
-    return df.select(
-        *keys, "model", "sec", "first_sec", "last_sec", F.inline(F.array(*[reading(p) for p in VARIABLES]))
-    )
+    readings = ", ".join(reading(p) for p in VARIABLES)
+    return df.selectExpr(*keys, "model", "sec", "first_sec", "last_sec", f"inline(array({readings}))")
 
 
-def bin_readings(
-    long: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False
-) -> DataFrame:
+def bin_readings(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False) -> DataFrame:
     """Counts, plain and clean means, rain sums and flag counts per bin: one hash aggregate for all of them."""
-    clean = F.col("faulty") == 0
     rain_limit = by_parameter(params, lambda v: v.bin_minutes * 60 * GAUGE_MM)
-    fell = (F.col("rain") > 0) & (F.col("rain") <= rain_limit)
     aggregates = {
-        "num_time_slots": F.count("value"),
-        "num_total_slots": F.count(F.lit(1)),
-        "num_faulty": F.sum("faulty"),
-        "mean": F.avg("value"),
-        "mean_clean": F.avg(F.when(clean, F.col("value"))),
-        "u": F.avg("u"),
-        "v": F.avg("v"),
-        "u_clean": F.avg(F.when(clean, F.col("u"))),
-        "v_clean": F.avg(F.when(clean, F.col("v"))),
-        "rain": F.sum(F.when(fell, F.col("rain"))),
-        "first_sec": F.max("first_sec"),
-        "last_sec": F.max("last_sec"),
+        "num_time_slots": "count(value)",
+        "num_total_slots": "count(1)",
+        "num_faulty": "sum(faulty)",
+        "mean": "avg(value)",
+        "mean_clean": "avg(if(faulty = 0, value, NULL))",
+        "u": "avg(u)",
+        "v": "avg(v)",
+        "u_clean": "avg(if(faulty = 0, u, NULL))",
+        "v_clean": "avg(if(faulty = 0, v, NULL))",
+        "rain": f"sum(if(rain > 0 AND rain <= {rain_limit}, rain, NULL))",
+        "first_sec": "max(first_sec)",
+        "last_sec": "max(last_sec)",
     }
-    aggregates |= {f"n_{f}": F.count(F.when(F.col(f) > 0, 1)) for f in RAW_FLAGS}
+    aggregates |= {f"n_{f}": f"count(if({f} > 0, 1, NULL))" for f in RAW_FLAGS}
     if texts:
-        # At most the slots of one bin (20 at most): bounded by the sampling step.
-        ordered = F.transform(F.array_sort(F.collect_list(F.struct("sec", "text"))), lambda x: x["text"])
-        aggregates["annotation"] = F.ltrim(F.array_join(ordered, ","), F.lit(","))
-    return long.groupBy(*keys, "model", "parameter", "bin").agg(*[c.alias(n) for n, c in aggregates.items()])
+        # One entry per slot of the bin: 20 at most.
+        ordered = "transform(array_sort(collect_list(struct(sec, text))), x -> x.text)"
+        aggregates["annotation"] = f"ltrim(',', array_join({ordered}, ','))"
+    return df.groupBy(*keys, "model", "parameter", "bin").agg(*named(aggregates))
 
 
 def bin_means(df: DataFrame, params: ModelParams) -> DataFrame:
@@ -109,135 +109,112 @@ def bin_means(df: DataFrame, params: ModelParams) -> DataFrame:
     Scalars are averaged, wind by its vector. The corrected value uses clean readings only and is null unless more than
     the required share is clean. Wind rows carry both ``speed_avg`` and ``direction_avg``.
     """
-    enough = (F.col("num_total_slots") - F.col("num_faulty")) / F.col("num_total_slots") > by_parameter(
-        params, lambda v: v.bin_availability
-    )
-    parameter = F.col("parameter")
-    rain = F.coalesce(F.col("rain"), F.lit(0.0))
-
-    def choose(speed: Column, direction: Column, scalar: Column) -> Column:
-        return (
-            F.when(parameter == "wind_speed", speed).when(parameter == "wind_direction", direction).otherwise(scalar)
-        )
-
-    df = df.withColumns(
+    required = by_parameter(params, lambda v: v.bin_availability)
+    enough = f"(num_total_slots - num_faulty) / num_total_slots > {required}"
+    df = extend(
+        df,
         {
-            "speed_avg": vector_speed(F.col("u"), F.col("v")),
-            "direction_avg": vector_direction(F.col("u"), F.col("v")),
-            "speed_avg_corrected": F.when(enough, vector_speed(F.col("u_clean"), F.col("v_clean"))),
-            "direction_avg_corrected": F.when(enough, vector_direction(F.col("u_clean"), F.col("v_clean"))),
-        }
+            "speed_avg": vector_speed("u", "v"),
+            "direction_avg": vector_direction("u", "v"),
+            "speed_avg_corrected": f"if({enough}, {vector_speed('u_clean', 'v_clean')}, NULL)",
+            "direction_avg_corrected": f"if({enough}, {vector_direction('u_clean', 'v_clean')}, NULL)",
+            "mean": rint2("mean"),
+            "mean_clean": f"if({enough}, {rint2('mean_clean')}, NULL)",
+            "rain": "coalesce(rain, 0D)",
+        },
     )
-    return df.withColumns(
+    return extend(
+        df,
         {
-            "avg": F.when(parameter == RAIN, rain).otherwise(
-                choose(F.col("speed_avg"), F.col("direction_avg"), rint2(F.col("mean")))
-            ),
-            "avg_corrected": F.when(parameter == RAIN, rain).otherwise(
-                choose(
-                    F.col("speed_avg_corrected"),
-                    F.col("direction_avg_corrected"),
-                    F.when(enough, rint2(F.col("mean_clean"))),
-                )
-            ),
-            "u": rint2(F.col("u")),
-            "v": rint2(F.col("v")),
-        }
+            "avg": per_kind("speed_avg", "direction_avg", "rain", "mean"),
+            "avg_corrected": per_kind("speed_avg_corrected", "direction_avg_corrected", "rain", "mean_clean"),
+            "u": rint2("u"),
+            "v": rint2("v"),
+        },
     )
 
 
 def bin_jumps(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
     """Jump search over the bin averages, all parameters at once.
 
-    Adds ``jump__*`` columns as :func:`stationqc.operators.jumps.jump_flags` does; null for wind direction and rain.
+    Adds ``jump__*`` columns as :func:`stationqc.operators.jumps.search_jumps` does; null for wind direction and rain.
     """
-    w = timeline((*keys, "parameter"), "bin")
-    searched = F.col("parameter").isin(*JUMPING)
-    df = df.withColumns(
+    df = extend(
+        df,
         {
-            "_jump_value": F.when(searched, F.col("avg")),
+            "_value": f"if({SEARCHED}, avg, NULL)",
             "_threshold": by_parameter(params, lambda v: v.bin_jump),
-            "_availability": by_parameter(params, lambda v: v.median_availability),
+            "_required": by_parameter(params, lambda v: v.median_availability),
             "_possible": by_parameter(params, lambda v: params.median_minutes / v.bin_minutes),
-        }
-    )
-    rule = JumpRule(
-        "jump", "_jump_value", F.col("_threshold"), F.col("_availability"), F.col("_possible"), decimals=True
+        },
     )
-    df = jump_flags(rolling_medians(df, [rule], params.median_minutes * 60, w), [rule], w)
-    return df.withColumns(
-        {f"jump__{c}": F.when(searched, F.col(f"jump__{c}")) for c in ("couple", "invalid", "unidentified")}
-    ).drop("_jump_value", "_threshold", "_availability", "_possible")
+    rule = JumpRule("jump", "_value", "_threshold", "_required", "_possible", decimals=True)
+    df = search_jumps(df, [rule], params.median_minutes * 60, Timeline((*keys, "parameter"), "bin"))
+    flags = ("couple", "invalid", "unidentified")
+    df = extend(df, {f"jump__{c}": f"if({SEARCHED}, jump__{c}, NULL)" for c in flags})
+    return df.drop("_value", "_threshold", "_required", "_possible")
 
 
 def no_bin_jumps(df: DataFrame) -> DataFrame:
     """For a model without bin thresholds: nothing can be flagged."""
-    return df.withColumns({"jump__invalid": F.lit(0), "jump__unidentified": F.lit(0)})
+    return extend(df, {"jump__invalid": "0", "jump__unidentified": "0"})
 
 
 def has_bin_jumps(params: ModelParams) -> bool:
     return any(v.bin_jump is not None for v in params.variables)
 
 
+VALID = "double(num_total_slots - num_faulty)"
+SHARE = f"try_divide({VALID}, double(num_total_slots))"
+PERCENT = rint2(f"try_divide({VALID} * 100, double(num_total_slots))")
+
+
 def bin_availability(df: DataFrame, params: ModelParams) -> DataFrame:
     """``ann_all_from_raw``: too few clean readings; ``valid_percentage`` to two decimals."""
-    valid, total = F.col("num_total_slots") - F.col("num_faulty"), F.col("num_total_slots")
     required = by_parameter(params, lambda v: v.bin_availability)
-    return df.withColumns(
-        {
-            "ann_all_from_raw": flag(F.try_divide(valid.cast("double"), total.cast("double")) < required),
-            "valid_percentage": rint2(F.try_divide((valid * 100).cast("double"), total.cast("double"))),
-        }
-    )
+    return extend(df, {"ann_all_from_raw": flag(f"{SHARE} < {required}"), "valid_percentage": PERCENT})
 
 
 def bin_availability_rewards(df: DataFrame, params: ModelParams) -> DataFrame:
     """The reward twin: a bin over the required share counts in full."""
-    valid, total = F.col("num_total_slots") - F.col("num_faulty"), F.col("num_total_slots")
-    share = F.try_divide(valid.cast("double"), total.cast("double"))
     required = by_parameter(params, lambda v: v.bin_availability)
-    return df.withColumns(
+    return extend(
+        df,
         {
-            "ann_all_from_raw_rewards": flag(share < required),
-            "valid_percentage_rewards": F.when(share > required, F.lit(100.0)).otherwise(
-                rint2(F.try_divide((valid * 100).cast("double"), total.cast("double")))
-            ),
-        }
+            "ann_all_from_raw_rewards": flag(f"{SHARE} < {required}"),
+            "valid_percentage_rewards": f"if({SHARE} > {required}, 100D, {PERCENT})",
+        },
     )
 
 
 def bin_total(df: DataFrame) -> DataFrame:
     """``ann_total`` / ``ann_total_rewards``: the bin is unusable for any reason."""
-    jumped = any_of(yes(F.col(f"jump__{c}") > 0) for c in ("invalid", "unidentified"))
-    return df.withColumns(
+    jumped = any_of(yes(f"jump__{c} > 0") for c in ("invalid", "unidentified"))
+    return extend(
+        df,
         {
-            "ann_total": flag((F.col("ann_all_from_raw") > 0) | jumped),
-            "ann_total_rewards": flag((F.col("ann_all_from_raw_rewards") > 0) | jumped),
-        }
+            "ann_total": flag(f"ann_all_from_raw > 0 OR {jumped}"),
+            "ann_total_rewards": flag(f"ann_all_from_raw_rewards > 0 OR {jumped}"),
+        },
     )
 
 
 def bin_annotation_update(df: DataFrame) -> DataFrame:
     """Append the bin-level codes to the bin's text, in a fixed order."""
-    conditions = {
-        "invalid": F.coalesce(F.col("jump__invalid"), F.lit(0)),
-        "short": F.col("ann_all_from_raw"),
-        "unidentified": F.coalesce(F.col("jump__unidentified"), F.lit(0)),
-    }
-    for name, code in BIN_TEXTS.items():
-        df = df.withColumn("annotation", append_text(F.col("annotation"), conditions[name], code))
+    for column, code in BIN_TEXTS.items():
+        df = extend(df, {"annotation": append_text("annotation", f"{column} > 0", code)})
     return df
 
 
-def warmup(params: ModelParams) -> Column:
+def warmup(params: ModelParams) -> str:
     """True for bins of the context at the start of a series, which serve the windows only and are not scored.
 
     The context is counted from the first bin there is.
     """
-    seconds = by_parameter(params, lambda v: v.bin_minutes * 60, "bigint")
-    first_bin = F.col("first_sec") - F.col("first_sec") % seconds
-    return F.col("bin") <= first_bin + (WARMUP_MINUTES - 1) * 60
+    cases = " ".join(f"WHEN '{v.parameter}' THEN {v.bin_minutes * 60}L" for v in params.variables)
+    first_bin = floor_to("first_sec", f"(CASE parameter {cases} END)")
+    return f"(bin <= {first_bin} + {(WARMUP_MINUTES - 1) * 60})"
 
 
 def warmup_trim(df: DataFrame, params: ModelParams) -> DataFrame:
-    return df.filter(~warmup(params))
+    return df.filter(f"NOT {warmup(params)}")

@@ -2,105 +2,114 @@
 
 A window ``[t - w, t)`` is *constant* when its non-null readings are all equal and *full* when it holds as many
 non-null readings as the last window of the series has rows. Both follow from counts kept from the start of the
-series: ``seen`` readings before ``t``, ``seen`` before ``t - w``, and the number of the reading at which the
-current run of equal readings began. A hit at ``t`` then marks the readings of the window before it.
+series: ``seen_before`` readings before ``t``, ``seen_before_{m}`` before ``t - w``, and the number of the reading at
+which the current run of equal readings began. A hit at ``t`` then marks the readings of the window before it.
 
-Median conditions only compare a median with a limit, so counting readings below the limit decides them, save when
-exactly half are below; only neighbourhoods where that happens get a real median (:func:`settle_medians`).
+Median conditions only compare a median with a limit, so counting readings on the low side decides them, save when
+exactly half are; only series where that happens get real medians (:func:`settle_medians`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, WindowSpec
-from pyspark.sql import functions as F
-
-from stationqc.functions.columns import any_of, flag, yes
-from stationqc.functions.windows import KEYS, earlier, everything, older_than, past_seconds, so_far, timeline, until
+from pyspark.sql import DataFrame
+
+from stationqc.functions.columns import any_of, extend, flag, number, yes
+from stationqc.functions.windows import (
+    EARLIER,
+    EVERYTHING,
+    KEYS,
+    SO_FAR,
+    Timeline,
+    older_than,
+    past_seconds,
+    until,
+)
 from stationqc.params import (
     CODE_CONSTANT,
     CODE_FROZEN,
     FREEZING,
     HUMIDITY_CEILING,
+    RAIN,
     STICKING,
     STUCK_WINDOWS,
+    WIND,
     WIND_HUMIDITY_CEILING,
     ModelParams,
 )
 
+KINDS = ("const", "long", "frozen")
+
+
+# ---- building blocks ---------------------------------------------------------------------------
 
-def const_window_rows(
-    df: DataFrame, minutes: Sequence[int] = STUCK_WINDOWS, keys: Sequence[str] = KEYS
-) -> DataFrame:
+
+def window_rows(t: Timeline, minutes: Sequence[int] = STUCK_WINDOWS) -> dict[str, str]:
     """``rows_{m}``: rows in the window before the series' last timestamp, i.e. what a full window holds."""
-    whole = everything(timeline(keys))
-    if "last_sec" not in df.columns:
-        df = df.withColumn("last_sec", F.max("sec").over(whole))
-    sec, last = F.col("sec"), F.col("last_sec")
-    return df.withColumns(
-        {f"rows_{m}": F.count(F.when((sec >= last - m * 60) & (sec < last), 1)).over(whole) for m in minutes}
-    )
+    return {
+        f"rows_{m}": t.over(f"count(if(sec >= last_sec - {m * 60} AND sec < last_sec, 1, NULL))", EVERYTHING)
+        for m in minutes
+    }
 
 
-def rolling_non_null(
-    df: DataFrame, minutes: Sequence[int] = STUCK_WINDOWS, present: str = "present", keys: Sequence[str] = KEYS
-) -> DataFrame:
-    """``seen``, ``seen_before`` and, per window, ``seen_before_{m}`` (readings older than it) and ``count_{m}``."""
-    w = timeline(keys)
-    one = F.when(F.col(present), 1)
-    df = df.withColumns(
-        {"seen": F.count(one).over(so_far(w)), "seen_before": F.count(one).over(older_than(w, 0))}
-        | {f"seen_before_{m}": F.count(one).over(older_than(w, m * 60)) for m in minutes}
-    )
-    return df.withColumns({f"count_{m}": F.col("seen_before") - F.col(f"seen_before_{m}") for m in minutes})
+def readings_seen(t: Timeline, minutes: Sequence[int] = STUCK_WINDOWS, present: str = "present") -> dict[str, str]:
+    """Readings so far, before now, and older than each window."""
+    count = f"count(if({present}, 1, NULL))"
+    return {
+        "seen": t.over(count, SO_FAR),
+        "seen_before": t.over(count, older_than(0)),
+    } | {f"seen_before_{m}": t.over(count, older_than(m * 60)) for m in minutes}
 
 
-def run_starts(df: DataFrame, columns: Sequence[str] = STICKING, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``{p}__run``: number (in ``seen``) of the reading that opened the run of equal readings before ``t``.
+def in_window(minutes: int) -> str:
+    return f"(seen_before - seen_before_{minutes})"
 
-    Needs :func:`rolling_non_null`.
-    """
-    w = timeline(keys)
-    previous = F.last(F.when(F.col("present"), F.struct(*[F.col(f"{p}__filled") for p in columns])), ignorenulls=True)
-    df = df.withColumn("_previous", previous.over(earlier(w)))
-    changed = {
-        p: F.col("present")
-        & (F.col("_previous").isNull() | (F.col(f"{p}__filled") != F.col(f"_previous.{p}__filled")))
+
+def last_reading(t: Timeline, columns: Sequence[str] = STICKING) -> dict[str, str]:
+    """``_previous``: the latest non-null readings above this row."""
+    readings = f"struct({', '.join(f'{p}__filled AS {p}' for p in columns)})"
+    return {"_previous": t.over(f"last(if(present, {readings}, NULL), true)", EARLIER)}
+
+
+def run_starts(t: Timeline, columns: Sequence[str] = STICKING) -> dict[str, str]:
+    """``{p}__run``: number of the reading that opened the run of equal readings before ``t``."""
+    return {
+        f"{p}__run": t.over(
+            f"max(if(present AND (_previous IS NULL OR {p}__filled <> _previous.{p}), seen, NULL))", older_than(0)
+        )
         for p in columns
     }
-    return df.withColumns(
-        {f"{p}__run": F.max(F.when(changed[p], F.col("seen"))).over(older_than(w, 0)) for p in columns}
-    ).drop("_previous")
 
 
-def is_constant(p: str, minutes: int) -> Column:
+def is_constant(p: str, minutes: int) -> str:
     """All readings of the window are equal; false for a window without any."""
-    before = F.col(f"seen_before_{minutes}")
-    return (F.col("seen_before") > before) & (F.col(f"{p}__run") <= before + 1)
+    return f"(seen_before > seen_before_{minutes} AND {p}__run <= seen_before_{minutes} + 1)"
 
 
-def is_full(minutes: int) -> Column:
-    return F.col(f"count_{minutes}") == F.col(f"rows_{minutes}")
+def is_full(minutes: int) -> str:
+    return f"({in_window(minutes)} = rows_{minutes})"
 
 
-def guard(minutes: int) -> Column:
+def guard(minutes: int) -> str:
     """The window reaches no further back than the series does."""
-    return F.col("sec") >= F.col("first_sec") + minutes * 60
+    return f"(sec >= first_sec + {minutes * 60})"
+
+
+def any_hit(hit: str, seconds: int, t: Timeline) -> str:
+    """1 for rows with a hit in the ``seconds`` after them; a hit does not mark its own row."""
+    return flag(f"{t.over(f'max(if({hit}, sec, NULL))', until(seconds))} > sec")
 
 
-def any_hit(hit: Column, seconds: int, w: WindowSpec) -> Column:
-    """1 for rows with a hit in the ``seconds`` after them; the hit row itself is not marked by itself."""
-    return flag(F.max(F.when(hit, F.col("sec"))).over(until(w, seconds)) > F.col("sec"))
+def latest_result(result: str, seconds: int, t: Timeline) -> str:
+    """The latest row's result, as (at, value), up to ``seconds`` after this row; see :func:`if_ahead`."""
+    return t.over(f"last(if({result} IS NULL, NULL, struct(sec AS at, {result} AS value)), true)", until(seconds))
 
 
-def latest_result(result: Column, seconds: int, w: WindowSpec) -> Column:
-    """The non-null result of the latest row within the ``seconds`` after this one, else 0."""
-    latest = F.last(
-        F.when(result.isNotNull(), F.struct(F.col("sec").alias("at"), result.alias("value"))), ignorenulls=True
-    ).over(until(w, seconds))
-    return F.when(latest["at"] > F.col("sec"), latest["value"]).otherwise(0)
+def if_ahead(latest: str) -> str:
+    """That result if it lies after this row, else 0."""
+    return f"if({latest}.at > sec, {latest}.value, 0)"
 
 
 # ---- median conditions -------------------------------------------------------------------------
@@ -114,169 +123,207 @@ class MedianTest:
     column: str
     minutes: int
     limit: float
-    inclusive: bool = False
+    comparison: str
 
-    def holds(self, value: Column) -> Column:
-        return (value <= self.limit) if self.inclusive else (value < self.limit)
+    def holds(self, value: str) -> str:
+        return f"({value} {self.comparison} {number(self.limit)})"
 
 
-DRY_4H = MedianTest("dry_4h", "humidity__filled", 240, HUMIDITY_CEILING)
-DRY_6H = MedianTest("dry_6h", "humidity__filled", 360, WIND_HUMIDITY_CEILING)
-COLD_6H = MedianTest("cold_6h", "temperature__filled", 360, FREEZING, inclusive=True)
-COLD_24H = MedianTest("cold_24h", "temperature__filled", 1440, FREEZING, inclusive=True)
+DRY_4H = MedianTest("dry_4h", "humidity__filled", 240, HUMIDITY_CEILING, "<")
+DRY_6H = MedianTest("dry_6h", "humidity__filled", 360, WIND_HUMIDITY_CEILING, "<")
+COLD_6H = MedianTest("cold_6h", "temperature__filled", 360, FREEZING, "<=")
+COLD_24H = MedianTest("cold_24h", "temperature__filled", 1440, FREEZING, "<=")
 MEDIAN_TESTS = (DRY_4H, DRY_6H, COLD_6H, COLD_24H)
 
 
-def count_below(df: DataFrame, tests: Sequence[MedianTest] = MEDIAN_TESTS, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``{test}__below``: how many readings of the window are on the low side of the limit."""
-    w = timeline(keys)
+def low_counts(t: Timeline, tests: Sequence[MedianTest] = MEDIAN_TESTS) -> dict[str, str]:
+    """``_{test}_low``: how many readings of the window are on the low side of the limit."""
 
-    def low(t: MedianTest, seconds: int) -> Column:
-        return F.count(F.when(t.holds(F.col(t.column)), 1)).over(older_than(w, seconds))
+    def low(test: MedianTest, seconds: int) -> str:
+        return t.over(f"count(if({test.holds(test.column)}, 1, NULL))", older_than(seconds))
 
-    return df.withColumns({f"{t.name}__below": low(t, 0) - low(t, t.minutes * 60) for t in tests})
+    return {f"_{x.name}_low": f"{low(x, 0)} - {low(x, x.minutes * 60)}" for x in tests}
 
 
-def settle_medians(
-    df: DataFrame,
-    candidates: dict[MedianTest, Column],
-    keys: Sequence[str] = KEYS,
-) -> DataFrame:
-    """Adds one boolean column per test, exact on the candidate rows (null for a window without readings).
+def tied_series(t: Timeline, candidates: Mapping[MedianTest, str]) -> dict[str, str]:
+    """``_tied``: some candidate row of the series has exactly half of its readings on the low side."""
+    ties = any_of(yes(f"{c} AND _{x.name}_low * 2 = {in_window(x.minutes)}") for x, c in candidates.items())
+    return {"_tied": t.over(f"max({ties})", EVERYTHING)}
 
-    More than half of the readings on one side of the limit decide the test. With exactly half, the median lies
-    between the two middle readings and has to be computed. Series with such a candidate row keep their rows in one
-    window partition; all other rows become partitions of their own, for which a moving frame costs nothing. Row order
-    and data partitioning stay the same, so this needs no shuffle.
-    """
 
-    def twice_below(t: MedianTest) -> Column:
-        return F.col(f"{t.name}__below") * 2
+def settle_medians(df: DataFrame, tests: Sequence[MedianTest], keys: Sequence[str] = KEYS) -> DataFrame:
+    """One boolean column per test, exact on candidate rows; null for a window without readings.
 
-    tied = any_of(yes(c) & (twice_below(t) == F.col(f"count_{t.minutes}")) for t, c in candidates.items())
-    df = df.withColumn("_tied", F.max(tied).over(everything(timeline(keys))))
-    df = df.withColumn("_part", F.when(F.col("_tied"), F.lit(-1).cast("long")).otherwise(F.col("sec")))
-    alone = timeline((*keys, "_part"))
-    df = df.withColumns(
-        {
-            f"_{t.name}": F.percentile(F.col(t.column), F.lit(0.5)).over(past_seconds(alone, t.minutes * 60))
-            for t in candidates
-        }
+    More than half of the readings on one side of the limit decide a test. With exactly half, the median lies between
+    the two middle readings and is computed: series marked ``_tied`` keep their rows in one window partition, all other
+    rows become partitions of their own, for which a moving frame costs nothing. Row order and data partitioning stay
+    what they are, so this needs no shuffle.
+    """
+    df = extend(df, {"_part": "if(_tied, -1L, sec)"})
+    t = Timeline((*keys, "_part"))
+    df = extend(
+        df,
+        {f"_{x.name}": t.over(f"percentile({x.column}, 0.5D)", past_seconds(x.minutes * 60)) for x in tests},
     )
-    settled = {}
-    for t in candidates:
-        n = F.col(f"count_{t.minutes}")
-        settled[t.name] = (
-            F.when(n == 0, F.lit(None).cast("boolean"))
-            .when(twice_below(t) == n, t.holds(F.col(f"_{t.name}")))
-            .otherwise(twice_below(t) > n)
-        )
-    return df.withColumns(settled).drop("_tied", "_part", *[f"_{t.name}" for t in candidates])
+
+    def settled(x: MedianTest) -> str:
+        n, low = in_window(x.minutes), f"_{x.name}_low * 2"
+        return f"CASE WHEN {n} = 0 THEN NULL WHEN {low} = {n} THEN {x.holds(f'_{x.name}')} ELSE {low} > {n} END"
+
+    df = extend(df, {x.name: settled(x) for x in tests})
+    return df.drop("_part", "_tied", *[f"_{x.name}" for x in tests], *[f"_{x.name}_low" for x in tests])
 
 
 # ---- the checks --------------------------------------------------------------------------------
 
 
-def stuck_hits(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Find the windows that are constant and what that means for each variable.
+def stuck(params: ModelParams, p: str) -> str:
+    m = params.of(p).stuck_minutes
+    return f"({guard(m)} AND {is_full(m)} AND {is_constant(p, m)})"
+
+
+def constant_day(params: ModelParams, p: str) -> str:
+    m = params.of(p).stuck_long_minutes
+    return f"({guard(m)} AND {is_constant(p, m)})"
+
+
+def median_candidates(params: ModelParams) -> dict[MedianTest, str]:
+    """Rows whose verdict depends on each test."""
+    still = any_of(stuck(params, p) for p in WIND)
+    return {
+        DRY_4H: stuck(params, "temperature"),
+        DRY_6H: still,
+        COLD_6H: still,
+        COLD_24H: any_of(constant_day(params, p) for p in WIND),
+    }
+
+
+def verdicts(params: ModelParams) -> dict[str, str]:
+    """What each constant window means.
 
-    Needs :func:`stationqc.operators.fill.fill_gaps`. Adds boolean ``{p}__hit`` / ``{p}__long_hit`` for variables where
-    any hit marks the window before it, and ``{p}__verdict`` (flag code or null) for wind, where the latest counts.
+    Boolean ``{p}__hit`` / ``{p}__long_hit`` where any hit marks the window before it, and ``{p}__verdict`` (flag code
+    or null) for wind, where the latest verdict counts.
     """
-    df = const_window_rows(df, keys=keys)
-    df = rolling_non_null(df, keys=keys)
-    df = count_below(df, keys=keys)
-    df = run_starts(df, keys=keys)
+    warm_dry = "NOT cold_6h AND dry_6h"
+    day = params.of("temperature").stuck_long_minutes
+    by_weather = f"WHEN cold_6h THEN {CODE_FROZEN} WHEN {warm_dry} THEN {CODE_CONSTANT}"
+    moving = f"WHEN _previous.wind_speed <> 0 THEN {CODE_CONSTANT}"
+    return {
+        "humidity__hit": f"{stuck(params, 'humidity')} AND _previous.humidity < {number(HUMIDITY_CEILING)}",
+        "temperature__hit": f"{stuck(params, 'temperature')} AND dry_4h",
+        "temperature__long_hit": f"{constant_day(params, 'temperature')} AND {is_full(day)}",
+        "illuminance__hit": f"{stuck(params, 'illuminance')} AND _previous.illuminance <> 0",
+        "pressure__hit": stuck(params, "pressure"),
+        "wind_direction__long_hit": f"{constant_day(params, 'wind_direction')} AND NOT cold_24h",
+        "wind_speed__long_hit": f"{constant_day(params, 'wind_speed')} AND NOT cold_24h",
+        "wind_direction__verdict": f"if({stuck(params, 'wind_direction')}, CASE {by_weather} END, NULL)",
+        "wind_speed__verdict": f"if({stuck(params, 'wind_speed')}, CASE {moving} {by_weather} END, NULL)",
+    }
+
+
+ANY_HIT = tuple(p for p in STICKING if p not in WIND)
+LONG_CHECKED = ("temperature", *WIND)
+
+
+def spread(params: ModelParams, t: Timeline) -> dict[str, str]:
+    """Verdicts onto the windows before them."""
+    marks = {
+        f"{p}__const": any_hit(f"{p}__hit", params.of(p).stuck_minutes * 60, t) for p in ANY_HIT
+    }
+    marks |= {
+        f"_{p}_latest": latest_result(f"{p}__verdict", params.of(p).stuck_minutes * 60, t) for p in WIND
+    }
+    marks |= {
+        f"{p}__long": any_hit(f"{p}__long_hit", params.of(p).stuck_long_minutes * 60, t) for p in LONG_CHECKED
+    }
+    return marks
+
+
+def constancy_flags() -> dict[str, str]:
+    """The flags that need no window: wind codes from the latest verdict, 0 where a check does not exist."""
+    flags = {f"{p}__{k}": "0" for p in (*STICKING, RAIN) for k in KINDS}
+    for done in (*[f"{p}__const" for p in ANY_HIT], *[f"{p}__long" for p in LONG_CHECKED]):
+        del flags[done]
+    for p in WIND:
+        for kind, code in (("const", CODE_CONSTANT), ("frozen", CODE_FROZEN)):
+            flags[f"{p}__{kind}"] = f"if({if_ahead(f'_{p}_latest')} = {code}, {code}, 0)"
+    return flags
+
+
+def coupled_wind() -> dict[str, str]:
+    return {f"wind_speed__{k}": f"if(wind_direction__{k} = 0, 0, wind_speed__{k})" for k in KINDS}
+
+
+# ---- as DataFrame operators --------------------------------------------------------------------
 
-    def stuck(p: str) -> Column:
-        m = params.of(p).stuck_minutes
-        return guard(m) & is_full(m) & is_constant(p, m)
 
-    def stuck_day(p: str) -> Column:
-        m = params.of(p).stuck_long_minutes
-        return guard(m) & is_constant(p, m)
+def const_window_rows(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    return extend(df, window_rows(Timeline(keys)))
 
-    still = any_of((stuck("wind_direction"), stuck("wind_speed")))
-    df = settle_medians(
+
+def rolling_non_null(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``count_{m}``: readings in each window."""
+    df = extend(df, readings_seen(Timeline(keys)))
+    return extend(df, {f"count_{m}": in_window(m) for m in STUCK_WINDOWS})
+
+
+def rolling_is_constant(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``{p}__constant`` over the variable's own window and ``{p}__constant_day`` over the long one."""
+    t = Timeline(keys)
+    df = extend(extend(df, readings_seen(t) | last_reading(t)), run_starts(t))
+    columns = {f"{p}__constant": yes(is_constant(p, params.of(p).stuck_minutes)) for p in STICKING}
+    columns |= {
+        f"{p}__constant_day": yes(is_constant(p, params.of(p).stuck_long_minutes)) for p in LONG_CHECKED
+    }
+    return extend(df, columns)
+
+
+def rolling_median(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The medians themselves, ``{test}__median``; the checks only ever need to place them against a limit."""
+    t = Timeline(keys)
+    return extend(
         df,
         {
-            DRY_4H: stuck("temperature"),
-            DRY_6H: still,
-            COLD_6H: still,
-            COLD_24H: any_of((stuck_day("wind_direction"), stuck_day("wind_speed"))),
+            f"{x.name}__median": t.over(f"percentile({x.column}, 0.5D)", past_seconds(x.minutes * 60))
+            for x in MEDIAN_TESTS
         },
-        keys,
     )
-    cold, warm_dry = F.col("cold_6h"), ~F.col("cold_6h") & F.col("dry_6h")
-    # The latest reading before t: in a constant window, what it is stuck at.
-    last = {
-        p: F.last(F.col(f"{p}__filled"), ignorenulls=True).over(older_than(timeline(keys), 0))
-        for p in ("humidity", "wind_speed", "illuminance")
-    }
-    df = df.withColumns({f"_{p}_at": c for p, c in last.items()})
-    calm = F.col("_wind_speed_at") == 0
-    long_rows = params.of("temperature").stuck_long_minutes
-    return df.withColumns(
-        {
-            "humidity__hit": stuck("humidity") & (F.col("_humidity_at") < HUMIDITY_CEILING),
-            "temperature__hit": stuck("temperature") & F.col("dry_4h"),
-            "temperature__long_hit": stuck_day("temperature") & is_full(long_rows),
-            "illuminance__hit": stuck("illuminance") & (F.col("_illuminance_at") != 0),
-            "pressure__hit": stuck("pressure"),
-            "wind_direction__long_hit": stuck_day("wind_direction") & ~F.col("cold_24h"),
-            "wind_speed__long_hit": stuck_day("wind_speed") & ~F.col("cold_24h"),
-            "wind_direction__verdict": F.when(
-                stuck("wind_direction"), F.when(cold, CODE_FROZEN).when(warm_dry, CODE_CONSTANT)
-            ),
-            "wind_speed__verdict": F.when(
-                stuck("wind_speed"),
-                F.when(~calm, CODE_CONSTANT).when(cold, CODE_FROZEN).when(warm_dry, CODE_CONSTANT),
-            ),
-        }
-    ).drop("_humidity_at", "_wind_speed_at", "_illuminance_at")
+
+
+def median_conditions(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Every median test on every row."""
+    t = Timeline(keys)
+    df = extend(df, readings_seen(t) | low_counts(t))
+    df = extend(df, tied_series(t, {x: "true" for x in MEDIAN_TESTS}))
+    return settle_medians(df, MEDIAN_TESTS, keys)
+
+
+def stuck_verdicts(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Needs :func:`stationqc.operators.fill.fill_gaps`; adds the columns of :func:`verdicts`."""
+    t = Timeline(keys)
+    df = extend(df, window_rows(t) | readings_seen(t) | low_counts(t) | last_reading(t))
+    df = extend(df, run_starts(t))
+    df = extend(df, tied_series(t, median_candidates(params)))
+    return extend(settle_medians(df, MEDIAN_TESTS, keys), verdicts(params))
 
 
 def mark_windows(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Spread hits over the windows before them: ``{p}__const``, ``{p}__long``, ``{p}__frozen`` for six variables."""
-    w = timeline(keys)
-    marks: dict[str, Column] = {}
-    for p in STICKING:
-        v = params.of(p)
-        if f"{p}__hit" in df.columns:
-            marks[f"{p}__const"] = any_hit(F.col(f"{p}__hit"), v.stuck_minutes * 60, w)
-            marks[f"{p}__frozen"] = F.lit(0)
-        else:
-            latest = latest_result(F.col(f"{p}__verdict"), v.stuck_minutes * 60, w)
-            df = df.withColumn(f"_{p}_latest", latest)
-            marks[f"{p}__const"] = F.when(F.col(f"_{p}_latest") == CODE_CONSTANT, CODE_CONSTANT).otherwise(0)
-            marks[f"{p}__frozen"] = F.when(F.col(f"_{p}_latest") == CODE_FROZEN, CODE_FROZEN).otherwise(0)
-        if f"{p}__long_hit" in df.columns:
-            marks[f"{p}__long"] = any_hit(F.col(f"{p}__long_hit"), v.stuck_long_minutes * 60, w)
-        else:
-            marks[f"{p}__long"] = F.lit(0)
-    return df.withColumns(marks).drop("_wind_speed_latest", "_wind_direction_latest")
+    """``{p}__const``, ``{p}__long`` and ``{p}__frozen`` of all variables, before the wind coupling."""
+    df = extend(df, spread(params, Timeline(keys)))
+    return extend(df, constancy_flags()).drop(*[f"_{p}_latest" for p in WIND])
 
 
 def wind_coupling(df: DataFrame) -> DataFrame:
     """A still anemometer under a moving vane is calm weather, not a fault: the vane's clear flags clear its own."""
-    return df.withColumns(
-        {
-            f"wind_speed__{kind}": F.when(F.col(f"wind_direction__{kind}") == 0, 0).otherwise(
-                F.col(f"wind_speed__{kind}")
-            )
-            for kind in ("const", "long", "frozen")
-        }
-    )
+    return extend(df, coupled_wind())
 
 
-def precip_no_constancy(df: DataFrame, parameter: str = "precipitation_accumulated") -> DataFrame:
+def precip_no_constancy(df: DataFrame) -> DataFrame:
     """Rain is legitimately constant: its three flags are always 0."""
-    return df.withColumns({f"{parameter}__{kind}": F.lit(0) for kind in ("const", "long", "frozen")})
+    return extend(df, {f"{RAIN}__{k}": "0" for k in KINDS})
 
 
 def constancy(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All stuck-sensor flags of all seven variables; the wind coupling applies to the one-level model only."""
-    df = mark_windows(stuck_hits(df, params, keys), params, keys)
-    if not params.two_level:
-        df = wind_coupling(df)
-    return precip_no_constancy(df)
+    """All stuck-sensor flags; the wind coupling applies to the one-level model only."""
+    df = mark_windows(stuck_verdicts(df, params, keys), params, keys)
+    return df if params.two_level else wind_coupling(df)

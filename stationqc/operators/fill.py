@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from stationqc.functions.columns import any_of, yes
-from stationqc.functions.windows import KEYS, everything, so_far, timeline
+from stationqc.functions.columns import any_of, extend, yes
+from stationqc.functions.windows import EVERYTHING, KEYS, SO_FAR, Timeline, last_rows
 from stationqc.params import VARIABLES, ModelParams
 
 
+def incomplete(columns: Sequence[str] = VARIABLES) -> str:
+    return any_of(f"{c} IS NULL" for c in columns)
+
+
 def null_incomplete_rows(df: DataFrame, columns: Sequence[str] = VARIABLES) -> DataFrame:
     """A row lacking any variable counts as lacking all of them."""
-    incomplete = any_of(F.col(c).isNull() for c in columns)
-    return df.withColumns({c: F.when(~incomplete, F.col(c)) for c in columns})
+    return extend(df, {c: f"if({incomplete(columns)}, NULL, {c})" for c in columns})
 
 
 def fill_gaps(
@@ -23,27 +25,37 @@ def fill_gaps(
 ) -> DataFrame:
     """Carry the last reading into a gap, for at most ``fill_rows + 1`` slots.
 
-    Adds ``{p}__filled`` per variable, ``is_fill`` (the slot holds a carried reading), ``present`` (a reading or
-    a carried one), ``slot`` (1, 2, ... within the series) and the series' ``first_sec`` / ``last_sec``.
-
-    Gaps are common to all variables (see :func:`null_incomplete_rows`), so one carried struct serves them all.
+    Adds ``{p}__filled`` per variable, ``present`` (a reading or a carried one), ``is_fill`` (a carried one) and the
+    series' ``first_sec`` / ``last_sec``. Gaps are common to all variables (:func:`null_incomplete_rows`), so one carried
+    struct serves them all.
     """
-    w = timeline(keys)
-    gap = any_of(F.col(c).isNull() for c in columns)
-    numbered = df.withColumns(
+    t = Timeline(keys)
+    reading = f"if({incomplete(columns)}, NULL, struct({', '.join(columns)}))"
+    df = extend(
+        df,
         {
-            "slot": F.row_number().over(w),
-            "first_sec": F.min("sec").over(everything(w)),
-            "last_sec": F.max("sec").over(everything(w)),
-        }
+            "_filled": t.over(f"last({reading}, true)", last_rows(params.fill_rows + 1)),
+            "first_sec": t.over("min(sec)", EVERYTHING),
+            "last_sec": t.over("max(sec)", EVERYTHING),
+        },
     )
-    reading = F.struct(F.col("slot"), *[F.col(c) for c in columns])
-    carried = numbered.withColumn("_last", F.last(F.when(~gap, reading), ignorenulls=True).over(so_far(w)))
-    present = yes(F.col("slot") - F.col("_last.slot") <= params.fill_rows + 1)
-    return carried.withColumns(
-        {f"{c}__filled": F.when(present, F.col(f"_last.{c}")) for c in columns}
-        | {"present": present, "is_fill": present & gap}
-    ).drop("_last")
+    return extend(
+        df,
+        {f"{c}__filled": f"_filled.{c}" for c in columns}
+        | {"present": "_filled IS NOT NULL", "is_fill": f"_filled IS NOT NULL AND {incomplete(columns)}"},
+    ).drop("_filled")
+
+
+def fill_neighbour(t: Timeline) -> dict[str, str]:
+    """First level of :func:`consec_filling`."""
+    return {"_slot": t.over("row_number()"), "_after_fill": yes(t.lag("is_fill"))}
+
+
+def fill_counter(t: Timeline) -> dict[str, str]:
+    """Second level of :func:`consec_filling`: slots since the last one that was neither filled nor right after."""
+    inside = "(is_fill OR _after_fill)"
+    outside = t.over(f"max(if({inside}, NULL, _slot))", SO_FAR)
+    return {"fill_count": f"if({inside}, _slot - coalesce({outside}, 0), 0)"}
 
 
 def consec_filling(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -51,9 +63,5 @@ def consec_filling(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     Needs :func:`fill_gaps`; adds ``fill_count``.
     """
-    w = timeline(keys)
-    counted = df.withColumn("_in", F.col("is_fill") | yes(F.lag("is_fill").over(w)))
-    outside = F.max(F.when(~F.col("_in"), F.col("slot"))).over(so_far(w))
-    return counted.withColumn(
-        "fill_count", F.when(F.col("_in"), F.col("slot") - F.coalesce(outside, F.lit(0))).otherwise(0)
-    ).drop("_in")
+    t = Timeline(keys)
+    return extend(extend(df, fill_neighbour(t)), fill_counter(t)).drop("_slot", "_after_fill")

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stationqc.functions.columns import any_of, flag, rint2, yes
-from stationqc.functions.windows import KEYS, last_seconds, timeline
+from stationqc.functions.columns import any_of, extend, flag, number, rint2, yes
+from stationqc.functions.windows import KEYS, Timeline, last_seconds
 from stationqc.params import (
     CODE_INVALID,
     CODE_NO_DATUM,
@@ -20,95 +19,97 @@ from stationqc.params import (
     ModelParams,
 )
 
+RAW_FLAGS = ("obc", "invalid", "unidentified", "no_datum", "const", "long", "frozen")
+
 
 @dataclass(frozen=True)
 class JumpRule:
-    """One series to search: which values, against what, and how much of the median window must be there."""
+    """One series to search. ``threshold``, ``availability`` and ``possible`` are SQL: literals or columns.
 
-    name: str  # prefix of the result columns
-    value: str
-    threshold: float | None
-    availability: float
-    possible: float  # values a full median window holds
-    decimals: bool = False  # round median and distances to two decimals, as bin averages are
-
-    def rounded(self, c: Column) -> Column:
-        return rint2(c) if self.decimals else c
-
-
-def rolling_medians(df: DataFrame, rules: Sequence[JumpRule], seconds: int, w: WindowSpec) -> DataFrame:
-    """``{name}__median`` over ``(t - seconds, t]``, null where too few values are there."""
-    frame = last_seconds(w, seconds)
-    df = df.withColumns(
-        {f"_{r.name}_n": F.count(r.value).over(frame) for r in rules}
-        | {f"_{r.name}_m": F.percentile(F.col(r.value), F.lit(0.5)).over(frame) for r in rules}
-    )
-    return df.withColumns(
-        {
-            f"{r.name}__median": F.when(
-                ~(F.col(f"_{r.name}_n") / F.lit(r.possible) < r.availability), r.rounded(F.col(f"_{r.name}_m"))
-            )
-            for r in rules
-        }
-    ).drop(*[f"_{r.name}_{x}" for r in rules for x in "nm"])
-
-
-def jump_flags(df: DataFrame, rules: Sequence[JumpRule], w: WindowSpec) -> DataFrame:
-    """Flag both values of a step over the threshold, and the one to blame.
-
-    Needs ``{name}__median``. Adds ``__diff`` (step from the value before), ``__median_diff``, ``__couple`` (either side
-    of a jump), ``__invalid`` (the side farther from its own median, or equal to a blamed neighbour just before it) and
-    ``__unidentified`` (part of a jump but no median to judge by).
+    A null threshold never fires. ``decimals`` rounds the median and the distances, as is done for bin averages.
     """
+
+    name: str
+    value: str
+    threshold: str
+    availability: str
+    possible: str  # values a full median window holds
+    decimals: bool = False
+
+    def rounded(self, sql: str) -> str:
+        return rint2(sql) if self.decimals else sql
+
+    def jumped(self, a: str, b: str) -> str:
+        return yes(f"abs({a} - {b}) > {self.threshold}")
+
+
+# ---- levels: each set of columns depends on the one before it -----------------------------------
+
+
+def neighbours(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
+    """Moving median and count, and the values on either side."""
+    columns: dict[str, str] = {}
+    for r in rules:
+        columns[f"_{r.name}_count"] = t.over(f"count({r.value})", last_seconds(seconds))
+        columns[f"_{r.name}_mid"] = t.over(f"percentile({r.value}, 0.5D)", last_seconds(seconds))
+        columns[f"_{r.name}_prev"] = t.lag(r.value)
+        columns[f"_{r.name}_next"] = t.lead(r.value)
+    return columns
+
+
+def medians(rules: Sequence[JumpRule]) -> dict[str, str]:
+    """``{name}__median``: null where too few values are there."""
+    return {
+        f"{r.name}__median": f"if(_{r.name}_count / {r.possible} < {r.availability}, NULL, {r.rounded(f'_{r.name}_mid')})"
+        for r in rules
+    }
+
+
+def distances(rules: Sequence[JumpRule]) -> dict[str, str]:
+    """``{name}__median_diff`` and ``{name}__diff`` (step from the value before)."""
+    return {f"{r.name}__median_diff": r.rounded(f"abs({r.value} - {r.name}__median)") for r in rules} | {
+        f"{r.name}__diff": r.rounded(f"abs({r.value} - _{r.name}_prev)") for r in rules
+    }
+
+
+def blame(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
+    """``_{name}_blamed``: on either side of a jump, the value farther from its own median. A tie blames neither."""
+    columns: dict[str, str] = {}
     for r in rules:
-        if f"{r.name}__median" not in df.columns:
-            raise ValueError(f"{r.name}: rolling_medians comes first")
-    df = df.withColumns(
-        {f"_{r.name}_prev": F.lag(r.value).over(w) for r in rules}
-        | {f"_{r.name}_next": F.lead(r.value).over(w) for r in rules}
-        | {
-            f"{r.name}__median_diff": r.rounded(F.abs(F.col(r.value) - F.col(f"{r.name}__median"))) for r in rules
-        }
-    )
-    df = df.withColumns(
-        {f"_{r.name}_prev_md": F.lag(f"{r.name}__median_diff").over(w) for r in rules}
-        | {f"_{r.name}_next_md": F.lead(f"{r.name}__median_diff").over(w) for r in rules}
-    )
-
-    def over_threshold(r: JumpRule, a: str, b: str) -> Column:
-        if r.threshold is None:
-            return F.lit(False)
-        return yes(F.abs(F.col(a) - F.col(b)) > r.threshold)
-
-    columns: dict[str, Column] = {}
+        md = f"{r.name}__median_diff"
+        came, left = r.jumped(r.value, f"_{r.name}_prev"), r.jumped(f"_{r.name}_next", r.value)
+        columns[f"{r.name}__couple"] = flag(f"{came} OR {left}")
+        columns[f"_{r.name}_blamed"] = (
+            f"({came} AND {yes(f'{md} > {t.lag(md)}')}) OR ({left} AND {yes(f'{md} > {t.lead(md)}')})"
+        )
+    return columns
+
+
+def flags(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
+    """``{name}__invalid``: blamed, or equal to a blamed value just before it (one step only).
+
+    ``{name}__unidentified``: part of a jump without a median to judge by.
+    """
+    columns: dict[str, str] = {}
     for r in rules:
-        came, left = over_threshold(r, r.value, f"_{r.name}_prev"), over_threshold(r, f"_{r.name}_next", r.value)
-        md = F.col(f"{r.name}__median_diff")
-        columns[f"{r.name}__diff"] = r.rounded(F.abs(F.col(r.value) - F.col(f"_{r.name}_prev")))
-        columns[f"{r.name}__couple"] = flag(came | left)
-        columns[f"_{r.name}_blamed"] = (came & yes(md > F.col(f"_{r.name}_prev_md"))) | (
-            left & yes(md > F.col(f"_{r.name}_next_md"))
+        repeat = f"{yes(t.lag(f'_{r.name}_blamed'))} AND {yes(f'{r.value} = _{r.name}_prev')}"
+        columns[f"{r.name}__invalid"] = flag(f"_{r.name}_blamed OR ({repeat})", CODE_INVALID)
+        columns[f"{r.name}__unidentified"] = flag(
+            f"{r.name}__median IS NULL AND {r.name}__couple = 1", CODE_UNIDENTIFIED
         )
-    df = df.withColumns(columns)
-    df = df.withColumns({f"_{r.name}_prev_blamed": yes(F.lag(f"_{r.name}_blamed").over(w)) for r in rules})
-    df = df.withColumns(
-        {
-            f"{r.name}__invalid": flag(
-                F.col(f"_{r.name}_blamed")
-                | (F.col(f"_{r.name}_prev_blamed") & yes(F.col(r.value) == F.col(f"_{r.name}_prev"))),
-                CODE_INVALID,
-            )
-            for r in rules
-        }
-        | {
-            f"{r.name}__unidentified": flag(
-                F.col(f"{r.name}__median").isNull() & (F.col(f"{r.name}__couple") == 1), CODE_UNIDENTIFIED
-            )
-            for r in rules
-        }
-    )
-    helpers = ("prev", "next", "prev_md", "next_md", "blamed", "prev_blamed")
-    return df.drop(*[f"_{r.name}_{h}" for r in rules for h in helpers])
+    return columns
+
+
+def helper_columns(rules: Sequence[JumpRule]) -> list[str]:
+    return [f"_{r.name}_{h}" for r in rules for h in ("count", "mid", "prev", "next", "blamed")]
+
+
+def search_jumps(df: DataFrame, rules: Sequence[JumpRule], seconds: int, t: Timeline) -> DataFrame:
+    """All levels in turn."""
+    df = extend(df, neighbours(rules, seconds, t))
+    df = extend(extend(df, medians(rules)), distances(rules))
+    df = extend(extend(df, blame(rules, t)), flags(rules, t))
+    return df.drop(*helper_columns(rules))
 
 
 # ---- raw readings ------------------------------------------------------------------------------
@@ -119,9 +120,9 @@ def raw_rules(params: ModelParams, columns: Sequence[str] = JUMPING) -> list[Jum
         JumpRule(
             p,
             f"{p}__filled",
-            params.of(p).raw_jump,
-            params.of(p).median_availability,
-            params.median_minutes * 60 / params.step,
+            number(params.of(p).raw_jump),
+            number(params.of(p).median_availability),
+            number(params.median_minutes * 60 / params.step),
         )
         for p in columns
     ]
@@ -131,33 +132,38 @@ def raw_median(
     df: DataFrame, params: ModelParams, columns: Sequence[str] = JUMPING, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Median of the filled readings over the last 10 or 60 minutes, this reading included."""
-    return rolling_medians(df, raw_rules(params, columns), params.median_minutes * 60, timeline(keys))
+    rules = raw_rules(params, columns)
+    df = extend(extend(df, neighbours(rules, params.median_minutes * 60, Timeline(keys))), medians(rules))
+    return df.drop(*helper_columns(rules))
 
 
 def raw_jumps(
     df: DataFrame, params: ModelParams, columns: Sequence[str] = JUMPING, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """Medians and jump flags of the raw readings."""
-    return jump_flags(raw_median(df, params, columns, keys), raw_rules(params, columns), timeline(keys))
+    """Medians, distances and jump flags of the raw readings."""
+    return search_jumps(df, raw_rules(params, columns), params.median_minutes * 60, Timeline(keys))
+
+
+def not_applicable() -> dict[str, str]:
+    doubles, ints = ("median", "diff", "median_diff"), ("couple", "invalid", "unidentified")
+    columns = {f"{p}__{c}": "CAST(NULL AS DOUBLE)" for p in ("wind_direction", RAIN) for c in doubles}
+    return columns | {f"{p}__{c}": "CAST(NULL AS INT)" for p in ("wind_direction", RAIN) for c in ints}
 
 
 def jump_not_applicable(df: DataFrame) -> DataFrame:
     """Wind direction wraps around and rain accumulates: no jump columns for them."""
-    doubles, ints = ("median", "diff", "median_diff"), ("couple", "invalid", "unidentified")
-    return df.withColumns(
-        {f"{p}__{c}": F.lit(None).cast("double") for p in ("wind_direction", RAIN) for c in doubles}
-        | {f"{p}__{c}": F.lit(None).cast("int") for p in ("wind_direction", RAIN) for c in ints}
-    )
+    return extend(df, not_applicable())
 
 
-def no_datum(df: DataFrame, columns: Sequence[str] = VARIABLES) -> DataFrame:
-    """An original reading is missing; filled or not makes no difference."""
-    return df.withColumns({f"{p}__no_datum": flag(F.col(p).isNull(), CODE_NO_DATUM) for p in columns})
+def no_datum_columns(columns: Sequence[str] = VARIABLES) -> dict[str, str]:
+    return {f"{p}__no_datum": flag(f"{p} IS NULL", CODE_NO_DATUM) for p in columns}
 
 
-RAW_FLAGS = ("obc", "invalid", "unidentified", "no_datum", "const", "long", "frozen")
+def no_datum(df: DataFrame, columns: Sequence[str] = VARIABLES) -> DataFrame:
+    """An original reading is missing; filled or not makes no difference."""
+    return extend(df, no_datum_columns(columns))
 
 
 def raw_total(df: DataFrame, columns: Sequence[str] = VARIABLES) -> DataFrame:
     """``{p}__faulty``: any flag set. The reward flag is the same by definition."""
-    return df.withColumns({f"{p}__faulty": flag(any_of(yes(F.col(f"{p}__{f}") > 0) for f in RAW_FLAGS)) for p in columns})
+    return extend(df, {f"{p}__faulty": flag(any_of(yes(f"{p}__{f} > 0") for f in RAW_FLAGS)) for p in columns})

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationqc.functions.windows import KEYS
+from stationqc.operators.grid import resample_grid
 from stationqc.operators.scores import daily_rows, final_shape, hour_pivot
 from stationqc.params import MODELS, ModelParams
 from stationqc.plans.hours import scored_hours
@@ -28,12 +29,14 @@ def score_fleet(
     dates: Sequence[date] | None = None,
     models: Sequence[str] | None = None,
     deduplicated: bool = False,
+    regrid: bool = False,
 ) -> DataFrame:
     """Telemetry in the input schema to 24 scored rows per station-day.
 
     Two exchanges: one that removes copies (skipped when ``deduplicated`` says there are none), and one on
     ``(device_id, qod_date)`` that everything after it builds on. ``dates`` limits the days scored and reaches the scan;
-    ``models`` limits the station models. Rows of unknown models are left to
+    ``models`` limits the station models. ``regrid`` moves irregular readings onto the model's grid first (the first
+    exchange then does that as well). Rows of unknown models are left to
     :func:`stationqc.sources.telemetry.rejected_rows`.
     """
     if dates:
@@ -41,8 +44,10 @@ def score_fleet(
     scored: DataFrame | None = None
     for name in models or MODELS:
         rows = telemetry.filter(F.col("model") == name)
-        rows = rows if deduplicated else one_row_per_time(rows)
-        rows = with_qod_date(rows)
+        if regrid:
+            rows = resample_grid(rows, MODELS[name])
+        else:
+            rows = with_qod_date(rows if deduplicated else one_row_per_time(rows))
         if dates:
             rows = rows.filter(F.col("qod_date").isin(*dates))
         part = to_output_schema(score_series(rows, MODELS[name]))

@@ -1,7 +1,8 @@
 """The slot stage: every check on raw readings, on one wide row per slot.
 
 Input: ``device_id, qod_date, model, sec`` and the seven variables, one row per slot. All windows share one partitioning
-and one order, so the whole stage is one exchange and one sort.
+and one order, so the whole stage is one exchange and, but for the neighbourhood medians, one sort. The operators' levels
+are interleaved so that independent columns of different checks share a Window node.
 """
 
 from __future__ import annotations
@@ -10,26 +11,55 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from stationqc.functions.windows import KEYS
+from stationqc.functions.columns import extend
+from stationqc.functions.windows import KEYS, Timeline
+from stationqc.operators import bounds, constancy, fill, jumps
 from stationqc.operators.annotate import text_annotation
-from stationqc.operators.bounds import obc_bounds, obc_precip, precip_diff
-from stationqc.operators.constancy import constancy
-from stationqc.operators.fill import consec_filling, fill_gaps, null_incomplete_rows
-from stationqc.operators.jumps import jump_not_applicable, no_datum, raw_jumps, raw_total
-from stationqc.params import ModelParams
+from stationqc.params import WIND, ModelParams
 
 
 def filled_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    return fill_gaps(null_incomplete_rows(df), params, keys=keys)
+    return fill.fill_gaps(fill.null_incomplete_rows(df), params, keys=keys)
 
 
 def bounded_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    df = consec_filling(filled_slots(df, params, keys), keys)
-    return obc_precip(precip_diff(obc_bounds(df, params), keys), params)
+    df = fill.consec_filling(filled_slots(df, params, keys), keys)
+    return bounds.obc_precip(bounds.precip_diff(bounds.obc_bounds(df, params), keys), params)
 
 
 def checked_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All raw flags of all variables."""
-    df = constancy(bounded_slots(df, params, keys), params, keys)
-    df = jump_not_applicable(raw_jumps(df, params, keys=keys))
-    return text_annotation(raw_total(no_datum(df)))
+    """All raw flags of all variables; ``{p}__faulty`` and ``{p}__text`` sum them up."""
+    t = Timeline(keys)
+    rules = jumps.raw_rules(params)
+    df = filled_slots(df, params, keys)
+    # counts, neighbours and medians of the filled readings
+    df = extend(
+        df,
+        fill.fill_neighbour(t)
+        | bounds.precip_diff_column(t)
+        | constancy.window_rows(t)
+        | constancy.readings_seen(t)
+        | constancy.low_counts(t)
+        | constancy.last_reading(t)
+        | jumps.neighbours(rules, params.median_minutes * 60, t),
+    )
+    df = extend(df, jumps.medians(rules) | bounds.bounds_columns(params) | jumps.no_datum_columns())
+    df = extend(df, jumps.distances(rules))
+    # runs of equal readings, sides of a jump
+    df = extend(df, fill.fill_counter(t) | constancy.run_starts(t) | jumps.blame(rules, t))
+    # repeats of a blamed reading, medians that have to be computed
+    df = extend(
+        df,
+        jumps.flags(rules, t)
+        | constancy.tied_series(t, constancy.median_candidates(params))
+        | bounds.obc_precip_column(params)
+        | jumps.not_applicable(),
+    )
+    df = constancy.settle_medians(df, constancy.MEDIAN_TESTS, keys)
+    df = extend(df, constancy.verdicts(params))
+    # hits onto the windows before them
+    df = extend(extend(df, constancy.spread(params, t)), constancy.constancy_flags())
+    if not params.two_level:
+        df = constancy.wind_coupling(df)
+    df = df.drop(*jumps.helper_columns(rules), *[f"_{p}_latest" for p in WIND], "_slot", "_after_fill", "_previous")
+    return text_annotation(jumps.raw_total(df))

@@ -8,7 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 # A 30-hour station-day of the 16-second model has 6,750 slots; the default window buffer spills at 4,096.
+# A station-day is a few hundred kilobytes but takes a second of window work: small reduce tasks keep all cores busy.
 SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -88,7 +88,7 @@ def with_qod_date(df: DataFrame) -> DataFrame:
     evening = F.hour("utc_datetime") >= EVENING
     in_day = F.col("utc_datetime") <= day.cast("timestamp_ntz") + F.expr("INTERVAL '86399' SECOND")
     days = F.array_compact(F.array(F.when(in_day, day), F.when(evening, F.date_add(day, 1))))
-    return df.withColumns({"sec": epoch_seconds("utc_datetime"), "qod_date": F.explode(days)})
+    return df.withColumns({"sec": F.expr(epoch_seconds("utc_datetime")), "qod_date": F.explode(days)})
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:
