@@ -83,7 +83,7 @@ class ModelParams:
 
 def _scaled_jump(raw: float, ceiling: float, per_minutes: int, step: int) -> float:
     """A per-minute jump limit widened to the sampling step, up to a ceiling."""
-    return min(ceiling, raw * (step / 60) / per_minutes)
+    return float(min(ceiling, raw * (step / 60) / per_minutes))
 
 
 WS1000 = ModelParams(

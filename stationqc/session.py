@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.windowExec.buffer.in.memory.threshold": "16384",
