@@ -206,10 +206,9 @@ def raw(*suffixes: str, columns: Sequence[str] = JUMPING, real: bool = False) ->
 
 def first_blame(df: DataFrame, params: ModelParams) -> DataFrame:
     """Blame before repeats are looked at."""
-    t, rules = Timeline(), jumps.raw_rules(params)
-    df = extend(filled_slots(df, params), jumps.neighbours(rules, params.median_minutes * 60, t))
-    df = extend(extend(extend(df, jumps.medians(rules)), jumps.distances(rules)), jumps.blame(rules, t))
-    return df.selectExpr(*SLOT, *[f"if(_{p}_blamed, 4, 0) AS {p}__blamed" for p in JUMPING])
+    rules = jumps.raw_rules(params)
+    df = jumps.search_steps(filled_slots(df, params), rules, params.median_minutes * 60, Timeline())
+    return df.selectExpr(*SLOT, *[f"if({jumps.blamed(r)}, 4, 0) AS {r.name}__blamed" for r in rules])
 
 
 def no_jumps(df: DataFrame, params: ModelParams) -> DataFrame:
@@ -235,7 +234,7 @@ def minutes(df: DataFrame, params: ModelParams) -> DataFrame:
 
 
 def audit(df: DataFrame, params: ModelParams) -> DataFrame:
-    rows = reports.select_raw_columns(checked_slots(df, params)).drop("qod_date")
+    rows = reports.select_raw_columns(checked_slots(df, params, audit=True)).drop("qod_date")
     reals = ("rolling_median", "consec_obs_diff_abs", "median_diff_abs")
     return rows.selectExpr(*[c for c in rows.columns if c not in reals], *rounded(reals))
 

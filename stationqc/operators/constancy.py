@@ -6,7 +6,7 @@ series: ``seen_before`` readings before ``t``, ``seen_before_{m}`` before ``t -
 which the current run of equal readings began. A hit at ``t`` then marks the readings of the window before it.
 
 Median conditions only compare a median with a limit, so counting readings on the low side decides them, save when
-exactly half are; only series where that happens get real medians (:func:`settle_medians`).
+exactly half are; only series where that happens get real medians (:func:`settled`).
 """
 
 from __future__ import annotations
@@ -147,84 +147,96 @@ def low_counts(t: Timeline, tests: Sequence[MedianTest] = MEDIAN_TESTS) -> dict[
 
 def tied_series(t: Timeline, candidates: Mapping[MedianTest, str]) -> dict[str, str]:
     """``_tied``: some candidate row of the series has exactly half of its readings on the low side."""
-    ties = any_of(yes(f"{c} AND _{x.name}_low * 2 = {in_window(x.minutes)}") for x, c in candidates.items())
+    ties = any_of(yes(f"{c} AND _{x.name}_low * 2 = count_{x.minutes}") for x, c in candidates.items())
     return {"_tied": t.over(f"max({ties})", EVERYTHING)}
 
 
-def settle_medians(df: DataFrame, tests: Sequence[MedianTest], keys: Sequence[str] = KEYS) -> DataFrame:
-    """One boolean column per test, exact on candidate rows; null for a window without readings.
+def middles(tests: Sequence[MedianTest], t: Timeline) -> dict[str, str]:
+    return {f"_{x.name}": t.over(f"percentile({x.column}, 0.5D)", past_seconds(x.minutes * 60)) for x in tests}
+
+
+def settled(tests: Sequence[MedianTest]) -> dict[str, str]:
+    """One boolean per test, exact where ``_{test}`` holds the median on ties; null for a window without readings.
 
     More than half of the readings on one side of the limit decide a test. With exactly half, the median lies between
-    the two middle readings and is computed: series marked ``_tied`` keep their rows in one window partition, all other
-    rows become partitions of their own, for which a moving frame costs nothing. Row order and data partitioning stay
-    what they are, so this needs no shuffle.
+    the two middle readings and is compared itself.
     """
-    df = extend(df, {"_part": "if(_tied, -1L, sec)"})
-    t = Timeline((*keys, "_part"))
-    df = extend(
-        df,
-        {f"_{x.name}": t.over(f"percentile({x.column}, 0.5D)", past_seconds(x.minutes * 60)) for x in tests},
-    )
 
-    def settled(x: MedianTest) -> str:
-        n, low = in_window(x.minutes), f"_{x.name}_low * 2"
+    def test(x: MedianTest) -> str:
+        n, low = f"count_{x.minutes}", f"_{x.name}_low * 2"
         return f"CASE WHEN {n} = 0 THEN NULL WHEN {low} = {n} THEN {x.holds(f'_{x.name}')} ELSE {low} > {n} END"
 
-    df = extend(df, {x.name: settled(x) for x in tests})
+    return {x.name: test(x) for x in tests}
+
+
+def settle_medians(df: DataFrame, tests: Sequence[MedianTest], keys: Sequence[str] = KEYS) -> DataFrame:
+    """Median tests with medians computed in tied series only: their rows stay in one window partition, all
+    other rows become partitions of their own, for which a moving frame costs nothing. Row order and data partitioning
+    stay what they are, so this needs no shuffle.."""
+    df = extend(df, {"_part": "if(_tied, -1L, sec)"})
+    df = extend(extend(df, middles(tests, Timeline((*keys, "_part")))), settled(tests))
     return df.drop("_part", "_tied", *[f"_{x.name}" for x in tests], *[f"_{x.name}_low" for x in tests])
 
 
 # ---- the checks --------------------------------------------------------------------------------
 
 
-def stuck(params: ModelParams, p: str) -> str:
-    m = params.of(p).stuck_minutes
-    return f"({guard(m)} AND {is_full(m)} AND {is_constant(p, m)})"
+LONG_CHECKED = ("temperature", *WIND)
+
 
+def stuck_columns(params: ModelParams) -> dict[str, str]:
+    """``_stuck_{p}``: the variable's window is full and constant; ``_day_{p}``: its long window is constant.
+
+    Wind may have gaps in the long window, temperature may not.
+    """
+    columns = {}
+    for p in STICKING:
+        m = params.of(p).stuck_minutes
+        columns[f"_stuck_{p}"] = f"{guard(m)} AND {is_full(m)} AND {is_constant(p, m)}"
+    for p in LONG_CHECKED:
+        m = params.of(p).stuck_long_minutes
+        whole = "" if p in WIND else f" AND {is_full(m)}"
+        columns[f"_day_{p}"] = f"{guard(m)} AND {is_constant(p, m)}{whole}"
+    return columns
 
-def constant_day(params: ModelParams, p: str) -> str:
-    m = params.of(p).stuck_long_minutes
-    return f"({guard(m)} AND {is_constant(p, m)})"
 
+def window_counts(minutes: Sequence[int] = STUCK_WINDOWS) -> dict[str, str]:
+    return {f"count_{m}": in_window(m) for m in minutes}
 
-def median_candidates(params: ModelParams) -> dict[MedianTest, str]:
+
+def median_candidates() -> dict[MedianTest, str]:
     """Rows whose verdict depends on each test."""
-    still = any_of(stuck(params, p) for p in WIND)
+    still = any_of(f"_stuck_{p}" for p in WIND)
     return {
-        DRY_4H: stuck(params, "temperature"),
+        DRY_4H: "_stuck_temperature",
         DRY_6H: still,
         COLD_6H: still,
-        COLD_24H: any_of(constant_day(params, p) for p in WIND),
+        COLD_24H: any_of(f"_day_{p}" for p in WIND),
     }
 
 
-def verdicts(params: ModelParams) -> dict[str, str]:
+def verdicts() -> dict[str, str]:
     """What each constant window means.
 
     Boolean ``{p}__hit`` / ``{p}__long_hit`` where any hit marks the window before it, and ``{p}__verdict`` (flag code
     or null) for wind, where the latest verdict counts.
     """
-    warm_dry = "NOT cold_6h AND dry_6h"
-    day = params.of("temperature").stuck_long_minutes
-    by_weather = f"WHEN cold_6h THEN {CODE_FROZEN} WHEN {warm_dry} THEN {CODE_CONSTANT}"
+    by_weather = f"WHEN cold_6h THEN {CODE_FROZEN} WHEN NOT cold_6h AND dry_6h THEN {CODE_CONSTANT}"
     moving = f"WHEN _previous.wind_speed <> 0 THEN {CODE_CONSTANT}"
     return {
-        "humidity__hit": f"{stuck(params, 'humidity')} AND _previous.humidity < {number(HUMIDITY_CEILING)}",
-        "temperature__hit": f"{stuck(params, 'temperature')} AND dry_4h",
-        "temperature__long_hit": f"{constant_day(params, 'temperature')} AND {is_full(day)}",
-        "illuminance__hit": f"{stuck(params, 'illuminance')} AND _previous.illuminance <> 0",
-        "pressure__hit": stuck(params, "pressure"),
-        "wind_direction__long_hit": f"{constant_day(params, 'wind_direction')} AND NOT cold_24h",
-        "wind_speed__long_hit": f"{constant_day(params, 'wind_speed')} AND NOT cold_24h",
-        "wind_direction__verdict": f"if({stuck(params, 'wind_direction')}, CASE {by_weather} END, NULL)",
-        "wind_speed__verdict": f"if({stuck(params, 'wind_speed')}, CASE {moving} {by_weather} END, NULL)",
+        "humidity__hit": f"_stuck_humidity AND _previous.humidity < {number(HUMIDITY_CEILING)}",
+        "temperature__hit": "_stuck_temperature AND dry_4h",
+        "temperature__long_hit": "_day_temperature",
+        "illuminance__hit": "_stuck_illuminance AND _previous.illuminance <> 0",
+        "pressure__hit": "_stuck_pressure",
+        "wind_direction__long_hit": "_day_wind_direction AND NOT cold_24h",
+        "wind_speed__long_hit": "_day_wind_speed AND NOT cold_24h",
+        "wind_direction__verdict": f"if(_stuck_wind_direction, CASE {by_weather} END, NULL)",
+        "wind_speed__verdict": f"if(_stuck_wind_speed, CASE {moving} {by_weather} END, NULL)",
     }
 
 
 ANY_HIT = tuple(p for p in STICKING if p not in WIND)
-LONG_CHECKED = ("temperature", *WIND)
-
-
 def spread(params: ModelParams, t: Timeline) -> dict[str, str]:
     """Verdicts onto the windows before them."""
     marks = {
@@ -263,8 +275,7 @@ def const_window_rows(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def rolling_non_null(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``count_{m}``: readings in each window."""
-    df = extend(df, readings_seen(Timeline(keys)))
-    return extend(df, {f"count_{m}": in_window(m) for m in STUCK_WINDOWS})
+    return extend(extend(df, readings_seen(Timeline(keys))), window_counts())
 
 
 def rolling_is_constant(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -293,7 +304,7 @@ def rolling_median(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def median_conditions(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Every median test on every row."""
     t = Timeline(keys)
-    df = extend(df, readings_seen(t) | low_counts(t))
+    df = extend(extend(df, readings_seen(t) | low_counts(t)), window_counts())
     df = extend(df, tied_series(t, {x: "true" for x in MEDIAN_TESTS}))
     return settle_medians(df, MEDIAN_TESTS, keys)
 
@@ -302,9 +313,9 @@ def stuck_verdicts(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEY
     """Needs :func:`stationqc.operators.fill.fill_gaps`; adds the columns of :func:`verdicts`."""
     t = Timeline(keys)
     df = extend(df, window_rows(t) | readings_seen(t) | low_counts(t) | last_reading(t))
-    df = extend(df, run_starts(t))
-    df = extend(df, tied_series(t, median_candidates(params)))
-    return extend(settle_medians(df, MEDIAN_TESTS, keys), verdicts(params))
+    df = extend(extend(df, run_starts(t)), stuck_columns(params) | window_counts())
+    df = extend(df, tied_series(t, median_candidates()))
+    return extend(settle_medians(df, MEDIAN_TESTS, keys), verdicts())
 
 
 def mark_windows(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from stationqc.functions.columns import any_of, extend, flag, number, rint2, yes
-from stationqc.functions.windows import KEYS, Timeline, last_seconds
+from stationqc.functions.windows import KEYS, SO_FAR, Timeline, last_seconds, older_than
 from stationqc.params import (
     CODE_INVALID,
     CODE_NO_DATUM,
@@ -35,6 +35,11 @@ class JumpRule:
     availability: str
     possible: str  # values a full median window holds
     decimals: bool = False
+    shared_count: str | None = None  # values in the median window, where series have their gaps in common
+
+    @property
+    def counted(self) -> str:
+        return self.shared_count or f"_{self.name}_count"
 
     def rounded(self, sql: str) -> str:
         return rint2(sql) if self.decimals else sql
@@ -46,76 +51,129 @@ class JumpRule:
 # ---- levels: each set of columns depends on the one before it -----------------------------------
 
 
-def neighbours(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
-    """Moving median and count, and the values on either side."""
+def neighbours(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
+    """The values on either side."""
+    return {f"_{r.name}_prev": t.lag(r.value) for r in rules} | {f"_{r.name}_next": t.lead(r.value) for r in rules}
+
+
+def middles(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
+    """Median of the last ``seconds``, however few values there are."""
+    return {f"_{r.name}_mid": t.over(f"percentile({r.value}, 0.5D)", last_seconds(seconds)) for r in rules}
+
+
+def recent_counts(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
+    """Values in the last ``seconds``: the ones so far less the ones before that."""
+    return {
+        f"_{r.name}_count": f"{t.over(f'count({r.value})', SO_FAR)} - {t.over(f'count({r.value})', older_than(seconds - 1))}"
+        for r in rules
+    }
+
+
+def steps(rules: Sequence[JumpRule]) -> dict[str, str]:
+    """Steps over the threshold to and from each value, ``{name}__couple`` for either, and ``{name}__diff``."""
     columns: dict[str, str] = {}
     for r in rules:
-        columns[f"_{r.name}_count"] = t.over(f"count({r.value})", last_seconds(seconds))
-        columns[f"_{r.name}_mid"] = t.over(f"percentile({r.value}, 0.5D)", last_seconds(seconds))
-        columns[f"_{r.name}_prev"] = t.lag(r.value)
-        columns[f"_{r.name}_next"] = t.lead(r.value)
+        came, left = r.jumped(r.value, f"_{r.name}_prev"), r.jumped(f"_{r.name}_next", r.value)
+        columns[f"_{r.name}_came"] = came
+        columns[f"_{r.name}_left"] = left
+        columns[f"_{r.name}_same"] = yes(f"{r.value} = _{r.name}_prev")
+        columns[f"{r.name}__couple"] = flag(f"{came} OR {left}")
+        columns[f"{r.name}__diff"] = r.rounded(f"abs({r.value} - _{r.name}_prev)")
     return columns
 
 
 def medians(rules: Sequence[JumpRule]) -> dict[str, str]:
     """``{name}__median``: null where too few values are there."""
     return {
-        f"{r.name}__median": f"if(_{r.name}_count / {r.possible} < {r.availability}, NULL, {r.rounded(f'_{r.name}_mid')})"
+        f"{r.name}__median": f"if({r.counted} / {r.possible} < {r.availability}, NULL, {r.rounded(f'_{r.name}_mid')})"
         for r in rules
     }
 
 
 def distances(rules: Sequence[JumpRule]) -> dict[str, str]:
-    """``{name}__median_diff`` and ``{name}__diff`` (step from the value before)."""
-    return {f"{r.name}__median_diff": r.rounded(f"abs({r.value} - {r.name}__median)") for r in rules} | {
-        f"{r.name}__diff": r.rounded(f"abs({r.value} - _{r.name}_prev)") for r in rules
-    }
+    return {f"{r.name}__median_diff": r.rounded(f"abs({r.value} - {r.name}__median)") for r in rules}
 
 
-def blame(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
-    """``_{name}_blamed``: on either side of a jump, the value farther from its own median. A tie blames neither."""
+def distances_around(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
+    """Distances of the values around, as far as blaming this one and the one before it takes."""
     columns: dict[str, str] = {}
     for r in rules:
         md = f"{r.name}__median_diff"
-        came, left = r.jumped(r.value, f"_{r.name}_prev"), r.jumped(f"_{r.name}_next", r.value)
-        columns[f"{r.name}__couple"] = flag(f"{came} OR {left}")
-        columns[f"_{r.name}_blamed"] = (
-            f"({came} AND {yes(f'{md} > {t.lag(md)}')}) OR ({left} AND {yes(f'{md} > {t.lead(md)}')})"
-        )
+        columns[f"_{r.name}_prev_md"] = t.lag(md)
+        columns[f"_{r.name}_next_md"] = t.lead(md)
+        columns[f"_{r.name}_prev2_md"] = t.over(f"lag({md}, 2)")
+        columns[f"_{r.name}_prev_came"] = t.lag(f"_{r.name}_came")
     return columns
 
 
-def flags(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
+def blamed(r: JumpRule) -> str:
+    """On either side of a jump, the value farther from its own median. A tie blames neither."""
+    md = f"{r.name}__median_diff"
+    return yes(f"(_{r.name}_came AND {md} > _{r.name}_prev_md)") + " OR " + yes(
+        f"(_{r.name}_left AND {md} > _{r.name}_next_md)"
+    )
+
+
+def previous_blamed(r: JumpRule) -> str:
+    """The same, for the value before this one."""
+    prev = f"_{r.name}_prev_md"
+    return yes(f"(_{r.name}_prev_came AND {prev} > _{r.name}_prev2_md)") + " OR " + yes(
+        f"(_{r.name}_came AND {prev} > {r.name}__median_diff)"
+    )
+
+
+def flags(rules: Sequence[JumpRule]) -> dict[str, str]:
     """``{name}__invalid``: blamed, or equal to a blamed value just before it (one step only).
 
     ``{name}__unidentified``: part of a jump without a median to judge by.
     """
     columns: dict[str, str] = {}
     for r in rules:
-        repeat = f"{yes(t.lag(f'_{r.name}_blamed'))} AND {yes(f'{r.value} = _{r.name}_prev')}"
-        columns[f"{r.name}__invalid"] = flag(f"_{r.name}_blamed OR ({repeat})", CODE_INVALID)
+        repeat = f"_{r.name}_same AND ({previous_blamed(r)})"
+        columns[f"{r.name}__invalid"] = flag(f"{blamed(r)} OR ({repeat})", CODE_INVALID)
         columns[f"{r.name}__unidentified"] = flag(
             f"{r.name}__median IS NULL AND {r.name}__couple = 1", CODE_UNIDENTIFIED
         )
     return columns
 
 
+HELPERS = (
+    "count",
+    "mid",
+    "prev",
+    "next",
+    "came",
+    "left",
+    "same",
+    "prev_md",
+    "next_md",
+    "prev2_md",
+    "prev_came",
+)
+
+
 def helper_columns(rules: Sequence[JumpRule]) -> list[str]:
-    return [f"_{r.name}_{h}" for r in rules for h in ("count", "mid", "prev", "next", "blamed")]
+    return [f"_{r.name}_{h}" for r in rules for h in HELPERS]
+
+
+def search_steps(df: DataFrame, rules: Sequence[JumpRule], seconds: int, t: Timeline) -> DataFrame:
+    """All columns a verdict depends on: two Window nodes."""
+    df = extend(df, neighbours(rules, t) | middles(rules, seconds, t) | recent_counts(rules, seconds, t))
+    df = extend(extend(df, steps(rules) | medians(rules)), distances(rules))
+    return extend(df, distances_around(rules, t))
 
 
 def search_jumps(df: DataFrame, rules: Sequence[JumpRule], seconds: int, t: Timeline) -> DataFrame:
-    """All levels in turn."""
-    df = extend(df, neighbours(rules, seconds, t))
-    df = extend(extend(df, medians(rules)), distances(rules))
-    df = extend(extend(df, blame(rules, t)), flags(rules, t))
-    return df.drop(*helper_columns(rules))
+    """Medians on every row, and all flags."""
+    return extend(search_steps(df, rules, seconds, t), flags(rules)).drop(*helper_columns(rules))
 
 
 # ---- raw readings ------------------------------------------------------------------------------
 
 
-def raw_rules(params: ModelParams, columns: Sequence[str] = JUMPING) -> list[JumpRule]:
+def raw_rules(
+    params: ModelParams, columns: Sequence[str] = JUMPING, shared_count: str | None = None
+) -> list[JumpRule]:
     return [
         JumpRule(
             p,
@@ -123,6 +181,7 @@ def raw_rules(params: ModelParams, columns: Sequence[str] = JUMPING) -> list[Jum
             number(params.of(p).raw_jump),
             number(params.of(p).median_availability),
             number(params.median_minutes * 60 / params.step),
+            shared_count=shared_count,
         )
         for p in columns
     ]
@@ -132,9 +191,9 @@ def raw_median(
     df: DataFrame, params: ModelParams, columns: Sequence[str] = JUMPING, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Median of the filled readings over the last 10 or 60 minutes, this reading included."""
-    rules = raw_rules(params, columns)
-    df = extend(extend(df, neighbours(rules, params.median_minutes * 60, Timeline(keys))), medians(rules))
-    return df.drop(*helper_columns(rules))
+    rules, seconds, t = raw_rules(params, columns), params.median_minutes * 60, Timeline(keys)
+    df = extend(df, middles(rules, seconds, t) | recent_counts(rules, seconds, t))
+    return extend(df, medians(rules)).drop(*helper_columns(rules))
 
 
 def raw_jumps(

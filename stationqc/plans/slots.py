@@ -1,8 +1,8 @@
 """The slot stage: every check on raw readings, on one wide row per slot.
 
 Input: ``device_id, qod_date, model, sec`` and the seven variables, one row per slot. All windows share one partitioning
-and one order, so the whole stage is one exchange and, but for the neighbourhood medians, one sort. The operators' levels
-are interleaved so that independent columns of different checks share a Window node.
+and one order, so the whole stage is one exchange. The operators' levels are interleaved: independent columns of
+different checks share a Window node, and rows are narrowed between nodes.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from stationqc.functions.columns import extend
-from stationqc.functions.windows import KEYS, Timeline
+from stationqc.functions.columns import any_of, extend
+from stationqc.functions.windows import KEYS, SO_FAR, Timeline, older_than, until
 from stationqc.operators import bounds, constancy, fill, jumps
 from stationqc.operators.annotate import text_annotation
-from stationqc.params import WIND, ModelParams
+from stationqc.params import JUMPING, VARIABLES, WIND, ModelParams
 
 
 def filled_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -27,12 +27,42 @@ def bounded_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS
     return bounds.obc_precip(bounds.precip_diff(bounds.obc_bounds(df, params), keys), params)
 
 
-def checked_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All raw flags of all variables; ``{p}__faulty`` and ``{p}__text`` sum them up."""
+def medians_where_needed(
+    df: DataFrame, rules: Sequence[jumps.JumpRule], seconds: int, everywhere: bool, keys: Sequence[str]
+) -> DataFrame:
+    """All medians, computed where a flag depends on them.
+
+    A jump needs the medians of its two sides, i.e. the readings of the ``seconds`` up to each; a tied series needs those
+    of its long windows. These neighbourhoods keep their rows together in one window partition each. Every other row
+    becomes a partition of its own, for which moving frames cost nothing. Row order and data partitioning stay what they
+    are, so this needs no shuffle. ``everywhere`` keeps whole series together and so makes every median exact.
+    """
+    t = Timeline(keys)
+    # Jump rows ahead within reach put this row into their neighbourhood; neighbourhoods are numbered by what is between.
+    near = "(_jump_ahead IS NOT NULL AND _jump_ahead >= sec)"
+    outside = t.over(f"count(if({near}, NULL, 1))", SO_FAR)
+    tied = constancy.tied_series(t, constancy.median_candidates())
+    df = extend(df, tied | {"_island": f"2 * {outside} + if({near}, 1, 0)"})
+    df = extend(df, {"_part": "-1L" if everywhere else "if(_tied, -1L, _island)"})
+    apart = Timeline((*keys, "_part"))
+    df = extend(df, jumps.middles(rules, seconds, apart) | constancy.middles(constancy.MEDIAN_TESTS, apart))
+    return df.drop("_part", "_tied", "_island", "_jump_ahead")
+
+
+def checked_slots(
+    df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, audit: bool = False
+) -> DataFrame:
+    """All raw flags of all variables; ``{p}__faulty`` and ``{p}__text`` sum them up.
+
+    ``audit`` computes the moving medians of all rows, not only of those a flag depends on.
+    """
     t = Timeline(keys)
-    rules = jumps.raw_rules(params)
-    df = filled_slots(df, params, keys)
-    # counts, neighbours and medians of the filled readings
+    seconds = params.median_minutes * 60
+    rules = jumps.raw_rules(params, shared_count="_recent")
+    # A reading is what was filled in without being carried, so the originals need not travel along.
+    df = filled_slots(df, params, keys).drop(*VARIABLES)
+    # counts so far, neighbours
+    count = "count(if(present, 1, NULL))"
     df = extend(
         df,
         fill.fill_neighbour(t)
@@ -41,25 +71,35 @@ def checked_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS
         | constancy.readings_seen(t)
         | constancy.low_counts(t)
         | constancy.last_reading(t)
-        | jumps.neighbours(rules, params.median_minutes * 60, t),
+        | jumps.neighbours(rules, t)
+        | {"_recent": f"{t.over(count, SO_FAR)} - {t.over(count, older_than(seconds - 1))}"},
+    )
+    df = extend(df, jumps.steps(rules) | constancy.window_counts())
+    # runs of equal readings, jumps ahead
+    jump = any_of(f"{p}__couple = 1" for p in JUMPING)
+    df = extend(
+        df,
+        fill.fill_counter(t)
+        | constancy.run_starts(t)
+        | {"_jump_ahead": t.over(f"max(if({jump}, sec, NULL))", until(seconds - 1))},
     )
-    df = extend(df, jumps.medians(rules) | bounds.bounds_columns(params) | jumps.no_datum_columns())
-    df = extend(df, jumps.distances(rules))
-    # runs of equal readings, sides of a jump
-    df = extend(df, fill.fill_counter(t) | constancy.run_starts(t) | jumps.blame(rules, t))
-    # repeats of a blamed reading, medians that have to be computed
+    df = extend(df, constancy.stuck_columns(params))
+    df = medians_where_needed(df, rules, seconds, audit, keys)
+    df = extend(df, jumps.medians(rules) | constancy.settled(constancy.MEDIAN_TESTS))
+    df = extend(df, jumps.distances(rules) | constancy.verdicts())
+    # hits onto the windows before them, sides of a jump against each other
+    df = extend(df, constancy.spread(params, t) | jumps.distances_around(rules, t))
+    df = extend(df, {p: f"if(is_fill, NULL, {p}__filled)" for p in VARIABLES})
     df = extend(
         df,
-        jumps.flags(rules, t)
-        | constancy.tied_series(t, constancy.median_candidates(params))
-        | bounds.obc_precip_column(params)
-        | jumps.not_applicable(),
+        constancy.constancy_flags()
+        | jumps.flags(rules)
+        | jumps.not_applicable()
+        | jumps.no_datum_columns()
+        | bounds.bounds_columns(params)
+        | bounds.obc_precip_column(params),
     )
-    df = constancy.settle_medians(df, constancy.MEDIAN_TESTS, keys)
-    df = extend(df, constancy.verdicts(params))
-    # hits onto the windows before them
-    df = extend(extend(df, constancy.spread(params, t)), constancy.constancy_flags())
     if not params.two_level:
         df = constancy.wind_coupling(df)
-    df = df.drop(*jumps.helper_columns(rules), *[f"_{p}_latest" for p in WIND], "_slot", "_after_fill", "_previous")
+    df = df.drop(*[c for c in df.columns if c.startswith("_")])
     return text_annotation(jumps.raw_total(df))
