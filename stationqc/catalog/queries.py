@@ -243,8 +243,7 @@ def audit(df: DataFrame, params: ModelParams) -> DataFrame:
 
 
 def binned(df: DataFrame, params: ModelParams, texts: bool = False) -> DataFrame:
-    long = bins.readings_by_parameter(checked_slots(df, params), params, texts=texts)
-    return bins.bin_readings(long, params, texts=texts)
+    return bins.bin_readings(checked_slots(df, params), params, texts=texts)
 
 
 def time_bins(df: DataFrame, params: ModelParams) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stationqc.functions.columns import (
     any_of,
@@ -25,11 +26,13 @@ from stationqc.functions.columns import (
 )
 from stationqc.functions.windows import KEYS, Timeline
 from stationqc.operators.annotate import BIN_TEXTS, append_text
+from stationqc.operators.constancy import LONG_CHECKED
 from stationqc.operators.jumps import RAW_FLAGS, JumpRule, search_jumps
 from stationqc.params import (
     GAUGE_MM,
     JUMPING,
     RAIN,
+    STICKING,
     VARIABLES,
     WARMUP_MINUTES,
     WIND,
@@ -53,54 +56,84 @@ def per_kind(speed: str, direction: str, rain: str, scalar: str) -> str:
     )
 
 
-def readings_by_parameter(
-    df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False
-) -> DataFrame:
-    """One row per slot and variable, with the bin it falls into. Needs the raw flags of all variables."""
-    nothing = "CAST(NULL AS DOUBLE)"
-
-    def reading(p: str) -> str:
-        fields = {
-            "parameter": f"'{p}'",
-            "bin": floor_to("sec", params.of(p).bin_minutes * 60),
-            "value": p,
-            "u": wind_u(*WIND) if p in WIND else nothing,
-            "v": wind_v(*WIND) if p in WIND else nothing,
-            "rain": "precip_diff" if p == RAIN else nothing,
-            "faulty": f"{p}__faulty",
-        }
-        fields |= {f: f"coalesce({p}__{f}, 0)" for f in RAW_FLAGS}
-        if texts:
-            fields["text"] = f"{p}__text"
-        return f"struct({', '.join(f'{sql} AS {name}' for name, sql in fields.items())})"
-
-    readings = ", ".join(reading(p) for p in VARIABLES)
-    return df.selectExpr(*keys, "model", "sec", "first_sec", "last_sec", f"inline(array({readings}))")
-
-
-def bin_readings(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False) -> DataFrame:
-    """Counts, plain and clean means, rain sums and flag counts per bin: one hash aggregate for all of them."""
-    rain_limit = by_parameter(params, lambda v: v.bin_minutes * 60 * GAUGE_MM)
-    aggregates = {
-        "num_time_slots": "count(value)",
-        "num_total_slots": "count(1)",
-        "num_faulty": "sum(faulty)",
-        "mean": "avg(value)",
-        "mean_clean": "avg(if(faulty = 0, value, NULL))",
-        "u": "avg(u)",
-        "v": "avg(v)",
-        "u_clean": "avg(if(faulty = 0, u, NULL))",
-        "v_clean": "avg(if(faulty = 0, v, NULL))",
-        "rain": f"sum(if(rain > 0 AND rain <= {rain_limit}, rain, NULL))",
-        "first_sec": "max(first_sec)",
-        "last_sec": "max(last_sec)",
+SCALARS = tuple(p for p in VARIABLES if p not in (*WIND, RAIN))
+
+# Flags a variable can have at all.
+APPLICABLE = {
+    p: {"obc", "no_datum"}
+    | ({"invalid", "unidentified"} if p in JUMPING else set())
+    | ({"const"} if p in STICKING else set())
+    | ({"long"} if p in LONG_CHECKED else set())
+    | ({"frozen"} if p in WIND else set())
+    for p in VARIABLES
+}
+NULL_DOUBLE = "CAST(NULL AS DOUBLE)"
+
+
+def _partials(p: str, params: ModelParams, texts: bool) -> dict[str, str]:
+    """Sums and counts of one variable that add up over time; the same names for every variable."""
+    u, v = (f(*WIND) if p in WIND else None for f in (wind_u, wind_v))
+
+    def total(value: str | None) -> str:
+        return f"sum({value})" if value else NULL_DOUBLE
+
+    def clean(value: str | None) -> str:
+        return f"sum(if({p}__faulty = 0, {value}, NULL))" if value else NULL_DOUBLE
+
+    scalar = p if p in SCALARS else None
+    limit = number(params.of(p).bin_minutes * 60 * GAUGE_MM)
+    columns = {
+        "num_time_slots": f"count({p})",
+        "num_faulty": f"sum({p}__faulty)",
+        "clean_slots": f"count(if({p}__faulty = 0, {p}, NULL))",
+        "total": total(scalar),
+        "total_clean": clean(scalar),
+        "u": total(u),
+        "v": total(v),
+        "u_clean": clean(u),
+        "v_clean": clean(v),
+        "rain": f"sum(if(precip_diff > 0 AND precip_diff <= {limit}, precip_diff, NULL))" if p == RAIN else NULL_DOUBLE,
     }
-    aggregates |= {f"n_{f}": f"count(if({f} > 0, 1, NULL))" for f in RAW_FLAGS}
+    columns |= {f"n_{f}": f"count(if({p}__{f} > 0, 1, NULL))" if f in APPLICABLE[p] else "0L" for f in RAW_FLAGS}
     if texts:
-        # One entry per slot of the bin: 20 at most.
-        ordered = "transform(array_sort(collect_list(struct(sec, text))), x -> x.text)"
-        aggregates["annotation"] = f"ltrim(',', array_join({ordered}, ','))"
-    return df.groupBy(*keys, "model", "parameter", "bin").agg(*named(aggregates))
+        columns["texts"] = f"collect_list(struct(sec, {p}__text AS text))"
+    return columns
+
+
+def bin_readings(slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False) -> DataFrame:
+    """Counts, plain and clean means, rain sums and flag counts per (series, parameter, bin). Needs the raw flags.
+
+    The slots of the shortest bin are added up with all variables side by side first, and laid out as one row per
+    variable only then: 4 or 20 times fewer rows than the slots themselves would make. Variables with longer bins are
+    added up once more. Every aggregate is on a superset of the keys the rows are partitioned by: no shuffle.
+    """
+    shortest = min(v.bin_minutes for v in params.variables)
+    partials = {p: _partials(p, params, texts) for p in VARIABLES}
+    names = list(partials[RAIN])
+    shared = {"num_total_slots": "count(1)", "first_sec": "max(first_sec)", "last_sec": "max(last_sec)"}
+    side_by_side = {f"{p}__{n}": sql for p in VARIABLES for n, sql in partials[p].items()}
+    start = F.expr(floor_to("sec", shortest * 60)).alias("bin")
+    wide = slots.groupBy(*keys, "model", start).agg(*named(shared | side_by_side))
+    columns = ", ".join(f"({', '.join(f'{p}__{n}' for n in names)}) AS {p}" for p in VARIABLES)
+    df = slots.sparkSession.sql(
+        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(names)}) FOR parameter IN ({columns}))", wide=wide
+    )
+    if any(v.bin_minutes != shortest for v in params.variables):
+        cases = " ".join(f"WHEN '{v.parameter}' THEN {v.bin_minutes * 60}L" for v in params.variables)
+        bin_start = F.expr(floor_to("bin", f"(CASE parameter {cases} END)")).alias("bin")
+        sums = {"num_total_slots": "sum(num_total_slots)", "first_sec": "max(first_sec)", "last_sec": "max(last_sec)"}
+        sums |= {n: f"sum({n})" if n != "texts" else "flatten(collect_list(texts))" for n in names}
+        df = df.groupBy(*keys, "model", "parameter", bin_start).agg(*named(sums))
+    columns = {
+        "mean": "try_divide(total, double(num_time_slots))",
+        "mean_clean": "try_divide(total_clean, double(clean_slots))",
+    }
+    columns |= {c: f"try_divide({c}, double(num_time_slots))" for c in ("u", "v")}
+    columns |= {c: f"try_divide({c}, double(clean_slots))" for c in ("u_clean", "v_clean")}
+    if texts:
+        # One text per slot of the bin: 20 at most.
+        columns["annotation"] = "ltrim(',', array_join(transform(array_sort(texts), x -> x.text), ','))"
+    return extend(df, columns).drop("total", "total_clean", "clean_slots", "texts")
 
 
 def bin_means(df: DataFrame, params: ModelParams) -> DataFrame:

@@ -61,6 +61,29 @@ def middles(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, s
     return {f"_{r.name}_mid": t.over(f"percentile({r.value}, 0.5D)", last_seconds(seconds)) for r in rules}
 
 
+def recent_values(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
+    """All series' values of the last ``seconds`` in one list, for series that have their gaps in common."""
+    values = ", ".join(f"{r.value} AS {r.name}" for r in rules)
+    return {"_recent_values": t.over(f"collect_list(if(present, struct({values}), NULL))", last_seconds(seconds))}
+
+
+def sorted_at_jumps(rules: Sequence[JumpRule]) -> dict[str, str]:
+    """Each series' recent values in order, on the two sides of its jumps only."""
+    return {
+        f"_{r.name}_sorted": f"if({r.name}__couple = 1, sort_array(_recent_values.{r.name}), NULL)" for r in rules
+    }
+
+
+def middles_of_sorted(rules: Sequence[JumpRule]) -> dict[str, str]:
+    """Median from the sorted values."""
+    columns = {}
+    for r in rules:
+        s = f"_{r.name}_sorted"
+        low, high = f"try_element_at({s}, int((size({s}) + 1) div 2))", f"try_element_at({s}, int(size({s}) div 2 + 1))"
+        columns[f"_{r.name}_mid"] = f"if(size({s}) > 0, ({low} + {high}) / 2, NULL)"
+    return columns
+
+
 def recent_counts(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
     """Values in the last ``seconds``: the ones so far less the ones before that."""
     return {

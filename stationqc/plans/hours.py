@@ -15,8 +15,7 @@ def aggregated_bins(
     slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False, jumps: bool | None = None
 ) -> DataFrame:
     """All bin columns. ``jumps=False`` leaves out the jump search of a model that has no thresholds for it."""
-    df = bins.readings_by_parameter(slots, params, keys, texts)
-    df = bins.bin_means(bins.bin_readings(df, params, keys, texts), params)
+    df = bins.bin_means(bins.bin_readings(slots, params, keys, texts), params)
     search = bins.has_bin_jumps(params) if jumps is None else jumps
     df = bins.bin_jumps(df, params, keys) if search else bins.no_bin_jumps(df)
     df = bins.bin_availability_rewards(bins.bin_availability(df, params), params)

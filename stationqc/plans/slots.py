@@ -34,8 +34,8 @@ def medians_where_needed(
 
     A jump needs the medians of its two sides, i.e. the readings of the ``seconds`` up to each; a tied series needs those
     of its long windows. These neighbourhoods keep their rows together in one window partition each. Every other row
-    becomes a partition of its own, for which moving frames cost nothing. Row order and data partitioning stay what they
-    are, so this needs no shuffle. ``everywhere`` keeps whole series together and so makes every median exact.
+    becomes a partition of its own, for which moving frames cost next to nothing. Row order and data partitioning stay what they
+    are, so this needs no shuffle. ``everywhere`` keeps whole series together and computes every median.
     """
     t = Timeline(keys)
     # Jump rows ahead within reach put this row into their neighbourhood; neighbourhoods are numbered by what is between.
@@ -45,8 +45,13 @@ def medians_where_needed(
     df = extend(df, tied | {"_island": f"2 * {outside} + if({near}, 1, 0)"})
     df = extend(df, {"_part": "-1L" if everywhere else "if(_tied, -1L, _island)"})
     apart = Timeline((*keys, "_part"))
-    df = extend(df, jumps.middles(rules, seconds, apart) | constancy.middles(constancy.MEDIAN_TESTS, apart))
-    return df.drop("_part", "_tied", "_island", "_jump_ahead")
+    tests = constancy.middles(constancy.MEDIAN_TESTS, apart)
+    if everywhere:
+        df = extend(df, jumps.middles(rules, seconds, apart) | tests)
+    else:
+        df = extend(df, jumps.recent_values(rules, seconds, apart) | tests)
+        df = extend(extend(df, jumps.sorted_at_jumps(rules)), jumps.middles_of_sorted(rules))
+    return df.drop("_part", "_tied", "_island", "_jump_ahead", "_recent_values", *[f"_{r.name}_sorted" for r in rules])
 
 
 def checked_slots(

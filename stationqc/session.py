@@ -8,13 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 # A 30-hour station-day of the 16-second model has 6,750 slots; the default window buffer spills at 4,096.
-# A station-day is a few hundred kilobytes but takes a second of window work: small reduce tasks keep all cores busy.
+# A reading shuffles to tens of bytes but takes a fraction of a millisecond of window work, so reduce tasks are sized far
+# below the defaults. ``spark.sql.shuffle.partitions`` stays the cluster's choice and the upper bound of their number.
+#
+# The widest projections and the wide bin aggregate make methods the JVM refuses to compile beyond 8,000 bytes of bytecode;
+# Spark is told to notice and use its split, compilable form instead.
 SETTINGS = {
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.codegen.aggregate.splitAggregateFunc.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.windowExec.buffer.in.memory.threshold": "16384",
 }
