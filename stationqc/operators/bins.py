@@ -70,29 +70,29 @@ APPLICABLE = {
 NULL_DOUBLE = "CAST(NULL AS DOUBLE)"
 
 
-def _partials(p: str, params: ModelParams, texts: bool) -> dict[str, str]:
+def _partials(p: str, params: ModelParams, texts: bool, means: str) -> dict[str, str]:
     """Sums and counts of one variable that add up over time; the same names for every variable."""
     u, v = (f(*WIND) if p in WIND else None for f in (wind_u, wind_v))
 
     def total(value: str | None) -> str:
-        return f"sum({value})" if value else NULL_DOUBLE
+        return f"sum({value})" if value and means != "none" else NULL_DOUBLE
 
     def clean(value: str | None) -> str:
-        return f"sum(if({p}__faulty = 0, {value}, NULL))" if value else NULL_DOUBLE
+        return f"sum(if({p}__faulty = 0, {value}, NULL))" if value and means == "all" else NULL_DOUBLE
 
     scalar = p if p in SCALARS else None
     limit = number(params.of(p).bin_minutes * 60 * GAUGE_MM)
     columns = {
         "num_time_slots": f"count({p})",
         "num_faulty": f"sum({p}__faulty)",
-        "clean_slots": f"count(if({p}__faulty = 0, {p}, NULL))",
+        "clean_slots": f"count(if({p}__faulty = 0, {p}, NULL))" if means == "all" else "0L",
         "total": total(scalar),
         "total_clean": clean(scalar),
         "u": total(u),
         "v": total(v),
         "u_clean": clean(u),
         "v_clean": clean(v),
-        "rain": f"sum(if(precip_diff > 0 AND precip_diff <= {limit}, precip_diff, NULL))" if p == RAIN else NULL_DOUBLE,
+        "rain": total(f"if(precip_diff > 0 AND precip_diff <= {limit}, precip_diff, NULL)" if p == RAIN else None),
     }
     columns |= {f"n_{f}": f"count(if({p}__{f} > 0, 1, NULL))" if f in APPLICABLE[p] else "0L" for f in RAW_FLAGS}
     if texts:
@@ -100,24 +100,30 @@ def _partials(p: str, params: ModelParams, texts: bool) -> dict[str, str]:
     return columns
 
 
-def bin_readings(slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False) -> DataFrame:
+def bin_readings(
+    slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False, means: str = "all"
+) -> DataFrame:
     """Counts, plain and clean means, rain sums and flag counts per (series, parameter, bin). Needs the raw flags.
 
     The slots of the shortest bin are added up with all variables side by side first, and laid out as one row per
     variable only then: 4 or 20 times fewer rows than the slots themselves would make. Variables with longer bins are
     added up once more. Every aggregate is on a superset of the keys the rows are partitioned by: no shuffle.
+
+    Columns inside the layout are out of the optimizer's sight, so callers say what they need: ``means`` is ``all``,
+    ``plain`` (no clean means) or ``none``; what is left out is null.
     """
     shortest = min(v.bin_minutes for v in params.variables)
-    partials = {p: _partials(p, params, texts) for p in VARIABLES}
+    partials = {p: _partials(p, params, texts, means) for p in VARIABLES}
     names = list(partials[RAIN])
     shared = {"num_total_slots": "count(1)", "first_sec": "max(first_sec)", "last_sec": "max(last_sec)"}
     side_by_side = {f"{p}__{n}": sql for p in VARIABLES for n, sql in partials[p].items()}
     start = F.expr(floor_to("sec", shortest * 60)).alias("bin")
     wide = slots.groupBy(*keys, "model", start).agg(*named(shared | side_by_side))
-    columns = ", ".join(f"({', '.join(f'{p}__{n}' for n in names)}) AS {p}" for p in VARIABLES)
-    df = slots.sparkSession.sql(
-        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(names)}) FOR parameter IN ({columns}))", wide=wide
+    readings = ", ".join(
+        f"struct('{p}' AS parameter, {', '.join(f'{p}__{n} AS {n}' for n in names)})" for p in VARIABLES
     )
+    # Not an unpivot: Spark forgets the partitioning across that, and would shuffle again for every aggregate after it.
+    df = wide.selectExpr(*keys, "model", "bin", *shared, f"inline(array({readings}))")
     if any(v.bin_minutes != shortest for v in params.variables):
         cases = " ".join(f"WHEN '{v.parameter}' THEN {v.bin_minutes * 60}L" for v in params.variables)
         bin_start = F.expr(floor_to("bin", f"(CASE parameter {cases} END)")).alias("bin")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationqc.functions.windows import KEYS
+from stationqc.operators.bins import has_bin_jumps
 from stationqc.operators.grid import resample_grid
 from stationqc.operators.scores import daily_rows, final_shape, hour_pivot
 from stationqc.params import MODELS, ModelParams
@@ -20,7 +21,9 @@ from stationqc.sources.telemetry import one_row_per_time, select_rows, with_qod_
 
 def score_series(slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
     """Score series of one model that already carry ``sec`` and their keys: one row per series and hour."""
-    hours = scored_hours(checked_slots(slots, params, keys), params, keys)
+    # Scores are counts; averages matter where they are searched for jumps.
+    means = "plain" if has_bin_jumps(params) else "none"
+    hours = scored_hours(checked_slots(slots, params, keys), params, keys, means=means)
     return final_shape(daily_rows(hour_pivot(hours, keys), keys))
 
 
