@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationqc.llm import mixing, quality_rules
+from stationqc.llm import fingerprints, mixing, packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_pack_sequences": packing.op9_pack_sequences,
 }
 
 ORACLE_SQL: dict[str, str] = {
