@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationqc.llm import fingerprints, mixing, packing, quality_rules
+from stationqc.llm import fingerprints, mixing, packing, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op6_secret_scan": secrets.op6_secret_scan,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_pack_sequences": packing.op9_pack_sequences,
