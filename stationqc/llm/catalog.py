@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationqc.llm import fingerprints, mixing, packing, quality_rules, secrets
+from stationqc.llm import fingerprints, jaccard_join, mixing, packing, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_pack_sequences": packing.op9_pack_sequences,
+    "op10_ngram_jaccard": jaccard_join.op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
