@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationqc.llm import fingerprints, jaccard_join, mixing, packing, quality_rules, secrets, toxicity
+from stationqc.llm import fingerprints, html_templates, jaccard_join, mixing, packing, quality_rules, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_extract_html": html_templates.op1_extract_html,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_secret_scan": secrets.op6_secret_scan,
