@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationqc.llm import fingerprints, html_templates, jaccard_join, licenses, mixing, packing, quality_rules, secrets, toxicity
+from stationqc.llm import fingerprints, html_templates, jaccard_join, licenses, mixing, packing, quality_rules, secrets, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extract_html": html_templates.op1_extract_html,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_token_files": token_files.op5_token_files,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_mix_sources": mixing.op8_mix_sources,
