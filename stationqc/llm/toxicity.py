@@ -4,8 +4,9 @@ Confirmed toxic texts (P) and texts of which nothing is assumed (U) train a line
 toxic rows among the labelled ones, the risk is pi * R(P as toxic) + max(0, R(U as clean) - pi * R(P as clean)): the correction takes the
 toxic texts hidden in U out of its risk, and is not let below zero, where it would only memorize P.
 
-A text's features are its words (any case, outer punctuation off) and their beginnings, present or not, hashed into 2 ** FEATURE_BITS. Only
-features that are more frequent in P than in U by RATIO are learned. P and U are bounded samples, P_ROWS and U_ROWS at most, the first by a hash of
+A text's features are its words (any case, outer punctuation off) and their beginnings, hashed into 2 ** FEATURE_BITS: that one is there, and that one
+is dense (at least one in DENSE words), since in some languages toxic words begin like rare harmless ones. Only
+features that are clearly more frequent in P than in U are learned. P and U are bounded samples, P_ROWS and U_ROWS at most, the first by a hash of
 doc_id, taken from rows whose fold is not held out; every text of the table is scored, whole, where it is read.
 
 Null and empty texts have no features and get the score of the bias. Without confirmed toxic rows all scores are 0. Repeated rows get the
@@ -14,6 +15,7 @@ same score; repeated labels count once, the highest; extra columns are ignored;
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +33,16 @@ U_ROWS = 8000
 FEATURE_BITS = 22
 #: Lengths of the word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6, 7)
-#: A feature is learned if it is in so many texts of P, at least, and so many times as frequent there as in U.
-LEAST_TEXTS, LEAST_SHARE, RATIO = 3, 0.004, 2.0
+#: Words per occurrence of a dense feature, at most.
+DENSE = 130
+#: A feature is learned if it is RATIO times as frequent in P as in U, and in more texts of P than U lets expect, by SURPRISE standard deviations.
+RATIO, SURPRISE = 2.0, 4.0
 MOST_FEATURES = 4096
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 REMEMBERED = 1_000_000
 
+#: Where the numbers of dense features begin.
+_DENSE_FROM = 1 << FEATURE_BITS
 _OUTER = "".join(map(chr, range(33, 48))) + ":;<=>?@[]^_`{|}~¡¿«»“”„‘’…"
 
 
@@ -49,7 +55,7 @@ def word_features(word: str) -> tuple[int, ...]:
     if not word:
         return ()
     parts = [f"={word}", *(word[:n] for n in BEGINNINGS if len(word) >= n)]
-    return tuple(xxhash.xxh3_64_intdigest(p) & (1 << FEATURE_BITS) - 1 for p in parts)
+    return tuple(xxhash.xxh3_64_intdigest(p) & _DENSE_FROM - 1 for p in parts)
 
 
 class Features(dict):
@@ -63,15 +69,15 @@ class Features(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         found = word_features(word)
-        self[word] = found = found if self.only is None else tuple(f for f in found if f in self.only)
+        self[word] = found = found if self.only is None else tuple(f for f in found if f in self.only or f + _DENSE_FROM in self.only)
         return found
 
     def of(self, text: str | None) -> set[int]:
-        found: set[int] = set()
-        for features in map(self.__getitem__, set((text or "").lower().split())):
-            if features:
-                found.update(features)
-        return found
+        words = (text or "").lower().split()
+        times = Counter(f for features in map(self.__getitem__, words) if features for f in features)
+        found = set(times)
+        found.update(f + _DENSE_FROM for f, n in times.items() if n * DENSE >= len(words))
+        return found if self.only is None else {f for f in found if f in self.only}
 
 
 class Model:
@@ -87,11 +93,12 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     positive = [np.frombuffer(x, np.int64) for x in sorted({np.sort(p).astype(np.int64).tobytes() for p in positive if len(p)})]
     if not positive or not unlabelled:
         return Model({}, -40.0)
-    size = 1 << FEATURE_BITS
+    size = 2 * _DENSE_FROM
     in_p = np.bincount(np.concatenate(positive), minlength=size)
     in_u = np.bincount(np.concatenate([np.asarray(u, np.int64) for u in unlabelled]), minlength=size)
     share_p, share_u = in_p / len(positive), (in_u + 1) / len(unlabelled)
-    usable = (in_p >= max(LEAST_TEXTS, LEAST_SHARE * len(positive))) & (share_p >= RATIO * share_u)
+    expected = share_u * len(positive)
+    usable = (in_p - expected >= SURPRISE * np.sqrt(expected + 1)) & (share_p >= RATIO * share_u)
     gain = np.where(usable, share_p * np.log(np.maximum(share_p, 1e-12) / share_u), 0)
     chosen = np.flatnonzero(usable)
     chosen = np.sort(chosen[np.argsort(-gain[chosen], kind="stable")[:MOST_FEATURES]])
