@@ -201,18 +201,16 @@ def _nested(host: pd.DataFrame) -> pd.DataFrame:
     valid_paths, valid = set(), []
     classes = [(c["depth"].min(), c["position"].min(), c) for _, c in host.groupby(["v1", "v2", "n"], sort=True)]
     for _, _, c in sorted(classes, key=lambda x: x[:2]):
-        tags = c[c["kind"] == "tag"]
-        own = set(tags["path"])
+        own = set(c.loc[c["kind"] == "tag", "path"])  # a tag stands for two tokens, where it begins and where it ends
         around = {p.rpartition("/")[0] for p in own} - own
-        if len(tags) and len(c) > 1 and all(not p or p in valid_paths for p in around):
-            # A text or word belongs to the class only inside its tags or those around them.
-            inside = c[(c["kind"] == "tag") | c["path"].isin(own | valid_paths)]
+        if own and all(not p or p in valid_paths for p in around):
             valid_paths |= own
-            valid.append(inside)
+            valid.append(c)
     if not valid:
         return pd.DataFrame({"host": [], "tags": [], "texts": []})
     every = pd.concat(valid)
-    texts = sorted(every.loc[every["kind"] == "text", "token"])
+    # A text is the template's if its vector is that of tags and it stands within the template.
+    texts = sorted(every.loc[(every["kind"] == "text") & every["path"].isin(valid_paths), "token"])
     return pd.DataFrame({"host": [host["host"].iloc[0]], "tags": [sorted(valid_paths)], "texts": [texts]})
 
 
