@@ -550,9 +550,7 @@ WITH near AS (
 best AS (
   SELECT device_id, slot, first(value ORDER BY abs(us - slot * 1000000), us, value) AS value FROM near
   GROUP BY device_id, slot),
-days AS (
-  SELECT DISTINCT device_id, slot // 86400 AS d FROM best
-  UNION SELECT DISTINCT device_id, slot // 86400 + 1 FROM best WHERE slot % 86400 >= 64800),
+days AS (SELECT DISTINCT device_id, slot // 86400 AS d FROM best),
 spine AS (
   SELECT device_id, d, d * 86400 - 21600 + g.range * 180 AS slot FROM days CROSS JOIN range(600) g)
 SELECT device_id, CAST(make_timestamp(d * 86400000000) AS DATE) AS qod_date,
@@ -576,7 +574,7 @@ def oracle() -> dict[str, str]:
         UNION ALL SELECT device_id, CAST(CAST(utc_datetime AS DATE) + INTERVAL 1 DAY AS DATE), utc_datetime FROM r
         WHERE utc_datetime >= CAST(utc_datetime AS DATE) + INTERVAL 18 HOUR"""
     q["model_params"] = params_sql()
-    q["output_schema"] = q["quality_scores"] = both("SELECT * FROM final")
+    q["output_schema"] = q["quality_scores"] = q["write_scores"] = q["unsent_rows"] = both("SELECT * FROM final")
     q["select_raw_columns"] = both(
         "SELECT device_id, utc_datetime, parameter, value, round(median, 6) AS rolling_median,"
         " round(diff, 6) AS consec_obs_diff_abs, round(md, 6) AS median_diff_abs, obc AS ann_obc,"

@@ -96,7 +96,16 @@ def model_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
     write_scores(score_fleet(all_readings(spark, sf_dir)), path)
-    return spark.read.parquet(path)
+    return final_rows(spark.read.parquet(path))
+
+
+def unsent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores where stations leave out a row instead of sending an incomplete one, with two readings of other rows beside each in its second."""
+    sent = all_readings(spark, sf_dir).na.drop(subset=list(VARIABLES))
+    torn = [F.lit(None).cast("double").alias(p) if p == "humidity" else F.col(p) for p in VARIABLES]
+    later = (F.col("utc_datetime") + F.expr("INTERVAL '0.25' SECOND")).alias("utc_datetime")
+    others = [sent.select("device_id", *torn, "model", "utc_datetime"), sent.select("device_id", *VARIABLES, "model", later)]
+    return final_rows(score_fleet(union_days(sent, *others)))
 
 
 def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "qod_window": qod_window,
     "model_params": model_params,
     "write_scores": written_scores,
+    "unsent_rows": unsent_rows,
     "output_schema": both_models(output_rows),
     "select_raw_columns": both_models(audit),
     # normalisation and gap filling
@@ -473,3 +483,8 @@ QUERIES: dict[str, Query] = {
     "first_24": both_models(first_hours),
     "quality_scores": quality_scores,
 }
+
+#: Queries of the 16-second model alone, whose stations need a day of slots before an hour counts.
+TWO_LEVEL = frozenset(
+    ["hour_scalar", "hour_corrected", "hour_wind", "hour_wind_corrected", "hour_precip", "hour_annotation_tokens", "hour_valid_pct", "hour_flag"]
+)

@@ -48,12 +48,12 @@ def append_text(text: str, condition: str, code: str) -> str:
 
 
 def codes_of(counts: Mapping[str, str], total: str) -> str:
-    """Array of (code, pct) for the codes with a count; pct of the total, half-even to one decimal."""
+    """Array of (code, pct) for the codes with a count, however small; pct of the total, half-even to one decimal."""
     shares = ", ".join(
-        f"struct('{code}' AS code, bround(try_divide(double({n}), double({total})) * 100, 1) AS pct)"
-        for code, n in counts.items()
+        f"struct('{code}' AS code, try_divide(double({n}), double({total})) * 100 AS pct)" for code, n in counts.items()
     )
-    return f"coalesce(filter(array({shares}), x -> x.pct > 0), {NO_CODES})"
+    with_count = f"filter(array({shares}), x -> x.pct > 0)"
+    return f"coalesce(transform({with_count}, x -> struct(x.code AS code, bround(x.pct, 1) AS pct)), {NO_CODES})"
 
 
 def daily_param_codes(hourly: str) -> str:

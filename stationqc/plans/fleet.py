@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from stationqc.functions.windows import KEYS
 from stationqc.operators.bins import has_bin_jumps
-from stationqc.operators.grid import resample_grid
+from stationqc.operators.grid import fill_missing_slots, resample_grid
 from stationqc.operators.scores import daily_rows, final_shape, hour_pivot
-from stationqc.params import MODELS, ModelParams
+from stationqc.params import MODELS, VARIABLES, ModelParams
 from stationqc.plans.hours import scored_hours
 from stationqc.plans.slots import checked_slots
 from stationqc.schema import to_output_schema
-from stationqc.sources.telemetry import one_row_per_time, select_rows, with_qod_date
+from stationqc.sources.telemetry import dedup_rows, one_row_per_second, select_rows, with_qod_date
 
 
 def score_series(slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -36,8 +36,9 @@ def score_fleet(
 ) -> DataFrame:
     """Telemetry in the input schema to 24 scored rows per station-day.
 
-    Two exchanges: one that removes copies (skipped when ``deduplicated`` says there are none), and one on
-    ``(device_id, qod_date)`` that everything after it builds on. ``dates`` limits the days scored and reaches the scan;
+    Two exchanges: one that removes copies (skipped when ``deduplicated`` says that seconds are unique), and one on
+    ``(device_id, qod_date)`` that everything after it builds on. Slots missing between a series' first and last row count as
+    missing readings. ``dates`` limits the days scored and reaches the scan;
     ``models`` limits the station models. ``regrid`` moves irregular readings onto the model's grid first (the first
     exchange then does that as well). Rows of unknown models are left to
     :func:`stationqc.sources.telemetry.rejected_rows`.
@@ -50,7 +51,9 @@ def score_fleet(
         if regrid:
             rows = resample_grid(rows, MODELS[name])
         else:
-            rows = with_qod_date(rows if deduplicated else one_row_per_time(rows))
+            rows = with_qod_date(rows if deduplicated else dedup_rows(rows))
+            rows = rows if deduplicated else one_row_per_second(rows)
+            rows = fill_missing_slots(rows, MODELS[name].step, VARIABLES, ("model",))
         if dates:
             rows = rows.filter(F.col("qod_date").isin(*dates))
         part = to_output_schema(score_series(rows, MODELS[name]))

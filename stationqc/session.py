@@ -27,14 +27,19 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set what the user has not set."""
+    already = spark.conf.getAll
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in already:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share; of its own only on a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="stationqc-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

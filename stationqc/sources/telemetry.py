@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationqc.functions.columns import epoch_seconds
-from stationqc.params import MODELS
+from stationqc.functions.columns import epoch_seconds, extend
+from stationqc.functions.windows import KEYS
+from stationqc.params import MODELS, VARIABLES
 from stationqc.schema import to_input_schema
 
 CONTEXT_HOURS = 6
@@ -24,10 +25,20 @@ def read_telemetry(
 ) -> DataFrame:
     """Parquet telemetry of any number of stations and days, in the input schema.
 
-    Files keep their own column types (``utc_datetime`` may be text); station and time filters reach the scan.
+    Each path keeps its own column types (``utc_datetime`` may be text); station and time filters reach the scan.
     """
-    raw = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
-    return select_rows(to_input_schema(raw), device_ids, dates)
+    every = [spark.read.parquet(path) for path in ([paths] if isinstance(paths, str) else paths)]
+    days = [to_input_schema(_text_days(raw, dates)) for raw in every]
+    return select_rows(union_days(*days), device_ids, dates)
+
+
+def _text_days(raw: DataFrame, dates: Sequence[date] | None) -> DataFrame:
+    """Of times that are text, those from the day before the first named day to the last one: texts of this form sort like times, and
+    such a filter prunes the scan, as one on the cast could not."""
+    if not dates or dict(raw.dtypes)["utc_datetime"] != "string":
+        return raw
+    first, last = min(dates) - timedelta(days=1), max(dates) + timedelta(days=1)
+    return raw.filter((F.col("utc_datetime") >= first.isoformat()) & (F.col("utc_datetime") < last.isoformat()))
 
 
 def select_rows(
@@ -55,22 +66,20 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def one_row_per_time(df: DataFrame) -> DataFrame:
-    """Drop exact copies and, of different rows for one station and time, keep the smallest.
+def one_row_per_second(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Of different rows for one second of a series, the one with the fewest missing values, then the earliest, then the smallest.
 
-    One aggregate with map-side combining. After it a station-day holds at most one row per second, whatever the input
-    looked like, which is what bounds every later per-station-day window.
+    A window on the series' own keys and order, which later windows share. After it a station-day holds at most one row per
+    second, whatever the input looked like, which is what bounds them.
     """
-    values = [c for c in df.columns if c not in ("device_id", "utc_datetime")]
-    return (
-        df.groupBy("device_id", "utc_datetime")
-        .agg(F.min(F.struct(*values)).alias("_row"))
-        .select("device_id", "utc_datetime", "_row.*")
-    )
+    missing = " + ".join(f"if({p} IS NULL, 1, 0)" for p in VARIABLES)
+    order = ", ".join(["sec", missing, "utc_datetime", *VARIABLES])
+    before = extend(df, {"_before": f"lag(sec) OVER (PARTITION BY {', '.join(keys)} ORDER BY {order})"})
+    return before.filter("_before IS NULL OR _before <> sec").drop("_before")
 
 
 def conflicting_rows(df: DataFrame) -> DataFrame:
-    """Times for which a station sent different rows, with how many; what :func:`one_row_per_time` had to choose from."""
+    """Times for which a station sent different rows, with how many; what :func:`one_row_per_second` has to choose from."""
     return (
         dedup_rows(df)
         .groupBy("device_id", "utc_datetime")
@@ -97,9 +106,13 @@ def rejected_rows(df: DataFrame) -> DataFrame:
 
 
 def write_scores(df: DataFrame, path: str) -> None:
-    """Parquet, one folder per scored day; a rerun replaces only the days it produced."""
+    """Parquet, one folder per scored day; a rerun replaces only the days it produced.
+
+    Rows are dealt by day first, large days over several tasks and small ones together, so that files follow the data's size.
+    """
+    dealt = df.sparkSession.sql("SELECT /*+ REBALANCE(qod_date) */ * FROM {scores}", scores=df)
     (
-        df.write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("qod_date")
         .parquet(path)

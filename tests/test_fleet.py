@@ -11,7 +11,7 @@ from stationqc.params import MODELS
 from stationqc.schema import input_schema, output_schema, to_input_schema
 from stationqc.sources.telemetry import (
     conflicting_rows,
-    one_row_per_time,
+    one_row_per_second,
     read_telemetry,
     rejected_rows,
     with_qod_date,
@@ -89,6 +89,70 @@ def test_two_exchanges_and_no_python(spark):
     assert "Join" not in plan and "Python" not in plan and "SinglePartition" not in plan
 
 
+def test_a_station_that_was_offline_is_not_perfect(telemetry):
+    """No rows from 03:00 to 21:00: all 24 hours are scored, the missing ones as missing."""
+    station = telemetry.filter("device_id = 'WS2000-1'")
+    clock = F.hour("utc_datetime") + F.when(F.to_date("utc_datetime") < F.lit("2024-01-01").cast("date"), -24).otherwise(0)
+    holes = station.filter(~clock.between(3, 20))
+    got = score_fleet(holes, models=["WS2000"]).select("hour", "hourly_score", "qod_score").collect()
+    whole = {r["hour"]: r["hourly_score"] for r in score_fleet(station, models=["WS2000"]).collect()}
+    assert sorted(r["hour"] for r in got) == list(range(24))
+    assert all(r["hourly_score"] == 0 for r in got if 4 <= r["hour"] <= 20)
+    assert all(r["hourly_score"] <= whole[r["hour"]] for r in got) and {r["qod_score"] < 0.3 for r in got} == {True}
+
+
+def test_rows_that_are_left_out_score_like_empty_ones(telemetry, scored):
+    sent = telemetry.na.drop(subset=["temperature", "humidity"])
+    assert sent.count() < telemetry.count()
+    assert as_set(score_fleet(sent, models=["WS2000"])) == as_set(scored)
+
+
+def test_no_reading_is_lost_to_an_empty_row_or_a_fraction(telemetry, scored):
+    """Beside each row one with less in it, and one later in its second; in any order."""
+    torn = telemetry.withColumn("humidity", F.lit(None).cast("double"))
+    later = telemetry.withColumn("utc_datetime", F.col("utc_datetime") + F.expr("INTERVAL '0.9' SECOND")).withColumn("pressure", F.lit(1.0))
+    rows = telemetry.unionByName(torn).unionByName(later).orderBy(F.rand(3))
+    complete = telemetry.na.drop(subset=["temperature", "humidity"]).select("device_id", "utc_datetime")
+    rows = rows.withColumn("_second", F.date_trunc("second", F.col("utc_datetime").cast("timestamp_ntz")).cast("timestamp_ntz"))
+    rows = rows.join(complete.withColumnRenamed("utc_datetime", "_second"), ["device_id", "_second"], "left_semi").select(*telemetry.columns)
+    assert as_set(score_fleet(rows, models=["WS2000"])) == as_set(scored)
+
+
+def test_settings_of_the_user_stay(spark):
+    from stationqc.session import configure
+
+    was = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "77m")
+        assert configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "77m"
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", was)
+
+
+def test_day_files_of_different_types_and_text_times(spark, telemetry, tmp_path):
+    midnight = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
+    text = telemetry.filter(f"utc_datetime < {midnight}").withColumn("utc_datetime", F.col("utc_datetime").cast("string"))
+    text.withColumn("temperature", F.col("temperature").cast("string")).write.parquet(str(tmp_path / "a"))
+    telemetry.filter(f"utc_datetime >= {midnight}").write.parquet(str(tmp_path / "b"))
+    df = read_telemetry(spark, [str(tmp_path / "a"), str(tmp_path / "b")], dates=[dt.date(2024, 1, 1)])
+    assert as_set(df) == as_set(telemetry.select(*df.columns))
+    plan = read_telemetry(spark, str(tmp_path / "a"), dates=[dt.date(2024, 1, 1)])._jdf.queryExecution().executedPlan().toString()
+    assert "utc_datetime,2023-12-31" in plan.split("PushedFilters:")[1].split("ReadSchema")[0]
+
+
+def test_a_day_that_is_only_context_is_not_made(telemetry):
+    late = telemetry.filter("device_id = 'WS2000-1'")
+    assert late.agg(F.max(F.hour("utc_datetime"))).first()[0] == 23
+    days = {str(r["qod_date"]) for r in score_fleet(late, models=["WS2000"], regrid=True).select("qod_date").distinct().collect()}
+    assert days == {"2023-12-31", "2024-01-01"}
+
+
+def test_files_of_a_day_follow_its_size(scored, tmp_path):
+    days = scored.withColumn("qod_date", F.explode(F.sequence(F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 5))))).repartition(8)
+    write_scores(days, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("qod_date=*/*.parquet"))) == 5
+
+
 def test_evening_rows_serve_two_days_and_fractions_after_midnight_none(spark):
     times = ["2024-01-01 17:59:59", "2024-01-01 18:00:00", "2024-01-01 23:59:59", "2024-01-01 23:59:59.5"]
     df = spark.createDataFrame([(t,) for t in times], "t string").selectExpr("CAST(t AS TIMESTAMP_NTZ) AS utc_datetime")
@@ -110,7 +174,8 @@ def test_rejects_and_conflicts_are_reported(telemetry):
     rows = telemetry.unionByName(first).unionByName(other).unionByName(unknown)
     assert rejected_rows(rows).count() == 1
     assert [r["variants"] for r in conflicting_rows(rows.filter(F.col("model").isin(*MODELS))).collect()] == [2]
-    assert one_row_per_time(rows).count() == telemetry.count()
+    known = with_qod_date(rows.filter(F.col("model").isin(*MODELS)))
+    assert one_row_per_second(known).count() == with_qod_date(telemetry).count()
 
 
 def test_not_a_number_is_missing(spark):

@@ -125,12 +125,14 @@ def test_reward_share_snaps_to_full_only_above_the_threshold(spark):
 
 def test_shares_round_half_to_even(spark):
     sql = hours.codes_of({"OBC": "n"}, "total")
-    df = spark.createDataFrame([(1, 16), (3, 16), (0, 16), (0, 0)], "n bigint, total bigint").selectExpr(f"{sql} AS c")
+    counts = [(1, 16), (3, 16), (0, 16), (0, 0), (1, 3600)]
+    df = spark.createDataFrame(counts, "n bigint, total bigint").selectExpr(f"{sql} AS c")
     assert [[(x["code"], x["pct"]) for x in r["c"]] for r in df.collect()] == [
         [("OBC", 6.2)],
         [("OBC", 18.8)],
         [],
         [],
+        [("OBC", 0.0)],
     ]
 
 
