@@ -5,7 +5,8 @@ A document's set holds its distinct SHINGLE-word shingles (A-Z in lower case). T
 1. Equal sets are one class, known by a 128-bit digest; only classes are joined, copies follow their class.
 2. The shingles of a class are hashed into groups, more groups than the symmetric difference of two linked sets can hold shingles (for its
    band of set sizes). So linked sets agree in all shingles of some group, and meet under that group's digest. This brings together what may
-   link without any pair in sight; digests that only one class has go at once.
+   link without any pair in sight; digests that only one class has go at once. There are so many groups that linked sets agree in several:
+   a class that meets others under fewer digests than that has no link.
 3. A class is first compared with the class of the highest degree among those it meets. This joins large groups of near copies to one
    another with one comparison each.
 4. Where still different components meet, the classes' count vectors (shingles in COUNTS groups) are the points of an R-tree. An overlap is at
@@ -38,7 +39,9 @@ SHINGLE = 4
 #: Percent of the union that linked sets share.
 LEAST = 85
 #: Coordinates of a count vector.
-COUNTS = 64
+COUNTS = 256
+#: Bounds that are computed at a time.
+AT_A_TIME = 8192
 #: Classes of one meeting place in one task, and points or boxes in an R-tree's box.
 CHUNK = 2000
 FANOUT = 16
@@ -47,7 +50,7 @@ BAND = 1.6
 #: Bits of the filter of candidate documents, whatever their number.
 FILTER_BITS = 1 << 23
 #: Words and class digests that a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 
 _U = np.uint64
 _ODD = tuple(_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
@@ -106,37 +109,49 @@ def band_edges(ratio: float = BAND) -> list[int]:
 _EDGES = band_edges()
 
 
-def group_digests(s: np.ndarray, least: int = LEAST) -> np.ndarray:
+def group_digests(s: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Where the set meets others: of each band that it can have a larger or equal partner in, a digest of each filled group.
 
     In a band whose sets have at most `top` shingles, two linked sets differ in `most` shingles at most, so in as many groups. If fewer groups
-    than that are filled, those in common may all be empty: then empty ones are given too.
+    than that are filled, those in common may all be empty: then empty ones are given too. Beside each digest: the band, times 65,536, and
+    how many digests of the band a linked set has in common with this one at least.
     """
-    n, found = len(s), []
+    n, found, needs = len(s), [], []
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     b = int(np.searchsorted(_EDGES, n, "right")) - 1
     while _EDGES[b] * least <= n * 100 or _EDGES[b] <= n:
         most = 2 * (_EDGES[b + 1] - 1) * (100 - least) // (100 + least)
-        groups = 1 if most == 0 else most + 1 + max(3, most // 10)
+        groups = 1 if most == 0 else most + 1 + max(3, most // 8)
         group = ((s >> _U(32)) * _U(groups)) >> _U(32)
         starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         own = group[starts]
         content = np.add.reduceat(_mix(s), starts)
+        need = groups - most - (groups - len(own))
         if len(own) <= most:
+            need = groups - most
             empty = np.setdiff1d(np.arange(groups, dtype=np.uint64), own)
             own, content = np.concatenate([own, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
         found.append(_mix(content ^ _mix(own * _ODD[0] + _U(b))))
+        needs.append(np.full(len(own), (b << 16) + min(need, (1 << 16) - 1)))
         b += 1
-    return np.concatenate(found).view(np.int64)
+    return np.concatenate(found).view(np.int64), np.concatenate(needs)
 
 
-def counts(s: np.ndarray) -> np.ndarray:
-    """The count vector: shingles by the leading bits of a second hash."""
-    return np.bincount((_mix(s ^ _ODD[1]) >> _U(64 - COUNTS.bit_length() + 1)).astype(np.int64), minlength=COUNTS).astype("<u4")
+def counts(s: np.ndarray) -> bytes:
+    """The count vector, shingles by the leading bits of a second hash: a byte per count if all fit, else four."""
+    found = np.bincount((_mix(s ^ _ODD[1]) >> _U(64 - COUNTS.bit_length() + 1)).astype(np.int64), minlength=COUNTS)
+    return found.astype("u1" if found.max() < 256 else "<u4").tobytes()
 
 
-_MEETINGS = pa.schema([("meet", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
+def points(vectors: list[bytes]) -> np.ndarray:
+    """Count vectors as rows."""
+    if all(len(v) == COUNTS for v in vectors):
+        return np.frombuffer(b"".join(vectors), "u1").reshape(-1, COUNTS)
+    return np.stack([np.frombuffer(v, "u1" if len(v) == COUNTS else "<u4").astype(np.uint32) for v in vectors])
+
+
+_MEETINGS = pa.schema([("meet", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("need", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,24 +159,25 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[tuple[int, int]] = set()
     for batch in batches:
         for part in tokens.slices(batch, "text"):
-            ids, sizes, c1, c2, vectors, meet, m1, m2 = [], [], [], [], [], [], [], []
+            ids, sizes, c1, c2, vectors, meet, needs, m1, m2 = [], [], [], [], [], [], [], [], []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
                 s = shingle_set(text)
                 key = digest(s) if len(s) else (None, None)
                 ids.append(doc_id), sizes.append(len(s)), c1.append(key[0]), c2.append(key[1])
                 new = len(s) > 0 and key not in seen
-                vectors.append(counts(s).tobytes() if new else None)
+                vectors.append(counts(s) if new else None)
                 if new:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(key)
-                    meet.append(group_digests(s))
+                    digests, need = group_digests(s)
+                    meet.append(digests), needs.append(need)
                     m1.append(np.full(len(meet[-1]), key[0])), m2.append(np.full(len(meet[-1]), key[1]))
             # A document's row is dealt by its id, so that copies don't meet in one place.
-            rows = [pa.array(ids, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary())]
+            rows = [pa.array(ids, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary())]
             yield pa.record_batch(rows, schema=_MEETINGS)
             if meet:
-                flat = [pa.array(np.concatenate(x), pa.int64()) for x in (meet, m1, m2)]
+                flat = [pa.array(np.concatenate(x), pa.int64()) for x in (meet, m1, m2, needs)]
                 none = pa.nulls(len(flat[0]), pa.int64())
                 yield pa.record_batch([*flat, none, none, pa.nulls(len(flat[0]), pa.binary())], schema=_MEETINGS)
 
@@ -212,7 +228,9 @@ class RTree:
                 size = np.maximum(low[node], -(-sizes[q] * least // 100))
                 live = (size <= high[node]) & (size * least <= sizes[q] * 100) & ~((one[node] == other[node]) & (one[node] == parts[q]))
                 q, node, size = q[live], node[live], size[live]
-                bound = np.minimum(points[q], top[node]).sum(axis=1, dtype=np.int64)
+                bound = np.empty(len(q), np.int64)
+                for k in range(0, len(q), AT_A_TIME):
+                    bound[k : k + AT_A_TIME] = np.minimum(points[q[k : k + AT_A_TIME]], top[node[k : k + AT_A_TIME]]).sum(axis=1, dtype=np.int64)
                 live = bound * (100 + least) >= least * (sizes[q] + size)
                 q, node = q[live], node[live]
                 if depth:
@@ -242,11 +260,11 @@ def _near(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     def places(rows: pa.Table) -> Iterator[np.ndarray]:
         key = np.stack([rows.column(c).to_numpy() for c in ("meet", "i", "j")], axis=1)
         columns = [rows.column(c).to_numpy() for c in ("node", "n", "part")]
-        vector = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4").reshape(-1, COUNTS)
+        vectors = rows.column("counts").to_pylist()
         left = rows.column("left").to_numpy(zero_copy_only=False).astype(bool)
         starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
         for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
-            yield _near_in_place((columns[0][a:b], columns[1][a:b], columns[2][a:b], vector[a:b], left[a:b]), least)
+            yield _near_in_place((columns[0][a:b], columns[1][a:b], columns[2][a:b], points(vectors[a:b]), left[a:b]), least)
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         found = np.concatenate([np.empty((0, 2), np.int64), *places(rows)])
@@ -282,7 +300,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = docs.mapInArrow(_describe, "meet long, c1 long, c2 long, doc_id long, n long, counts binary")
+    rows = docs.mapInArrow(_describe, "meet long, c1 long, c2 long, need long, doc_id long, n long, counts binary")
     place = Window.partitionBy("meet")
     # Documents' rows stay; of the others those where two classes meet. The one large shuffle.
     met = [(F.min(F.when(F.col("n").isNull(), F.col(c))).over(place) != F.max(F.when(F.col("n").isNull(), F.col(c))).over(place)) for c in ("c1", "c2")]
@@ -290,7 +308,10 @@ def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     rows = written(rows)
     members = rows.filter("n is not null").select("doc_id", "n", "c1", "c2", "counts")
     classes = members.filter("c1 is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"))
-    meetings = rows.filter("n is null").select("meet", "c1", "c2").distinct()
+    meetings = rows.filter("n is null").select("meet", "c1", "c2", "need").distinct()
+    strong = meetings.groupBy("c1", "c2", "need").agg(F.count("*").alias("has")).filter("has >= need % 65536").drop("has")
+    meetings = meetings.join(strong, ["c1", "c2", "need"], "left_semi").withColumn("_here", F.count("*").over(place))
+    meetings = written(meetings.filter("_here > 1").select("meet", "c1", "c2"))
 
     # Candidate classes get small numbers of their own, stable as they are written.
     degrees = meetings.groupBy("c1", "c2").agg(F.count("*").alias("degree"))
