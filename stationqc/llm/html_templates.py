@@ -1,6 +1,6 @@
 """Main text of pages by deducing each host's template from equivalence classes of tokens.
 
-Tokens are tags with their path of open tags, texts between tags with theirs, and the words of short texts. A token's occurrence vector over the pages
+Tokens are tags with their path of open tags, and texts between tags with theirs. A token's occurrence vector over the pages
 of a host is known by sums over the pages of page hash times count: such sums combine before they are moved, so no page list of a host is ever in
 one place. Tokens with the same vector are an equivalence class; it is valid if it has a tag, is frequent in its host, and is nested, that
 is, all tags around it are in valid classes too. The valid classes of a host, outermost first, are its template.
@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationqc.llm import tokens
-from stationqc.llm.common import read
+from stationqc.llm.common import read, written
 
 #: Pages with different main texts that a host needs for a template, and the share of its pages that a class must be on.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.5
-#: Texts with at most so many words also give their words as tokens.
-SHORT = 12
+#: Template texts, in bytes, up to which all templates are given to every task; beyond, pages and templates are joined by host.
+SMALL = 16 << 20
 
 # Fixed values of HTML: elements without content, with raw content, that stand in blocks of their own, and that end an open one of the same kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -151,28 +151,24 @@ def blocks(page: str, template: frozenset[int] = frozenset()) -> list[str]:
     return inside or [block for _, block in every]
 
 
-def page_tokens(page: str) -> tuple[Counter, dict[int, tuple[str, str, int]]]:
-    """Counts of a page's tokens, and of each token its kind, path and first position."""
+def page_tokens(page: str) -> tuple[Counter, dict[int, tuple[int, str | None, int]]]:
+    """Counts of a page's tokens, and of each token the tag it stands in (itself, of a tag), a tag's path, and its first position."""
     seen: Counter = Counter()
-    about: dict[int, tuple[str, str, int]] = {}
+    about: dict[int, tuple[int, str | None, int]] = {}
     for position, (kind, element, value) in enumerate(events(page)):
-        found = []
         if kind == "tag":
-            found = [(_hash(element.path), "tag")]
-        elif kind == "text" and element:
-            content = " ".join(html.unescape(value).split())
-            if content:
-                split = content.split(" ")
-                found = [(_hash(element.path, content), "text")]
-                if len(split) <= SHORT:
-                    found += [(_hash(element.path, w, "word"), "word") for w in set(split)]
-        for token, kind_of in found:
-            seen[token] += 1
-            about.setdefault(token, (kind_of, element.path, position))
+            token = tag = _hash(element.path)
+            path = element.path
+        elif kind == "text" and element and (content := " ".join(html.unescape(value).split())):
+            token, tag, path = _hash(element.path, content), _hash(element.path), None
+        else:
+            continue
+        seen[token] += 1
+        about.setdefault(token, (tag, path, position))
     return seen, about
 
 
-_TOKENS = pa.schema([("host", pa.string()), ("token", pa.int64()), ("kind", pa.string()), ("path", pa.string()), ("n", pa.int64()), ("v1", pa.int64()), ("v2", pa.int64()), ("pages", pa.int64()), ("position", pa.int64())])
+_TOKENS = pa.schema([("host", pa.string()), ("token", pa.int64()), ("tag", pa.int64()), ("path", pa.string()), ("n", pa.int64()), ("v1", pa.int64()), ("v2", pa.int64()), ("pages", pa.int64()), ("position", pa.int64())])
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +182,8 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen, about = page_tokens(page or "")
                 of_page = xxhash.xxh3_64_intdigest(f"{page_id}")
                 for token, n in seen.items():
-                    kind, path, position = about[token]
-                    row = sums.setdefault((host, token), [kind, path, 0, 0, 0, 0, 0])
+                    tag, path, position = about[token]
+                    row = sums.setdefault((host, token), [tag, path, 0, 0, 0, 0, 0])
                     # Two sums of 31-bit hashes: exact in 64 bits for two billion occurrences.
                     for k, x in enumerate((n, (of_page & 0x7FFFFFFF) * n, (of_page >> 33) * n, 1, position), 2):
                         row[k] += x
@@ -196,32 +192,36 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _nested(host: pd.DataFrame) -> pd.DataFrame:
-    """The valid classes of a host: with a tag, and all tags around their tokens valid, from the outermost inwards."""
-    host = host.assign(depth=host["path"].str.count("/"))
+    """The valid classes of a host: with a tag, and all tags around its own valid, from the outermost inwards."""
+    is_tag = host["token"] == host["tag"]
+    host = host.assign(is_tag=is_tag, depth=host["path"].where(is_tag, "").str.count("/").where(is_tag, 1 << 30))
     valid_paths, valid = set(), []
     classes = [(c["depth"].min(), c["position"].min(), c) for _, c in host.groupby(["v1", "v2", "n"], sort=True)]
     for _, _, c in sorted(classes, key=lambda x: x[:2]):
-        own = set(c.loc[c["kind"] == "tag", "path"])  # a tag stands for two tokens, where it begins and where it ends
+        own = set(c.loc[c["is_tag"], "path"])  # a tag stands for two tokens, where it begins and where it ends
         around = {p.rpartition("/")[0] for p in own} - own
         if own and all(not p or p in valid_paths for p in around):
             valid_paths |= own
             valid.append(c)
     if not valid:
-        return pd.DataFrame({"host": [], "tags": [], "texts": []})
+        return pd.DataFrame({"host": [], "tags": [], "texts": []}, dtype=object)
     every = pd.concat(valid)
     # A text is the template's if its vector is that of tags and it stands within the template.
-    texts = sorted(every.loc[(every["kind"] == "text") & every["path"].isin(valid_paths), "token"])
+    inside = every["tag"].isin({_hash(p) for p in valid_paths})
+    texts = sorted(every.loc[~every["is_tag"] & inside, "token"])
     return pd.DataFrame({"host": [host["host"].iloc[0]], "tags": [sorted(valid_paths)], "texts": [texts]})
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tags, texts): the paths of each host's template tags and the hashes of its texts, of pages (page_id, host, html)."""
-    occurrences = pages.mapInArrow(_occurrences, "host string, token long, kind string, path string, n long, v1 long, v2 long, pages long, position long")
+    occurrences = pages.mapInArrow(_occurrences, "host string, token long, tag long, path string, n long, v1 long, v2 long, pages long, position long")
     sums = [F.sum(c).alias(c) for c in ("n", "v1", "v2", "pages", "position")]
-    found = occurrences.groupBy("host", "token").agg(F.min("kind").alias("kind"), F.min("path").alias("path"), *sums)
+    found = occurrences.groupBy("host", "token").agg(F.first("tag").alias("tag"), F.first("path").alias("path"), *sums)
+    # No token on fewer pages can be in a template; most content goes here.
+    found = found.filter(F.col("pages") >= LEAST_PAGES * LEAST_SHARE)
     sizes = pages.filter("host <> ''").groupBy("host").agg(F.count("*").alias("host_pages"), F.approx_count_distinct(F.xxhash64(F.regexp_extract("html", r"(?is)<body.*", 0))).alias("different"))
     common = found.join(sizes, "host").filter((F.col("different") >= LEAST_PAGES) & (F.col("pages") >= F.col("host_pages") * LEAST_SHARE))
-    common = common.withColumn("position", F.col("position") / F.col("pages")).select("host", "token", "kind", "path", "n", "v1", "v2", "position")
+    common = common.withColumn("position", F.col("position") / F.col("pages")).select("host", "token", "tag", "path", "n", "v1", "v2", "position")
     return common.groupBy("host").applyInPandas(_nested, "host string, tags array<string>, texts array<long>")
 
 
@@ -233,7 +233,9 @@ def host(url: Column) -> Column:
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of pages (page_id, url, html)."""
     pages = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
-    joined = pages.join(templates(pages.select("page_id", "host", "html")).select("host", "texts"), "host", "left")
+    found = written(templates(pages.select("page_id", "host", "html"))).select("host", "texts").filter("size(texts) > 0")
+    size = found.agg(F.sum(F.length("host") + F.size("texts") * 8)).first()[0] or 0
+    joined = pages.join(F.broadcast(found) if size <= SMALL else found, "host", "left")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, frozenset[int]] = {}
