@@ -49,7 +49,7 @@ ENDS_PARAGRAPH = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "t
 #: Elements, and words in class, id or role, that are not part of the main text.
 ASIDE = frozenset("head title nav footer aside form button select input label menu dialog".split())
 ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disclaimer|footer|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|notification"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comment\w*|consent|cookies?|disclaimer|footer|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|notification"
     r"|pagination|popup|promo\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
     re.IGNORECASE,
 )
@@ -67,7 +67,10 @@ class Element:
         # A header inside the main part holds the article's own title; elsewhere it is the site's.
         inside = bool(parent and parent.main)
         self.main = inside or name in ("article", "main") or mark == ".main"
-        self.aside = bool(parent and parent.aside) or name in ASIDE or (name == "header" and not inside) or bool(mark and name not in ("html", "body", "article", "main") and ASIDE_WORDS.search(mark[1:]))
+        named = ASIDE_WORDS.search(mark[1:]) if mark and name not in ("html", "body", "article", "main") else None
+        aside = name in ASIDE or bool(named)
+        header = name == "header" or bool(named) and named[0].strip(" _-").lower() == "header"
+        self.aside = bool(parent and parent.aside) or (not inside if header else aside)
 
 
 def events(page: str) -> Iterator[tuple[str, Element | None, str]]:

@@ -52,6 +52,15 @@ def test_template_texts_go(spark):
     assert found[99] == "Site\nWords of page 1 and 7.\nAll rights reserved"  # too few pages for a template
 
 
+def test_what_is_not_main_text_goes():
+    from stationqc.llm.html_templates import blocks
+
+    page = """<header><h1>Site</h1></header><div class="cookie-notice">We bake</div><main><header class="post-header"><h1>Title &lt;1&gt;</h1></header>
+    <p>First&nbsp;line<br>goes on</p><form>Mail <input></form><aside>See also</aside><ul><li>One<li>Two</ul><div id="comments"><p>Nice!</p></div>
+    <table><tr><td>a<td>b</table><blockquote>Q</blockquote>tail</main><div class="sidebar">Side</div><footer>End</footer>"""
+    assert blocks(page) == ["Title <1>", "First line goes on", "One", "Two", "a", "b", "Q", "tail"]
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
