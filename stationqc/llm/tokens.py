@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,12 +19,13 @@ import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces that a worker remembers (some 200 bytes each); a full table is begun anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 #: Characters of text that are worked on at a time, and so the bound of a worker's memory beside a single long text.
 CHARS_AT_A_TIME = 2_000_000
 
-_ADJACENT = re.compile(r"\s\s|\A\s|\s\Z")
 _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
+#: Punctuation that is an id sequence of its own behind a letter.
+_BEHIND = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
 def default_path() -> str:
@@ -35,35 +38,69 @@ class Encoder:
     """Ids as little-endian unsigned 32-bit integers in bytes."""
 
     def __init__(self, path: str):
+        if sys.byteorder != "little":
+            raise ValueError("ids are kept in the machine's byte order, which has to be little-endian")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[object, bytes] = {}
-
-    def _learn(self, missing: list) -> None:
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-        # A tuple is the first piece of a text or one that is not split at spaces: it is taken as it is.
-        texts = [p[0] if type(p) is tuple else p if p[:1] == "\n" else " " + p for p in missing]
-        for p, found in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self.known[p] = np.array(found.ids, "<u4").tobytes()
+        self.known: dict[object, bytes | None] = {}
+        self.ends: dict[str, bytes] = {}
+
+    def _learn(self, missing: set) -> None:
+        letters, behind, others = set(), [], []
+        for p in missing:
+            if type(p) is tuple:  # the first piece of a text, or one that is not split at spaces: as it is
+                others.append((p, p[0]))
+                continue
+            core = p.rstrip(_BEHIND)
+            if core.isalpha():
+                if core not in self.known:
+                    letters.add(core)
+                if core != p:
+                    behind.append((p, core, p[len(core) :]))
+            elif not p or p[-1].isspace() or (p[1] if p[0] == "\n" else p[0]).isspace():
+                self.known[p] = None  # white space at a bound: its text is split in the other way
+            else:
+                others.append((p, p if p[0] == "\n" else " " + p))
+        letters = list(letters)
+        if letters:
+            found = self.tokenizer.encode(" " + " ".join(letters), add_special_tokens=False)
+            starts = np.flatnonzero(np.diff(np.array(found.word_ids, np.int64), prepend=-1)).tolist()
+            if len(starts) == len(letters):
+                ids = array("I", found.ids).tobytes()
+                for p, start, stop in zip(letters, starts, [*starts[1:], len(ids) // 4], strict=True):
+                    self.known[p] = ids[4 * start : 4 * stop]
+            else:
+                others += [(p, " " + p) for p in letters]
+        ends = list({x for _, _, x in behind}.difference(self.ends))
+        for texts, keys, table in (([t for _, t in others], [p for p, _ in others], self.known), (ends, ends, self.ends)):
+            for p, found in zip(keys, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                table[p] = array("I", found.ids).tobytes()
+        for p, core, end in behind:
+            self.known[p] = self.known[core] + self.ends[end]
+
+    def _all(self, pieces: list) -> list[bytes | None]:
+        new = set(pieces).difference(self.known)
+        if new:
+            if len(self.known) + 2 * len(new) > REMEMBERED:
+                self.known.clear(), self.ends.clear()
+                new = set(pieces)
+            self._learn(new)
+        return list(map(self.known.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _ADJACENT.search(text):
-            pieces = [(p,) for p in _BETWEEN.split(text)]
-        else:
-            pieces = text.replace("\n", " \n").split(" ")
-            pieces[0] = (pieces[0],)
-        new = list(set(pieces).difference(self.known))
-        if new:
-            self._learn(new)
-            if len(self.known) < len(new) or not self.known.keys() >= set(pieces):
-                self._learn(list(set(pieces).difference(self.known)))
-        return b"".join(map(self.known.__getitem__, pieces))
+        pieces = text.replace("\n", " \n").split(" ")
+        first = pieces[0]
+        if first and not first[0].isspace() and not first[-1].isspace():
+            pieces[0] = (first,)
+            found = self._all(pieces)
+            if None not in found:
+                return b"".join(found)
+        return b"".join(self._all([(p,) for p in _BETWEEN.split(text)]))
 
 
 _encoders: dict[str, Encoder] = {}
