@@ -152,7 +152,15 @@ def tied_series(t: Timeline, candidates: Mapping[MedianTest, str]) -> dict[str,
 
 
 def middles(tests: Sequence[MedianTest], t: Timeline) -> dict[str, str]:
-    return {f"_{x.name}": t.over(f"percentile({x.column}, 0.5D)", past_seconds(x.minutes * 60)) for x in tests}
+    """``_{test}``: the median where exactly half of the readings are on the low side, halfway between the two sides."""
+
+    def middle(x: MedianTest) -> str:
+        frame = past_seconds(x.minutes * 60)
+        low = t.over(f"max(if({x.holds(x.column)}, {x.column}, NULL))", frame)
+        high = t.over(f"min(if({x.holds(x.column)}, NULL, {x.column}))", frame)
+        return f"({low} + {high}) / 2"
+
+    return {f"_{x.name}": middle(x) for x in tests}
 
 
 def settled(tests: Sequence[MedianTest]) -> dict[str, str]:
@@ -172,7 +180,7 @@ def settled(tests: Sequence[MedianTest]) -> dict[str, str]:
 def settle_medians(df: DataFrame, tests: Sequence[MedianTest], keys: Sequence[str] = KEYS) -> DataFrame:
     """Median tests with medians computed in tied series only: their rows stay in one window partition, all
     other rows become partitions of their own, for which a moving frame costs nothing. Row order and data partitioning
-    stay what they are, so this needs no shuffle.."""
+    stay what they are, so this needs no shuffle."""
     df = extend(df, {"_part": "if(_tied, -1L, sec)"})
     df = extend(extend(df, middles(tests, Timeline((*keys, "_part")))), settled(tests))
     return df.drop("_part", "_tied", *[f"_{x.name}" for x in tests], *[f"_{x.name}_low" for x in tests])
@@ -237,6 +245,8 @@ def verdicts() -> dict[str, str]:
 
 
 ANY_HIT = tuple(p for p in STICKING if p not in WIND)
+
+
 def spread(params: ModelParams, t: Timeline) -> dict[str, str]:
     """Verdicts onto the windows before them."""
     marks = {
