@@ -97,16 +97,19 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     Same columns as docs; n_chars follows the text where the table has it.
     """
     given = docs.columns
-    sized = docs.withColumn("size", F.size(words(F.col("text"))).cast("long"))
-    taken = with_taken(sized, **settings).filter("taken > 0")
+    size = F.size(words(F.col("text"))).cast("long").alias("size")
+    # The rows' own columns travel in one, whatever their names.
+    taken = with_taken(docs.select("doc_id", "source", size, F.struct(*given).alias("_doc")), **settings).filter("taken > 0")
     copies = F.col("whole") + (F.col("extra") > 0).cast("int")
     each = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     partial = (F.col("_copy") > F.col("whole")) & (F.col("extra") < F.col("size"))
-    cut = let(F.struct(words(F.col("text")).alias("w"), F.col("extra").cast("int").alias("n")), lambda x: F.array_join(F.slice(x["w"], F.lit(1), x["n"]), " "))
-    out = each.withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
+    cut = let(F.struct(words(F.col("_doc.text")).alias("w"), F.col("extra").cast("int").alias("n")), lambda x: F.array_join(F.slice(x["w"], F.lit(1), x["n"]), " "))
+    out = each.select("_doc", partial.alias("_partial"), F.when(partial, cut).otherwise(F.col("_doc.text")).alias("_text"))
+    changed = {"text": F.col("_text")}
     if "n_chars" in given:
-        out = out.withColumn("n_chars", F.when(partial, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*given)
+        counted = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_partial"), counted).otherwise(F.col("_doc.n_chars"))
+    return out.select(*[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in given])
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
