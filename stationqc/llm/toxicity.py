@@ -30,7 +30,7 @@ from stationqc.llm.common import read
 FOLDS = 5
 P_ROWS = 4000
 U_ROWS = 8000
-FEATURE_BITS = 22
+FEATURE_BITS = 21
 #: Lengths of the word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6, 7)
 #: Words per occurrence of a dense feature, at most.
@@ -90,24 +90,29 @@ class Model:
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
     """Of the features of each text of P and of U. Equal texts of P count once."""
-    positive = [np.frombuffer(x, np.int64) for x in sorted({np.sort(p).astype(np.int64).tobytes() for p in positive if len(p)})]
+    positive = [np.frombuffer(x, np.int32) for x in sorted({np.sort(p).astype(np.int32).tobytes() for p in positive if len(p)})]
     if not positive or not unlabelled:
         return Model({}, -40.0)
     size = 2 * _DENSE_FROM
-    in_p = np.bincount(np.concatenate(positive), minlength=size)
-    in_u = np.bincount(np.concatenate([np.asarray(u, np.int64) for u in unlabelled]), minlength=size)
-    share_p, share_u = in_p / len(positive), (in_u + 1) / len(unlabelled)
+
+    def texts_with(rows: list[np.ndarray]) -> np.ndarray:
+        found = np.zeros(size, np.int32)
+        for r in rows:
+            found[r] += 1
+        return found
+
+    in_p, in_u = texts_with(positive), texts_with(unlabelled)
+    some = np.flatnonzero(in_p > SURPRISE)
+    share_p, share_u = in_p[some] / len(positive), (in_u[some] + 1) / len(unlabelled)
     expected = share_u * len(positive)
-    usable = (in_p - expected >= SURPRISE * np.sqrt(expected + 1)) & (share_p >= RATIO * share_u)
-    gain = np.where(usable, share_p * np.log(np.maximum(share_p, 1e-12) / share_u), 0)
-    chosen = np.flatnonzero(usable)
-    chosen = np.sort(chosen[np.argsort(-gain[chosen], kind="stable")[:MOST_FEATURES]])
-    column = np.full(size, -1)
+    usable = (in_p[some] - expected >= SURPRISE * np.sqrt(expected + 1)) & (share_p >= RATIO * share_u)
+    some, gain = some[usable], (share_p * np.log(share_p / share_u))[usable]
+    chosen = np.sort(some[np.argsort(-gain, kind="stable")[:MOST_FEATURES]])
+    column = np.full(size, -1, np.int32)
     column[chosen] = np.arange(len(chosen))
 
     def matrix(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
-        cells = [column[np.asarray(r, np.int64)] for r in rows]
-        cells = [c[c >= 0] for c in cells]
+        cells = [c[c >= 0] for c in (column[r] for r in rows)]
         return np.repeat(np.arange(len(rows)), [len(c) for c in cells]), np.concatenate([np.empty(0, np.int64), *cells]).astype(np.int64), len(rows)
 
     p, u = matrix(positive), matrix(unlabelled)
@@ -151,8 +156,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
                 yield pa.record_batch([part.column("p"), part.column("u"), part.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], names=["p", "u", "doc_id", "features"])
 
     rows = texts.select("doc_id", "text", "p", "u").mapInArrow(features, "p int, u boolean, doc_id long, features array<int>").toArrow()
-    rows = sorted(zip(*[rows.column(c).to_pylist() for c in ("doc_id", "p", "u")], (np.asarray(x, np.int32) for x in rows.column("features").to_numpy()), strict=True), key=lambda r: (r[0], r[3].tobytes()))
-    return train([r[3] for r in rows if r[1]], [r[3] for r in rows if r[2]], rate)
+    ids, p, u = (rows.column(c).to_pylist() for c in ("doc_id", "p", "u"))
+    features_of = [x for chunk in rows.column("features").chunks for x in chunk.to_numpy(zero_copy_only=False)]
+    order = sorted(range(len(ids)), key=lambda k: (ids[k], len(features_of[k]), features_of[k].tobytes()))
+    return train([features_of[k] for k in order if p[k]], [features_of[k] for k in order if u[k]], rate)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
