@@ -3,7 +3,7 @@
 The shingles of a text (SHINGLE words; a shorter text is one shingle) are hashed once. The top bits of a hash choose its bin, and each
 bin keeps its least hash. An empty bin j borrows from the first filled bin of its own random walk a_j + t * b_j (b_j odd, so a
 walk meets every bin once); equal walks in all documents make borrowed values comparable. The first filled bin of a walk has the least rank
-(p - a_j) / b_j mod BINS, which is computed directly. Of every bin the lowest BITS bits are kept; two bins then agree by chance with
+(p - a_j) / b_j mod BINS: PROBES steps are walked, and for what is still empty the ranks are compared. Of every bin the lowest BITS bits are kept; two bins then agree by chance with
 probability 2 ** -BITS, which `likeness` corrects for.
 
 Everything is built-in expressions on arrays within the row; memory is bounded by the longest text. Null texts count as empty. A text
@@ -25,6 +25,7 @@ SHINGLE = 5
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 BITS = 8
+PROBES = 8
 SEED = 11
 #: Documents in a range of ids, on average: the next document is found within ranges, and between ranges by their first rows.
 RANGE = 512
@@ -38,6 +39,7 @@ _STEP = [_random.randrange(BINS) | 1 for _ in range(BINS)]
 #: rank of bin p on the walk of bin j: (p * inverse step - offset) mod BINS.
 _INVERSE = [pow(step, -1, BINS) for step in _STEP]
 _OFFSET = [start * inverse % BINS for start, inverse in zip(_START, _INVERSE, strict=True)]
+_WALK = [[(start + t * step) % BINS for start, step in zip(_START, _STEP, strict=True)] for t in range(PROBES)]
 
 
 def _constants(values: list[int]) -> Column:
@@ -47,7 +49,8 @@ def _constants(values: list[int]) -> Column:
 def shingle_hashes(w: Column, size: int = SHINGLE) -> Column:
     """64-bit hashes of the shingles of an array of words; one of all words where they are fewer; none of no words."""
     n = F.size(w)
-    windows = F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(*[w[i + k] for k in range(size)]))
+    shifted = [F.slice(w, F.lit(k + 1), F.greatest(n - k, F.lit(0))) for k in range(size)]
+    windows = F.transform(F.slice(F.arrays_zip(*shifted), F.lit(1), F.greatest(n - size + 1, F.lit(0))), lambda x: F.xxhash64(x))
     return F.when(n >= size, windows).when(n > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -61,19 +64,25 @@ def signature(hashes: Column) -> Column:
     empty = lambda x: x.bitwiseAND(F.lit(_EMPTY)) == F.lit(_EMPTY)
     low = lambda x: x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
-    def filled(m: Column) -> Column:
+    def values(m: Column) -> Column:
+        """Of every bin its kept bits, null where it is empty."""
+        return F.transform(m, lambda x: F.when(~empty(x), low(x)))
+
+    def filled(v: Column) -> Column:
         """Of every filled bin: its index and value in one number."""
-        return F.filter(F.transform(m, lambda x, p: F.when(~empty(x), p * (1 << BITS) + low(x))), lambda x: x.isNotNull())
+        return F.filter(F.transform(v, lambda x, p: p * (1 << BITS) + x), lambda x: x.isNotNull())
 
-    def densified(m: Column, f: Column) -> Column:
+    def densified(v: Column, f: Column) -> Column:
         def borrowed(j: Column) -> Column:
             walk = F.struct(F.get(_constants(_INVERSE), j).alias("inverse"), F.get(_constants(_OFFSET), j).alias("offset"))
             rank = lambda e, k: (F.shiftright(e, BITS) * k["inverse"] - k["offset"]).bitwiseAND(F.lit(BINS - 1))
-            return let(walk, lambda k: F.array_min(F.transform(f, lambda e: rank(e, k) * (1 << BITS) + e.bitwiseAND(F.lit((1 << BITS) - 1)))))
+            least = let(walk, lambda k: F.array_min(F.transform(f, lambda e: rank(e, k) * (1 << BITS) + e.bitwiseAND(F.lit((1 << BITS) - 1)))))
+            return least.bitwiseAND(F.lit((1 << BITS) - 1))
 
-        return F.transform(m, lambda x, j: (F.when(empty(x), low(borrowed(j).cast("bigint"))).otherwise(low(x)) - 128).cast("tinyint"))
+        probed = lambda j: [F.get(v, F.get(_constants(steps), j)) for steps in _WALK]
+        return F.transform(v, lambda x, j: (F.coalesce(x, *probed(j), borrowed(j)) - 128).cast("tinyint"))
 
-    dense = let(minima, lambda m: let(filled(m), lambda f: densified(m, f)))
+    dense = let(let(minima, values), lambda v: let(filled(v), lambda f: densified(v, f)))
     return F.when(F.size(hashes) > 0, dense).otherwise(F.array().cast("array<tinyint>"))
 
 
