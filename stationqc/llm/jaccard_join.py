@@ -2,12 +2,12 @@
 
 A document's set holds its distinct SHINGLE-word shingles (A-Z in lower case). Two documents link when 100 * intersection >= LEAST * union.
 
-1. Equal sets are one class, known by a 128-bit digest; only classes are joined, copies follow their class.
+1. Equal sets are one class, known by 96 bits of a digest; only classes are joined, copies follow their class.
 2. The shingles of a class are hashed into groups, more groups than the symmetric difference of two linked sets can hold shingles (for its
    band of set sizes). So linked sets agree in all shingles of some group, and meet under that group's digest. This brings together what may
    link without any pair in sight; digests that only one class has go at once. There are so many groups that linked sets agree in several:
    a class that meets others under fewer digests than that has no link.
-3. A class is first compared with the class of the highest degree among those it meets. This joins large groups of near copies to one
+3. A class is first compared with the class of the highest degree among those it meets, if their count vectors (4.) allow a link. This joins large groups of near copies to one
    another with one comparison each.
 4. Where still different components meet, the classes' count vectors (shingles in COUNTS groups) are the points of an R-tree. An overlap is at
    most the sum of coordinate minima, of two points as of a point and a box; what can't reach the threshold, or is in the same
@@ -40,6 +40,8 @@ SHINGLE = 4
 LEAST = 85
 #: Coordinates of a count vector.
 COUNTS = 256
+#: Times that classes with too few common digests are taken out.
+ROUNDS = 2
 #: Bounds that are computed at a time.
 AT_A_TIME = 8192
 #: Classes of one meeting place in one task, and points or boxes in an R-tree's box.
@@ -91,7 +93,7 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
 
 def digest(s: np.ndarray) -> tuple[int, int]:
     found = xxhash.xxh3_128_intdigest(s.tobytes())
-    return _signed(found >> 64), _signed(found & (1 << 64) - 1)
+    return _signed(found >> 64), found & (1 << 32) - 1
 
 
 def _signed(x: int) -> int:
@@ -214,9 +216,9 @@ class RTree:
             one, other = np.minimum.reduceat(one, starts), np.maximum.reduceat(other, starts)
             self.levels.append((top, low, high, one, other))
 
-    def near(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, point) of different parts whose bound on the overlap reaches the threshold."""
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+    def near(self, points: np.ndarray, sizes: np.ndarray, parts: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (query, point) of different parts whose bound on the overlap reaches the threshold, and the bound's share of both sizes."""
+        found: list[tuple[np.ndarray, ...]] = []
         width = len(self.levels[-1][0])
         per = max(1, 65_536 // (FANOUT * width))
         for at in range(0, len(points), per):
@@ -232,32 +234,32 @@ class RTree:
                 for k in range(0, len(q), AT_A_TIME):
                     bound[k : k + AT_A_TIME] = np.minimum(points[q[k : k + AT_A_TIME]], top[node[k : k + AT_A_TIME]]).sum(axis=1, dtype=np.int64)
                 live = bound * (100 + least) >= least * (sizes[q] + size)
-                q, node = q[live], node[live]
+                q, node, score = q[live], node[live], bound[live] / (sizes[q] + size)[live]
                 if depth:
                     below = len(self.levels[depth - 1][0])
                     q, node = np.repeat(q, FANOUT), (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
                     q, node = q[node < below], node[node < below]
-            found.append((q, self.order[node]))
-        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+            found.append((q, self.order[node], score))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _near_in_place(rows: tuple[np.ndarray, ...], least: int) -> np.ndarray:
-    """Pairs of nodes that may link in one meeting place (or pair of parts of it): its left rows against all its rows."""
+def _near_in_place(rows: tuple[np.ndarray, ...], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes that may link in one meeting place (or pair of parts of it), and their scores: its left rows against all its rows."""
     node, size, part, vector, left = rows
     q = np.flatnonzero(left)
     if len(node) < 2 or not len(q) or part.min() == part.max():
-        return np.empty((0, 2), np.int64)
-    a, b = RTree(vector, size, part).near(vector[q], size[q], part[q], least)
+        return np.empty((0, 2), np.int64), np.empty(0)
+    a, b, score = RTree(vector, size, part).near(vector[q], size[q], part[q], least)
     pairs = np.stack([node[q][a], node[b]], axis=1)
     pairs.sort(axis=1)
-    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+    return pairs, score
 
 
 def _near(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by meeting place: a place at a time."""
     kept: list[pa.RecordBatch] = []
 
-    def places(rows: pa.Table) -> Iterator[np.ndarray]:
+    def places(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         key = np.stack([rows.column(c).to_numpy() for c in ("meet", "i", "j")], axis=1)
         columns = [rows.column(c).to_numpy() for c in ("node", "n", "part")]
         vectors = rows.column("counts").to_pylist()
@@ -267,9 +269,10 @@ def _near(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield _near_in_place((columns[0][a:b], columns[1][a:b], columns[2][a:b], points(vectors[a:b]), left[a:b]), least)
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
-        found = np.concatenate([np.empty((0, 2), np.int64), *places(rows)])
-        found = np.unique(found, axis=0)
-        return pa.record_batch([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["a", "b"])
+        every = [(np.empty((0, 2), np.int64), np.empty(0)), *places(rows)]
+        found, first = np.unique(np.concatenate([x for x, _ in every]), axis=0, return_index=True)
+        score = np.concatenate([x for _, x in every])[first]
+        return pa.record_batch([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64()), pa.array(score)], names=["a", "b", "score"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -285,6 +288,17 @@ def _near(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pairs(pa.Table.from_batches(kept))
 
 
+def _reachable(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of given pairs those whose count vectors let them reach the threshold."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_A_TIME):
+            some = batch.slice(at, AT_A_TIME)
+            one, other = (points(some.column(c).to_pylist()) for c in ("one", "other"))
+            sizes = some.column("sizes").to_numpy(zero_copy_only=False)
+            bound = np.minimum(one, other).sum(axis=1, dtype=np.int64)
+            yield some.select(["a", "b"]).filter(pa.array(bound * (100 + least) >= least * sizes))
+
+
 def _key(batch: pa.RecordBatch) -> tuple[int, ...]:
     return tuple(batch.column(c)[0].as_py() for c in ("meet", "i", "j"))
 
@@ -309,9 +323,11 @@ def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     members = rows.filter("n is not null").select("doc_id", "n", "c1", "c2", "counts")
     classes = members.filter("c1 is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"))
     meetings = rows.filter("n is null").select("meet", "c1", "c2", "need").distinct()
-    strong = meetings.groupBy("c1", "c2", "need").agg(F.count("*").alias("has")).filter("has >= need % 65536").drop("has")
-    meetings = meetings.join(strong, ["c1", "c2", "need"], "left_semi").withColumn("_here", F.count("*").over(place))
-    meetings = written(meetings.filter("_here > 1").select("meet", "c1", "c2"))
+    for _ in range(ROUNDS):  # a class that goes may leave others with too few
+        strong = meetings.groupBy("c1", "c2", "need").agg(F.count("*").alias("has")).filter("has >= need % 65536").drop("has")
+        meetings = meetings.join(strong, ["c1", "c2", "need"], "left_semi").withColumn("_here", F.count("*").over(place))
+        meetings = written(meetings.filter("_here > 1").select("meet", "c1", "c2", "need"))
+    meetings = meetings.select("meet", "c1", "c2").distinct()
 
     # Candidate classes get small numbers of their own, stable as they are written.
     degrees = meetings.groupBy("c1", "c2").agg(F.count("*").alias("degree"))
@@ -330,8 +346,13 @@ def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     # Each class against the best-connected one that it meets.
     best = F.max(F.struct("degree", -F.col("node")))
     leaders = at.groupBy("meet").agg(best.alias("best"))
-    leaders = at.join(leaders, "meet").groupBy(F.col("node").alias("a")).agg(F.max("best").alias("best")).select("a", (-F.col("best.col2")).alias("b"))
-    links = written(_linked(leaders.filter("a <> b"), sets, least))
+    leaders = at.join(leaders, "meet").groupBy(F.col("node").alias("a")).agg(F.max("best").alias("best")).select("a", (-F.col("best.col2")).alias("b")).filter("a <> b")
+    vectors = members.filter("counts is not null").join(nodes.select("c1", "c2", "node"), ["c1", "c2"]).groupBy("node").agg(F.first("counts").alias("counts"), F.first("n").alias("n"))
+    vectors = written(vectors)
+    both = leaders.join(vectors.select(F.col("node").alias("a"), F.col("counts").alias("one"), F.col("n").alias("n1")), "a")
+    both = both.join(vectors.select(F.col("node").alias("b"), F.col("counts").alias("other"), F.col("n").alias("n2")), "b")
+    reachable = both.select("a", "b", "one", "other", (F.col("n1") + F.col("n2")).alias("sizes")).mapInArrow(partial(_reachable, least), "a long, b long")
+    links = written(_linked(written(reachable), sets, least))
 
     # Between components that still meet.
     parts = components(links)
@@ -341,11 +362,18 @@ def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     mixed = ranked.filter("_low <> _high").withColumns({"chunk": F.expr(f"cast((_rank - 1) div {CHUNK} as int)"), "chunks": F.expr(f"cast((_all - 1) div {CHUNK} as int)")})
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks"))))
     mixed = mixed.select("meet", "node", "part", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.expr("chunk <= other").alias("left"))
-    vectors = members.filter("counts is not null").join(nodes.select("c1", "c2", "node"), ["c1", "c2"]).groupBy("node").agg(F.first("counts").alias("counts"), F.first("n").alias("n"))
     placed = mixed.join(vectors, "node").repartition("meet", "i", "j").sortWithinPartitions("meet", "i", "j")
-    near = placed.select("meet", "i", "j", "node", "n", "part", "counts", "left").mapInArrow(partial(_near, least), "a long, b long").distinct()
-    more = written(_linked(written(near), sets, least))
-
+    near = placed.select("meet", "i", "j", "node", "n", "part", "counts", "left").mapInArrow(partial(_near, least), "a long, b long, score double")
+    near = written(near.groupBy("a", "b").agg(F.max("score").alias("score")))
+
+    # The best pair of each component first: it mostly joins two, and then the other pairs between them need no comparison.
+    ends = _between(near, parts)
+    best = F.max(F.struct("score", "a", "b")).alias("best")
+    first = written(ends.select(F.explode(F.array("part_a", "part_b")).alias("part"), "score", "a", "b").groupBy("part").agg(best).select("best.a", "best.b").distinct())
+    links = written(links.union(_linked(first, sets, least)))
+    parts = components(links)
+    rest = _between(near, parts).select("a", "b").join(first, ["a", "b"], "left_anti")
+    more = written(_linked(rest, sets, least))
     parts = components(links.union(more)) if not more.isEmpty() else parts
     whole = _labelled(nodes, parts)
     final = classes.join(whole, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("component_id", "first_doc").alias("component_id"))
@@ -353,6 +381,14 @@ def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _between(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b, score) of different components, with these as part_a and part_b."""
+    of = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    both = both.select("a", "b", "score", F.coalesce("_a", "a").alias("part_a"), F.coalesce("_b", "b").alias("part_b"))
+    return both.filter("part_a <> part_b")
+
+
 def _labelled(nodes: DataFrame, parts: DataFrame) -> DataFrame:
     """(c1, c2, component_id) of the classes that have links: the least document of their component."""
     own = nodes.join(parts, "node")

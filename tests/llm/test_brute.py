@@ -235,7 +235,7 @@ def test_r_tree_finds_what_all_pairs_find():
     base = rng.poisson(4, (60, jaccard_join.COUNTS))
     points = np.concatenate([base, base + (rng.random(base.shape) < 0.1), base])[rng.permutation(180)].astype("u1")
     sizes, parts = points.sum(axis=1).astype(np.int64), rng.integers(0, 50, 180)
-    q, p = jaccard_join.RTree(points, sizes, parts).near(points, sizes, parts)
+    q, p, _ = jaccard_join.RTree(points, sizes, parts).near(points, sizes, parts)
     bound = np.minimum(points[:, None], points[None]).sum(axis=2, dtype=np.int64)
     reach = (bound * 185 >= 85 * (sizes[:, None] + sizes[None])) & (parts[:, None] != parts[None])
     reach &= (np.minimum.outer(sizes, sizes) * 100 >= np.maximum.outer(sizes, sizes) * 85)
