@@ -2,12 +2,13 @@
 
 Tokens are tags with their path of open tags, and texts between tags with theirs. A token's occurrence vector over the pages
 of a host is known by sums over the pages of page hash times count: such sums combine before they are moved, so no page list of a host is ever in
-one place. Tokens with the same vector are an equivalence class; it is valid if it has a tag, is frequent in its host, and is nested, that
+one place. Pages of a host with the same main part count as one page, however many copies there are: a token of theirs counts as often as on the copy that
+has most of it. Tokens with the same vector are an equivalence class; it is valid if it has a tag, is frequent in its host, and is nested, that
 is, all tags around it are in valid classes too. The valid classes of a host, outermost first, are its template.
 
 What a page has beside the template is in its slots. A slot's text is taken if it lies in the page's main part (an article or main element, or
 else the body), outside of elements that stand for menus, headers, footers, sidebars, notices, adverts, forms or comments, and is not itself a text of
-the template. Hosts with fewer than LEAST_PAGES different pages have no template: there the elements alone decide.
+the template. A class is on at least LEAST_PAGES different pages, so hosts with fewer have no template: there the elements alone decide.
 
 Null html is empty, a null url is a host without template. Pages that repeat are extracted each; unclosed tags and pages that break off are read as far
 as they go. Extra columns are ignored; an empty table gives an empty result. Memory is bounded by the longest page and a host's template.
@@ -18,8 +19,10 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import partial
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -29,11 +32,13 @@ from pyspark.sql import functions as F
 from stationqc.llm import tokens
 from stationqc.llm.common import read, written
 
-#: Pages with different main texts that a host needs for a template, and the share of its pages that a class must be on.
+#: Pages with different main parts that a class must be on, and their share of all such pages of the host.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.5
 #: Template texts, in bytes, up to which all templates are given to every task; beyond, pages and templates are joined by host.
 SMALL = 16 << 20
+#: Bits of the filter of main parts that several pages may have, whatever their number.
+FILTER_BITS = 1 << 23
 
 # Fixed values of HTML: elements without content, with raw content, that stand in blocks of their own, and that end an open one of the same kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -128,6 +133,10 @@ def _hash(*parts: str) -> int:
 
 def blocks(page: str, template: frozenset[int] = frozenset()) -> list[str]:
     """The texts of the slots of the main part, by block."""
+    return _blocks(events(page), template)
+
+
+def _blocks(found: Iterable[tuple[str, Element | None, str]], template: frozenset[int] = frozenset()) -> list[str]:
     every: list[tuple[bool, str]] = []
     parts: list[str] = []
     main = False
@@ -140,7 +149,7 @@ def blocks(page: str, template: frozenset[int] = frozenset()) -> list[str]:
         parts.clear()
         main = False
 
-    for kind, element, value in events(page):
+    for kind, element, value in found:
         if kind == "break":
             end()
         elif kind == "text" and not (element and element.aside):
@@ -154,11 +163,11 @@ def blocks(page: str, template: frozenset[int] = frozenset()) -> list[str]:
     return inside or [block for _, block in every]
 
 
-def page_tokens(page: str) -> tuple[Counter, dict[int, tuple[int, str | None, int]]]:
+def _page_tokens(found: Iterable[tuple[str, Element | None, str]]) -> tuple[Counter, dict[int, tuple[int, str | None, int]]]:
     """Counts of a page's tokens, and of each token the tag it stands in (itself, of a tag), a tag's path, and its first position."""
     seen: Counter = Counter()
     about: dict[int, tuple[int, str | None, int]] = {}
-    for position, (kind, element, value) in enumerate(events(page)):
+    for position, (kind, element, value) in enumerate(found):
         if kind == "tag":
             token = tag = _hash(element.path)
             path = element.path
@@ -171,26 +180,54 @@ def page_tokens(page: str) -> tuple[Counter, dict[int, tuple[int, str | None, in
     return seen, about
 
 
-_TOKENS = pa.schema([("host", pa.string()), ("token", pa.int64()), ("tag", pa.int64()), ("path", pa.string()), ("n", pa.int64()), ("v1", pa.int64()), ("v2", pa.int64()), ("pages", pa.int64()), ("position", pa.int64())])
+def _main_part(found: Iterable[tuple[str, Element | None, str]]) -> int:
+    return _hash(*_blocks(found))
+
+
+_MAINS = pa.schema([("host", pa.string()), ("main", pa.int64())])
+_TOKENS = pa.schema(
+    [("host", pa.string()), ("token", pa.int64()), ("main", pa.int64()), ("tag", pa.int64()), ("path", pa.string()), ("n", pa.int64()), ("v1", pa.int64()), ("v2", pa.int64()), ("pages", pa.int64()), ("position", pa.int64())]
+)
+
+
+def _mains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The host and main part of each page."""
+    for batch in batches:
+        for part in tokens.slices(batch, "html"):
+            mains = [_main_part(events(page or "")) for page in part.column("html").to_pylist()]
+            yield pa.record_batch([part.column("host"), pa.array(mains, pa.int64())], schema=_MAINS)
+
 
+def _occurrences(bitmap: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per part of a split, host and token: counts, both sums of the occurrence vector, pages and summed first positions.
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part of a split, host and token: counts, both sums of the occurrence vector, pages and summed first positions."""
+    Rows of main parts that other pages may have too are by main part: of such pages the largest count and the first position.
+    """
+    bits = np.frombuffer(bitmap, np.uint8)
     for batch in batches:
         for part in tokens.slices(batch, "html"):
-            sums: dict[tuple[str, int], list] = {}
-            for page_id, host, page in zip(*(part.column(c).to_pylist() for c in ("page_id", "host", "html")), strict=True):
+            sums: dict[tuple[str, int, int | None], list] = {}
+            for host, page in zip(*(part.column(c).to_pylist() for c in ("host", "html")), strict=True):
                 if not host:
                     continue
-                seen, about = page_tokens(page or "")
-                of_page = xxhash.xxh3_64_intdigest(f"{page_id}")
+                found = list(events(page or ""))
+                seen, about = _page_tokens(found)
+                main = _main_part(found)
+                slot = main & (FILTER_BITS - 1)
+                shared = main if bits[slot >> 3] >> (slot & 7) & 1 else None
+                of_page = xxhash.xxh3_64_intdigest(f"{main}")
                 for token, n in seen.items():
                     tag, path, position = about[token]
-                    row = sums.setdefault((host, token), [tag, path, 0, 0, 0, 0, 0])
                     # Two sums of 31-bit hashes: exact in 64 bits for two billion occurrences.
-                    for k, x in enumerate((n, (of_page & 0x7FFFFFFF) * n, (of_page >> 33) * n, 1, position), 2):
-                        row[k] += x
-            rows = [(host, token, *row) for (host, token), row in sums.items()]
+                    values = [n, (of_page & 0x7FFFFFFF) * n, (of_page >> 33) * n, 1, position]
+                    row = sums.get((host, token, shared))
+                    if row is None:
+                        sums[host, token, shared] = [tag, path, *values]
+                    elif shared is None:
+                        row[2:] = [a + b for a, b in zip(row[2:], values, strict=True)]
+                    else:
+                        row[2:] = [*map(max, row[2:6], values[:4]), min(row[6], position)]
+            rows = [(*key, *row) for key, row in sums.items()]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _TOKENS, strict=True)] if rows else [pa.array([], f.type) for f in _TOKENS], schema=_TOKENS)
 
 
@@ -216,14 +253,25 @@ def _nested(host: pd.DataFrame) -> pd.DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, tags, texts): the paths of each host's template tags and the hashes of its texts, of pages (page_id, host, html)."""
-    occurrences = pages.mapInArrow(_occurrences, "host string, token long, tag long, path string, n long, v1 long, v2 long, pages long, position long")
-    sums = [F.sum(c).alias(c) for c in ("n", "v1", "v2", "pages", "position")]
-    found = occurrences.groupBy("host", "token").agg(F.first("tag").alias("tag"), F.first("path").alias("path"), *sums)
+    """(host, tags, texts): the paths of each host's template tags and the hashes of its texts, of pages (host, html)."""
+    pages = pages.filter("host <> ''")
+    mains = written(pages.mapInArrow(_mains, "host string, main long").groupBy("host", "main").agg(F.count("*").alias("copies")))
+    sizes = mains.groupBy("host").agg(F.count("*").alias("host_pages")).filter(F.col("host_pages") >= LEAST_PAGES)
+    slots = mains.filter("copies > 1").select(F.col("main").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("slot"))
+    words = slots.groupBy(F.expr("cast(slot div 32 as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("bits"))
+    bitmap = np.zeros(FILTER_BITS // 32, "<u4")
+    for word, bits in words.collect():  # FILTER_BITS / 32 rows at most
+        bitmap[word] = bits
+
+    occurrences = pages.mapInArrow(partial(_occurrences, bitmap.tobytes()), "host string, token long, main long, tag long, path string, n long, v1 long, v2 long, pages long, position long")
+    about = [F.first("tag").alias("tag"), F.first("path").alias("path")]
+    # Of rows without a main part each stands for other pages, of those with one all stand for one page.
+    once = [F.when(F.col("main").isNull(), F.sum(c)).otherwise(most(c)).alias(c) for c, most in (("n", F.max), ("v1", F.max), ("v2", F.max), ("pages", F.max), ("position", F.min))]
+    found = occurrences.groupBy("host", "token", "main").agg(*about, *once)
+    found = found.groupBy("host", "token").agg(*about, *[F.sum(c).alias(c) for c in ("n", "v1", "v2", "pages", "position")])
     # No token on fewer pages can be in a template; most content goes here.
-    found = found.filter(F.col("pages") >= LEAST_PAGES * LEAST_SHARE)
-    sizes = pages.filter("host <> ''").groupBy("host").agg(F.count("*").alias("host_pages"), F.approx_count_distinct(F.xxhash64(F.regexp_extract("html", r"(?is)<body.*", 0))).alias("different"))
-    common = found.join(sizes, "host").filter((F.col("different") >= LEAST_PAGES) & (F.col("pages") >= F.col("host_pages") * LEAST_SHARE))
+    found = found.filter(F.col("pages") >= LEAST_PAGES)
+    common = found.join(sizes, "host").filter(F.col("pages") >= F.col("host_pages") * LEAST_SHARE)
     common = common.withColumn("position", F.col("position") / F.col("pages")).select("host", "token", "tag", "path", "n", "v1", "v2", "position")
     return common.groupBy("host").applyInPandas(_nested, "host string, tags array<string>, texts array<long>")
 
@@ -236,7 +284,7 @@ def host(url: Column) -> Column:
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of pages (page_id, url, html)."""
     pages = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
-    found = written(templates(pages.select("page_id", "host", "html"))).select("host", "texts").filter("size(texts) > 0")
+    found = written(templates(pages.select("host", "html"))).select("host", "texts").filter("size(texts) > 0")
     size = found.agg(F.sum(F.length("host") + F.size("texts") * 8)).first()[0] or 0
     joined = pages.join(F.broadcast(found) if size <= SMALL else found, "host", "left")
 

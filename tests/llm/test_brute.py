@@ -52,6 +52,20 @@ def test_template_texts_go(spark):
     assert found[99] == "Site\nWords of page 1 and 7.\nAll rights reserved"  # too few pages for a template
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    from stationqc.llm.html_templates import extracted
+
+    page = "<html><head><title>{0}</title></head><body><div class='top'>Site</div><article id='post-{0}'><p>Words of page {0}.</p><p>And {1} more.</p></article><!-- {2} --></body></html>"
+    rows = [(k, page.format(k, k * 7, k)) for k in range(8)] + [(100 + k, page.format(17, 119, 0)) for k in range(30)]
+    rows += [(200 + k, page.format(18, 126, k) + f"<p class='n{k}'></p>") for k in range(60)]  # copies but for what is around the main part
+    rows = [(k, f"http://h.example/{k}", html) for k, html in rows]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    for k in range(8):
+        assert found[k] == f"Words of page {k}.\nAnd {k * 7} more."
+    assert {found[100 + k] for k in range(30)} == {"Words of page 17.\nAnd 119 more."}
+    assert {found[200 + k] for k in range(60)} == {"Words of page 18.\nAnd 126 more."}
+
+
 def test_what_is_not_main_text_goes():
     from stationqc.llm.html_templates import blocks
 
