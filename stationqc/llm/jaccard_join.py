@@ -116,7 +116,8 @@ def group_digests(s: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.nda
 
     In a band whose sets have at most `top` shingles, two linked sets differ in `most` shingles at most, so in as many groups. If fewer groups
     than that are filled, those in common may all be empty: then empty ones are given too. Beside each digest: the band, times 65,536, and
-    how many digests of the band a linked set has in common with this one at least.
+    how many digests of the band a linked set has in common with this one at least. A partner may not give its empty groups, so only filled ones
+    count for that: as many as this set fills, less one for each shingle in which the two can differ at most, and one in any case.
     """
     n, found, needs = len(s), [], []
     if not n:
@@ -129,9 +130,8 @@ def group_digests(s: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.nda
         starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         own = group[starts]
         content = np.add.reduceat(_mix(s), starts)
-        need = groups - most - (groups - len(own))
+        need = max(1, len(own) - min(most, n * (100 - least) // least))
         if len(own) <= most:
-            need = groups - most
             empty = np.setdiff1d(np.arange(groups, dtype=np.uint64), own)
             own, content = np.concatenate([own, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
         found.append(_mix(content ^ _mix(own * _ODD[0] + _U(b))))

@@ -244,6 +244,30 @@ def test_jaccard_join_on_chains_and_short_sets(spark, monkeypatch):
     assert found == _components(rows)
 
 
+def test_linked_sets_share_the_digests_they_need():
+    """Random pairs of small sets that differ by few shingles, among them those of which only one gives its empty groups."""
+    rng = np.random.default_rng(5)
+    linked = 0
+    for _ in range(30_000):
+        n, extra, gone = int(rng.integers(8, 23)), int(rng.integers(1, 4)), int(rng.integers(0, 2))
+        every = np.unique(rng.integers(0, 1 << 63, n + extra, dtype=np.uint64) * np.uint64(2))
+        if len(every) < n + extra:
+            continue
+        every = rng.permutation(every)
+        a, b = np.sort(every[gone:]), np.sort(every[:n])
+        if 100 * (n - gone) < 85 * (n + extra):
+            continue
+        linked += 1
+        (one, need_one), (other, need_other) = jaccard_join.group_digests(a), jaccard_join.group_digests(b)
+        enough = False
+        for band in set(need_one >> 16) & set(need_other >> 16):
+            in_band = [(d[need >> 16 == band], need[need >> 16 == band][0] & 65_535) for d, need in ((one, need_one), (other, need_other))]
+            shared = len(np.intersect1d(in_band[0][0], in_band[1][0]))
+            enough |= shared >= in_band[0][1] and shared >= in_band[1][1]
+        assert enough, (a, b)
+    assert linked > 5_000
+
+
 def test_r_tree_finds_what_all_pairs_find():
     rng = np.random.default_rng(4)
     base = rng.poisson(4, (60, jaccard_join.COUNTS))
