@@ -4,6 +4,9 @@ A document is a file at /<source>/<lang>/<doc_id> unless the table has a `path`.
 file). Terms are runs of ASCII letters and digits in lower case; a term of the templates weighs its count times its inverse frequency over all
 documents, any other term 1 per occurrence. A unit whose cosine to a template reaches THRESHOLD has that licence; the best unit is the file's own.
 
+Notices are short, and whole licences are not like them: a whole text that names a licence or copyright is compared with whole licences (`license_files`) too,
+by the same cosine, with the terms of these as the vocabulary. As common words make long English texts alike, it also has to have half of a licence's terms.
+
 A unit that has none of a template's heaviest terms can't reach the threshold: its cosine is at most the share of the template's norm that the lighter terms
 hold. So only texts with one of these terms (`anchors`) are split into units; this leaves out nothing.
 
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationqc.llm.common import let, read, written
+from stationqc.llm.license_files import FILES
 
 THRESHOLD = 0.6
 
@@ -51,17 +55,25 @@ TEMPLATES = {
 _FORMS = [(name, Counter(re.findall("[a-z0-9]+", form.lower()))) for name, forms in TEMPLATES.items() for form in forms]
 VOCABULARY = sorted({t for _, terms in _FORMS for t in terms})
 
+#: Whole licences, the share of whose distinct terms a whole text must have, and words of which each of them has one.
+_WHOLE = [(name, {t: int(n) for t, n in (x.split(":") for x in counted.split())}) for name, counted in FILES.items()]
+WHOLE_VOCABULARY = sorted({t for _, terms in _WHOLE for t in terms})
+LEAST_TERMS = 0.5
+NAMES = "(?i)licen[cs]e|copyright"
+
 
 def terms(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z0-9]+"), F.lit(0)), F.lower)
 
 
 def inverse_frequencies(docs: DataFrame) -> dict[str, float]:
-    """Of each template term, over all documents."""
-    present = F.array_intersect(terms(F.coalesce("text", F.lit(""))), F.array(*map(F.lit, VOCABULARY)))
-    rows = docs.select(F.explode(F.concat(present, F.array(F.lit("")))).alias("term")).groupBy("term").count().collect()  # len(VOCABULARY) + 1 rows
-    counts = {r["term"]: r["count"] for r in rows}
-    return {t: math.log((counts.get("", 0) + 1) / (counts.get(t, 0) + 1)) + 1 for t in VOCABULARY}
+    """Of each term of the templates and of whole licences, over all documents."""
+    every = sorted({*VOCABULARY, *WHOLE_VOCABULARY})
+    known = docs.sparkSession.range(1).select(F.explode(F.split(F.lit(" ".join(["", *every])), " ")).alias("term"))  # "" counts documents
+    present = F.concat(F.array_distinct(terms(F.coalesce("text", F.lit("")))), F.array(F.lit("")))
+    found = docs.select(F.explode(present).alias("term")).join(F.broadcast(known), "term")
+    counts = {r["term"]: r["count"] for r in found.groupBy("term").count().collect()}  # a row per known term
+    return {t: math.log((counts.get("", 0) + 1) / (counts.get(t, 0) + 1)) + 1 for t in every}
 
 
 def _vectors(idf: dict[str, float]) -> list[tuple[str, dict[str, float]]]:
@@ -116,6 +128,34 @@ def _dot(known: Column, share: Column) -> Column:
     return F.aggregate(known, F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.try_element_at(share, x["t"]), F.lit(0.0)))
 
 
+def _counted(found: Column) -> Column:
+    """(term, n) of the distinct terms of an array."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda b: F.transform(b, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(b, k + 1), F.size(s)) - i).alias("n"))))
+
+    return F.when(F.size(found) > 0, let(F.sort_array(found), runs))
+
+
+def _whole_licenses(texts: DataFrame, idf: dict[str, float], threshold: float) -> DataFrame:
+    """rid and whole (cosine, license) of the texts (rid, text) that are whole licences."""
+    rows = [f"{t} {idf[t]!r} " + ",".join(str(counted.get(t, 0)) for _, counted in _WHOLE) for t in WHOLE_VOCABULARY]
+    table = texts.sparkSession.range(1).select(F.explode(F.split(F.lit("\n".join(rows)), "\n")).alias("row")).select(F.split("row", " ").alias("row"))
+    table = table.select(F.col("row")[0].alias("term"), F.col("row")[1].cast("double").alias("idf"), F.split(F.col("row")[2], ",").cast("array<int>").alias("of"))
+    found = texts.select("rid", F.explode(_counted(terms(F.col("text")))).alias("x")).select("rid", "x.*").join(F.broadcast(table), "term", "left")
+    weight = F.col("n") * F.col("idf")
+    sums = [F.sum(F.coalesce(weight * weight, F.col("n").cast("double"))).alias("square")]
+    for k in range(len(_WHOLE)):
+        sums += [F.sum(weight * F.col("idf") * F.col("of")[k]).alias(f"dot{k}"), F.count_if(F.col("of")[k] > 0).alias(f"has{k}")]
+    each = []
+    for k, (name, counted) in enumerate(_WHOLE):
+        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in counted.items()))
+        cosine = F.round(F.col(f"dot{k}") / norm / F.sqrt("square"), 6)
+        each.append(F.when((cosine >= threshold) & (F.col(f"has{k}") >= LEAST_TERMS * len(counted)), F.struct(cosine.alias("cosine"), F.lit(name).alias("license"))))
+    return found.groupBy("rid").agg(*sums).select("rid", F.array_max(F.array(*each)).alias("whole")).filter("whole is not null")
+
+
 def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, path, own (cosine, license of the best unit) and file (of the whole text), null below the threshold, of docs (doc_id, path, text)."""
     idf = inverse_frequencies(docs)
@@ -124,8 +164,14 @@ def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     units = F.transform(F.concat(F.array("text"), lines), lambda unit: _best(terms(unit), idf))
     found = F.when(F.col("text").rlike(pattern), units)
     reached = lambda u: F.when(u["cosine"] >= threshold, u)
-    out = docs.select("doc_id", "path", found.alias("units"))
-    return out.select("doc_id", "path", reached(F.array_max("units")).alias("own"), reached(F.get("units", F.lit(0))).alias("file"))
+    # Numbers of rows are stable as they are written.
+    named = F.when(F.col("text").rlike(NAMES) & (F.length("text") >= LEAST_TERMS * min(len(x) for _, x in _WHOLE)), F.col("text"))
+    out = docs.select("doc_id", "path", found.alias("units"), named.alias("text"), F.monotonically_increasing_id().alias("rid"))
+    out = written(out.select("doc_id", "path", reached(F.array_max("units")).alias("own"), reached(F.get("units", F.lit(0))).alias("file"), "text", "rid"))
+    whole = _whole_licenses(out.filter("text is not null").select("rid", "text"), idf, threshold)
+    compared = out.filter("text is not null").drop("text").join(whole, "rid", "left")
+    compared = compared.select("doc_id", "path", F.greatest("own", "whole").alias("own"), F.greatest("file", "whole").alias("file"))
+    return out.filter("text is null").select("doc_id", "path", "own", "file").unionByName(compared)
 
 
 def inherited(files: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from stationqc.llm import catalog, fingerprints, jaccard_join, packing, range_coder, secrets, tokens, toxicity
+from stationqc.llm import catalog, fingerprints, jaccard_join, licenses, packing, range_coder, secrets, tokens, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,6 +75,25 @@ def test_what_is_not_main_text_goes():
     assert blocks(page) == ["Title <1>", "First line goes on", "One", "Two", "a", "b", "Q", "tail"]
 
 
+def test_whole_licences_are_inherited(spark, documents):
+    folder = "/usr/share/common-licenses"
+    if not os.path.isdir(folder):
+        pytest.skip("no licence texts")
+    whole = {"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "LGPL-3.0": "LGPL-3", "BSD-3-Clause": "BSD"}
+    texts = {name: open(f"{folder}/{file}", encoding="utf-8").read() for name, file in whole.items()}
+    rows = [(k, f"/docs/{k}", d["text"]) for k, d in enumerate(documents)]
+    for name, text in texts.items():
+        rows += [(len(rows), f"/{name}/LICENSE", f"Copyright 2020 Some One\n\n{text}"), (len(rows) + 1, f"/{name}/src/deep/file", "no words of that kind")]
+    rows.append((len(rows), "/words/common", "the of to and or a license " * 200))  # as common as in licences, but no licence
+    rows.append((len(rows), "/words/other", "nothing"))
+    found = {r.path: r for r in licenses.inherited(licenses.own_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string"))).collect()}
+    for name in texts:
+        assert found[f"/{name}/LICENSE"].license == name
+        below = found[f"/{name}/src/deep/file"]
+        assert (below.license, below.given_by, below.directory) == (name, "directory", f"/{name}")
+    assert found["/words/common"].license is None and found["/words/other"].license is None
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
