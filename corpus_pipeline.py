@@ -20,13 +20,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id. Rows that share a doc_id count as one document: the first text by order stays.
+    """Of each group of linked documents the one with the least doc_id. Rows that share a doc_id are judged each: those of one group by their texts' order.
 
     Documents without words link with nothing and stay. Rows without a doc_id stay, since no group can be named after them.
     """
-    kept = jaccard_join.clustered(docs).filter("component_id = doc_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())))
-    return rows.filter("_rank = 1").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    found = jaccard_join.labelled(docs).filter("component_id = doc_id").select("doc_id", F.col("text_hash").alias("_text_hash"), F.col("component").alias("_component")).distinct()
+    rows = docs.withColumn("_text_hash", F.xxhash64("text")).join(found, ["doc_id", "_text_hash"])
+    # A group has only one doc_id here: rows that share it are ranked.
+    rows = rows.withColumn("_rank_in_group", F.row_number().over(Window.partitionBy("doc_id", "_component").orderBy("text")))
+    return rows.filter("_rank_in_group = 1 or _component is null").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -153,7 +153,7 @@ def points(vectors: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(v, "u1" if len(v) == COUNTS else "<u4").astype(np.uint32) for v in vectors])
 
 
-_MEETINGS = pa.schema([("meet", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("need", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
+_MEETINGS = pa.schema([("meet", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("need", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("text_hash", pa.int64())])
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,12 +176,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     meet.append(digests), needs.append(need)
                     m1.append(np.full(len(meet[-1]), key[0])), m2.append(np.full(len(meet[-1]), key[1]))
             # A document's row is dealt by its id, so that copies don't meet in one place.
-            rows = [pa.array(ids, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary())]
+            rows = [pa.array(ids, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary()), part.column("text_hash")]
             yield pa.record_batch(rows, schema=_MEETINGS)
             if meet:
                 flat = [pa.array(np.concatenate(x), pa.int64()) for x in (meet, m1, m2, needs)]
                 none = pa.nulls(len(flat[0]), pa.int64())
-                yield pa.record_batch([*flat, none, none, pa.nulls(len(flat[0]), pa.binary())], schema=_MEETINGS)
+                yield pa.record_batch([*flat, none, none, pa.nulls(len(flat[0]), pa.binary()), none], schema=_MEETINGS)
 
 
 def _sets(bitmap: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,14 +313,22 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
 def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id of docs (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = docs.mapInArrow(_describe, "meet long, c1 long, c2 long, need long, doc_id long, n long, counts binary")
+    return labelled(docs, least).select("doc_id", "n_shingles", "component_id")
+
+
+def labelled(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """doc_id, text_hash (xxhash64), n_shingles, component_id and component of docs (doc_id, text).
+
+    A component_id is a document's, so rows that share a doc_id may give it to several components; component tells these apart. It is null without words.
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = docs.mapInArrow(_describe, "meet long, c1 long, c2 long, need long, doc_id long, n long, counts binary, text_hash long")
     place = Window.partitionBy("meet")
     # Documents' rows stay; of the others those where two classes meet. The one large shuffle.
     met = [(F.min(F.when(F.col("n").isNull(), F.col(c))).over(place) != F.max(F.when(F.col("n").isNull(), F.col(c))).over(place)) for c in ("c1", "c2")]
     rows = rows.withColumn("_met", F.coalesce(met[0] | met[1], F.lit(False))).filter("n is not null or _met").drop("_met")
     rows = written(rows)
-    members = rows.filter("n is not null").select("doc_id", "n", "c1", "c2", "counts")
+    members = rows.filter("n is not null").select("doc_id", "n", "c1", "c2", "counts", "text_hash")
     classes = members.filter("c1 is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"))
     meetings = rows.filter("n is null").select("meet", "c1", "c2", "need").distinct()
     for _ in range(ROUNDS):  # a class that goes may leave others with too few
@@ -376,9 +384,9 @@ def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     more = written(_linked(rest, sets, least))
     parts = components(links.union(more)) if not more.isEmpty() else parts
     whole = _labelled(nodes, parts)
-    final = classes.join(whole, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("component_id", "first_doc").alias("component_id"))
+    final = classes.join(whole, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("component_id", "first_doc").alias("component_id"), F.coalesce("class", F.struct("c1", "c2")).alias("component"))
     out = members.join(final, ["c1", "c2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component")
 
 
 def _between(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -390,10 +398,10 @@ def _between(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _labelled(nodes: DataFrame, parts: DataFrame) -> DataFrame:
-    """(c1, c2, component_id) of the classes that have links: the least document of their component."""
+    """(c1, c2, component_id, class) of the classes that have links: the least document and the least class of their component."""
     own = nodes.join(parts, "node")
-    least = own.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    return own.join(least, "component").select("c1", "c2", "component_id")
+    least = own.groupBy("component").agg(F.min("first_doc").alias("component_id"), F.min(F.struct("c1", "c2")).alias("class"))
+    return own.join(least, "component").select("c1", "c2", "component_id", "class")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,15 @@ def test_stages(spark, sf_dir):
     assert docs.count() == corpus_pipeline.run(spark, sf_dir).count()
 
 
+def test_rows_that_share_an_id_are_judged_each(spark):
+    x, y, z = (" ".join(f"{w}{k}" for k in range(40)) for w in "xyz")
+    rows = [(3, x, "a"), (7, x, "b"), (7, y, "b"), (7, y, "b"), (7, z, "c"), (7, z + " more", "c"), (8, z, "c"), (9, "", "d"), (9, None, "d"), (None, x, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [tuple(r) for r in corpus_pipeline.one_of_near_copies(spark, docs, "").collect()]
+    expected = [(3, x, "a"), (7, y, "b"), (7, z, "c"), (9, "", "d"), (9, None, "d"), (None, x, "e")]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
 def _toxic(spark, sf_dir, before, after):
     docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in before], "doc_id long, text string")
     model = toxicity.fitted(docs, read(spark, sf_dir, "labels"))
