@@ -52,6 +52,15 @@ def test_template_texts_go(spark):
     assert found[99] == "Site\nWords of page 1 and 7.\nAll rights reserved"  # too few pages for a template
 
 
+def test_pages_without_a_body_have_a_template(spark):
+    from stationqc.llm.html_templates import extracted
+
+    page = "<div class='top'>Site</div><div id=m><p>Words of page {0} and {1}.</p><p>All rights reserved</p></div>"
+    rows = [(k, f"http://h.example/{k}", page.format(k, k * 7)) for k in range(12)]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {k: f"Words of page {k} and {k * 7}." for k in range(12)}
+
+
 def test_copies_of_a_page_are_no_template(spark):
     from stationqc.llm.html_templates import extracted
 
