@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationqc.llm import fingerprints, html_templates, jaccard_join, licenses, mixing, packing, quality_rules, secrets, token_files, toxicity
+from stationqc.llm import (
+    cross_tokens,
+    fingerprints,
+    html_templates,
+    jaccard_join,
+    licenses,
+    mixing,
+    packing,
+    quality_rules,
+    secrets,
+    source_audit,
+    token_files,
+    toxicity,
+    url_lists,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extract_html": html_templates.op1_extract_html,
@@ -19,10 +33,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_ngram_jaccard": jaccard_join.op10_ngram_jaccard,
+    "op11_url_filter": url_lists.op11_url_filter,
+    "op12_source_audit": source_audit.op12_source_audit,
+    "op13_cross_tokens": cross_tokens.op13_cross_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": licenses.ORACLE_SQL,
     "op4_quality_rules": quality_rules.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
+    "op11_url_filter": url_lists.ORACLE_SQL,
+    "op12_source_audit": source_audit.ORACLE_SQL,
 }
