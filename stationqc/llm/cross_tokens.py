@@ -18,7 +18,6 @@ import hashlib
 import os
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +31,8 @@ from stationqc.llm.tokens import slices
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Stretches of text that a task remembers (some 500 bytes each) and irregular pairs that it holds before it hands on their sums.
 REMEMBERED, HELD = 150_000, 1_000_000
+#: Stretches that are encoded in one go, and pairs of a group up to which they are written out one by one before they are summed.
+TOGETHER, LARGE = 10_000, 10_000
 #: Irregular pairs, of 17 bytes each, up to which every task is given their counts.
 PAIRS = 2_000_000
 
@@ -72,6 +73,9 @@ class Aligner:
         # Of several B ids with the same bytes the last, which is the piece and not the byte.
         ids = {piece: i for i, piece in enumerate(self.b_bytes)}
         self.same = np.array([ids.get(token, -1) for token in self.a_bytes], np.int64)
+        self.a_sizes, self.b_sizes = (np.array([len(token) for token in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.ids = max(len(self.a_bytes), len(self.b_bytes))
+        self.written = [f"{i}{end}" for end in ",|;" for i in range(self.ids)]
         self.forget()
 
     def forget(self) -> None:
@@ -81,40 +85,79 @@ class Aligner:
         self.same_ends, self.same_ids, self.same_links = array("q", [0]), array("I"), array("q")
         self.pair_ends, self.pair_keys, self.pair_links = array("q", [0]), array("Q"), array("q")
 
-    def _align(self, text: str, a_ids: list[int], b_ids: list[int]) -> None:
-        whole = text.encode()
-        a_tokens, b_tokens = list(map(self.a_bytes.__getitem__, a_ids)), list(map(self.b_bytes.__getitem__, b_ids))
-        if b"".join(a_tokens) != whole or b"".join(b_tokens) != whole:
-            self.numbers.extend((-1, 0, 0, 0))
-            self.strings.append("")
-        else:
-            groups, n_links, start_b, j, end_b, start_a, end_a = [], 0, 0, 0, 0, 0, 0
-            same, pairs = Counter(), Counter()
-            for i, token in enumerate(a_tokens):
-                end_a += len(token)
-                while end_b < end_a:
-                    end_b += len(b_tokens[j])
-                    j += 1
-                if end_a == end_b:
-                    a_group, b_group = a_ids[start_a : i + 1], b_ids[start_b:j]
-                    groups.append(f"{','.join(map(str, a_group))}|{','.join(map(str, b_group))}")
-                    n_links += len(a_group) * len(b_group)
-                    if len(a_group) == len(b_group) == 1 and self.same[a_group[0]] == b_group[0]:
-                        same[a_group[0]] += 1
-                    else:
-                        b_counts = Counter(b_group).items()
-                        for a, m in Counter(a_group).items():
-                            for b, n in b_counts:
-                                if self.same[a] == b:
-                                    same[a] += m * n
-                                else:
-                                    pairs[a << 32 | b] += m * n
-                    start_a, start_b = i + 1, j
-            self.numbers.extend((len(a_ids), len(b_ids), len(groups), n_links))
-            self.strings.append(";".join(groups))
-            self.same_ids.extend(same.keys()), self.same_links.extend(same.values())
-            self.pair_keys.extend(pairs.keys()), self.pair_links.extend(pairs.values())
-        self.same_ends.append(len(self.same_ids)), self.pair_ends.append(len(self.pair_keys))
+    def _align(self, texts: list[str], a_ids: list[int], b_ids: list[int]) -> bool:
+        """Remembers the stretches, whose ids follow one another; False if the ids' bytes are not those of the stretches."""
+        encoded = [t.encode() for t in texts]
+        whole = b"".join(encoded)
+        if b"".join(map(self.a_bytes.__getitem__, a_ids)) != whole or b"".join(map(self.b_bytes.__getitem__, b_ids)) != whole:
+            return False
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_ends, b_ends, ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), np.cumsum([len(t) for t in encoded])
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        if not np.isin(ends, cuts).all():
+            return False
+        a_group, b_group, stretch = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends), np.searchsorted(ends, cuts)
+        a_size, b_size = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        a_first, b_first = np.cumsum(a_size) - a_size, np.cumsum(b_size) - b_size
+        n = len(texts)
+        per_stretch = lambda values: np.bincount(stretch, values, n).astype(np.int64)
+        n_a, n_b = per_stretch(a_size), per_stretch(b_size)
+        self.numbers.frombytes(np.stack([n_a, n_b, per_stretch(np.ones(len(cuts))), per_stretch(a_size * b_size)], axis=1).tobytes())
+
+        # Groups as text: the A ids of a group, its B ids, the next group.
+        parts = np.empty(len(a) + len(b), np.int64)
+        place = np.arange(len(a))
+        parts[place + b_first[a_group]] = a + self.ids * (place + 1 == (a_first + a_size)[a_group])
+        place = np.arange(len(b))
+        parts[place + (a_first + a_size)[b_group]] = b + 2 * self.ids * (place + 1 == (b_first + b_size)[b_group])
+        written = list(map(self.written.__getitem__, parts.tolist()))
+        bounds = np.cumsum(n_a + n_b).tolist()
+        self.strings += ["".join(written[start:stop]) for start, stop in zip([0, *bounds], bounds)]
+
+        # One A id and the B id with the same bytes: most groups. All others give each pair of their different ids.
+        plain = (a_size == 1) & (b_size == 1)
+        plain[plain] = self.same[a[a_first[plain]]] == b[b_first[plain]]
+        large = np.flatnonzero(~plain & (a_size * b_size > LARGE))
+        small = np.flatnonzero(~plain & (a_size * b_size <= LARGE))
+        sizes = (a_size * b_size)[small]
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        width = np.repeat(b_size[small], sizes)
+        found = [(np.repeat(stretch[small], sizes), a[np.repeat(a_first[small], sizes) + at // width], b[np.repeat(b_first[small], sizes) + at % width], np.ones(len(at), np.int64))]
+        for g in large:
+            x, m = np.unique(a[a_first[g] : a_first[g] + a_size[g]], return_counts=True)
+            y, k = np.unique(b[b_first[g] : b_first[g] + b_size[g]], return_counts=True)
+            found.append((np.full(len(x) * len(y), stretch[g]), np.repeat(x, len(y)), np.tile(y, len(x)), np.outer(m, k).ravel()))
+        of, x, y, links = map(np.concatenate, zip(*found))
+        is_same = self.same[x] == y
+        self._keep(self.same_ends, self.same_ids, self.same_links, n, np.r_[stretch[plain], of[is_same]], np.r_[a[a_first[plain]], x[is_same]].astype(np.uint32), np.r_[np.ones(plain.sum(), np.int64), links[is_same]])
+        other = ~is_same
+        self._keep(self.pair_ends, self.pair_keys, self.pair_links, n, of[other], (x[other] << 32 | y[other]).astype(np.uint64), links[other])
+        return True
+
+    @staticmethod
+    def _keep(ends: array, keys: array, links: array, n: int, stretch: np.ndarray, new_keys: np.ndarray, new_links: np.ndarray) -> None:
+        order = np.argsort(stretch, kind="stable")
+        ends.frombytes((ends[-1] + np.cumsum(np.bincount(stretch, minlength=n))).astype(np.int64).tobytes())
+        keys.frombytes(new_keys[order].tobytes()), links.frombytes(new_links[order].astype(np.int64).tobytes())
+
+    def _learn(self, new: list[str]) -> None:
+        alone = []
+        # Stretches that begin and end with other than space are encoded in a row: their ids are those of each.
+        rows = [s for s in new if s[1:] and not s[1].isspace() and not s[-1].isspace() and "\u2581" not in s]
+        for start in range(0, len(rows), TOGETHER):
+            some = rows[start : start + TOGETHER]
+            text = "".join(some)
+            before = len(self.strings)
+            if self._align(some, self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])):
+                self.known.update(zip(some, range(before, before + len(some)), strict=True))
+            else:
+                alone += some
+        for s in [*alone, *set(new).difference(rows)]:
+            self.known[s] = len(self.strings)
+            if not self._align([s], self.a.encode_batch_fast([s], add_special_tokens=False)[0].ids, self.b.encode(s[1:])):
+                self.numbers.extend((-1, 0, 0, 0))
+                self.strings.append("")
+                self.same_ends.append(self.same_ends[-1]), self.pair_ends.append(self.pair_ends[-1])
 
     def stretches(self, texts: list[list[str]]) -> list[list[int]]:
         """Numbers of the stretches of each text; new ones are aligned together."""
@@ -122,14 +165,7 @@ class Aligner:
         if len(self.known) + len(new) > REMEMBERED:
             self.forget()
             new = set().union(*texts)
-        new = list(new)
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            a = self.a.encode_batch_fast(some, add_special_tokens=False)
-            b = self.b.encode([s[1:] for s in some], num_threads=1)
-            for text, a_found, b_ids in zip(some, a, b, strict=True):
-                self.known[text] = len(self.strings)
-                self._align(text, a_found.ids, b_ids)
+        self._learn(list(new))
         return [list(map(self.known.__getitem__, text)) for text in texts]
 
 
@@ -183,7 +219,7 @@ def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
                     if not rows or numbers[at, 0].min() < 0:
                         row = (doc_id, 0, 0, 0, 0, "", b"", b"", b"", b"", "")
                     else:
-                        text = ";".join(map(both.strings.__getitem__, rows))
+                        text = "".join(map(both.strings.__getitem__, rows))[:-1]
                         row = (doc_id, *(times @ numbers[at]).tolist(), hashlib.sha256(text.encode()).hexdigest(), *_gathered(*same, at, times), *_gathered(*pairs, at, times), text)
                     for column, value in zip(columns, row):
                         column.append(value)
