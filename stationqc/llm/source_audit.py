@@ -100,13 +100,13 @@ def audited(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = TERM_RAN
     sums = each.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("present"))
     # A row per source of each language, those without terms too. total + v is what counts are divided by; it is 0 only where no term is asked for.
     groups = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).distinct()
-    groups = groups.join(sums, ["lang", "source"], "left").join(vocabulary.select("lang", "v"), "lang", "left").na.fill(0, ["total", "present", "v"])
-    groups = written(groups.select("lang", "source", "present", "v", F.expr("greatest(total + v, 1L)").alias("base")).withColumn("absent", F.expr(_p("0", "base"))))
+    languages = vocabulary.select("lang", "v", F.expr("total + v").alias("lang_base"))
+    groups = groups.join(sums, ["lang", "source"], "left").join(languages, "lang", "left").na.fill(0, ["total", "present", "v"])
+    groups = written(groups.select("lang", "source", "present", "v", "lang_base", F.expr("greatest(total + v, 1L)").alias("base")).withColumn("absent", F.expr(_p("0", "base"))))
 
     pairs = _pairs(kept, each, groups)
-    languages = vocabulary.select("lang", F.expr("total + v").alias("lang_base"))
     entries = kept.select("lang", "term", F.expr("aggregate(entries, 0L, (a, x) -> a + x.n)").alias("lang_n"), F.inline("entries"))
-    entries = entries.join(groups.select("lang", "source", "base"), ["lang", "source"]).join(languages, "lang")
+    entries = entries.join(groups.select("lang", "source", "base", "lang_base"), ["lang", "source"])
     entries = entries.select("lang", "source", "term", F.expr(_p("n", "base")).alias("p"), F.expr(_p("lang_n", "lang_base")).alias("q")).filter("p > q")
     apart = entries.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr("(p - q) * (p - q) div q").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
