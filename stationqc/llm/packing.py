@@ -41,19 +41,19 @@ def packed(docs: DataFrame, end_id: int = END_ID, longest: int = SEQUENCE, token
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("bucket", pa.int32())])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(tokenizer)
         end = np.uint32(end_id).astype("<u4").tobytes()
-        for batch in batches:
-            for part in tokens.slices(batch, "text"):
-                columns: list[list] = [[] for _ in schema]
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = encoder.encode(text or "") + end
-                    n, start = len(ids) // 4, 0
-                    for length in lengths(n, longest):
-                        for column, value in zip(columns, (doc_id, start, length, ids[4 * start : 4 * (start + length)], n, length.bit_length() - 1), strict=True):
-                            column.append(value)
-                        start += length
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        with tokens.task_encoder(tokenizer) as encoder:
+            for batch in batches:
+                for part in tokens.slices(batch, "text"):
+                    columns: list[list] = [[] for _ in schema]
+                    for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                        ids = encoder.encode(text or "") + end
+                        n, start = len(ids) // 4, 0
+                        for length in lengths(n, longest):
+                            for column, value in zip(columns, (doc_id, start, length, ids[4 * start : 4 * (start + length)], n, length.bit_length() - 1), strict=True):
+                                column.append(value)
+                            start += length
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, _PIECES)
     return rows.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

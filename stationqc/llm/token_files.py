@@ -85,20 +85,21 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, parts: int |
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, stream, part = tokens.encoder(tokenizer), _Stream(), TaskContext.get().partitionId()
+        stream, part = _Stream(), TaskContext.get().partitionId()
         end = np.array([end_id], np.int64)
 
         def out() -> Iterator[pa.RecordBatch]:
             for block, n, cut, data in stream.coded():
                 yield pa.record_batch([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([n], pa.int64()), pa.array([cut]), pa.array([data], pa.binary())], names=["part", "block", "n", "cut", "data"])
 
-        for batch in batches:
-            for some in tokens.slices(batch, "text"):
-                for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
-                    stream.add(doc_id, np.concatenate([np.frombuffer(encoder.encode(text or ""), "<u4").astype(np.int64), end]))
-                    if stream.full():
-                        yield from out()
-        yield from out()
+        with tokens.task_encoder(tokenizer) as encoder:
+            for batch in batches:
+                for some in tokens.slices(batch, "text"):
+                    for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
+                        stream.add(doc_id, np.concatenate([np.frombuffer(encoder.encode(text or ""), "<u4").astype(np.int64), end]))
+                        if stream.full():
+                            yield from out()
+            yield from out()
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     ordered.mapInArrow(encode, _BLOCKS).write.option("compression", "none").parquet(path)

@@ -1,8 +1,9 @@
 """Token ids of texts by a byte-level BPE of the tokenizers library, inside tasks.
 
 Such a tokenizer never merges across a single space between two other characters, nor across a single newline between two
-others, so a text's ids are those of its space-led pieces in a row. Pieces repeat much more than texts: each worker keeps a bounded table
-of the pieces it has met, and only new ones go through the library.
+others, so a text's ids are those of its space-led pieces in a row. Pieces repeat much more than texts: a task keeps a bounded table
+of the pieces it has met, and only new ones go through the library. Strings of the tokenizer's added tokens (`<|endoftext|>`) come first, as in the library:
+each is its token's id, and the text is cut there.
 """
 
 from __future__ import annotations
@@ -12,14 +13,15 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces that a worker remembers (some 200 bytes each); a full table is begun anew.
-REMEMBERED = 1_200_000
+#: Pieces that a task remembers (some 250 bytes each); a full table is begun anew.
+REMEMBERED = 400_000
 #: Characters of text that are worked on at a time, and so the bound of a worker's memory beside a single long text.
 CHARS_AT_A_TIME = 2_000_000
 
@@ -44,7 +46,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {t.content: (i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for _, t in added.values()):
+            raise ValueError("added tokens that depend on what is around them are not supported")
+        self.added = {content: array("I", [i]).tobytes() for content, (i, _) in added.items()}
+        self.cuts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.known: dict[object, bytes | None] = {}
         self.ends: dict[str, bytes] = {}
 
@@ -85,12 +91,24 @@ class Encoder:
         new = set(pieces).difference(self.known)
         if new:
             if len(self.known) + 2 * len(new) > REMEMBERED:
-                self.known.clear(), self.ends.clear()
+                self.forget()
                 new = set(pieces)
             self._learn(new)
         return list(map(self.known.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
+        if not self.cuts.search(text):
+            return self._encode(text)
+        found, done = [], 0
+        for cut in self.cuts.finditer(text):
+            found += [self._encode(text[done : cut.start()]), self.added[cut[0]]]
+            done = cut.end()
+        return b"".join([*found, self._encode(text[done:])])
+
+    def forget(self) -> None:
+        self.known.clear(), self.ends.clear()
+
+    def _encode(self, text: str) -> bytes:
         if not text:
             return b""
         pieces = text.replace("\n", " \n").split(" ")
@@ -107,13 +125,23 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str | None = None) -> Encoder:
-    """The worker's encoder for the file; kept between tasks."""
+    """The worker's encoder for the file; the tokenizer is kept between tasks."""
     path = path or default_path()
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
+@contextmanager
+def task_encoder(path: str | None = None) -> Iterator[Encoder]:
+    """The worker's encoder for the length of a task: what it remembers goes with the task's end, and so does memory that Arrow holds unused."""
+    try:
+        yield (found := encoder(path))
+    finally:
+        found.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about CHARS_AT_A_TIME bytes together."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -12,7 +12,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from stationqc.llm import catalog, fingerprints, jaccard_join, licenses, packing, range_coder, secrets, tokens, toxicity
+from stationqc.llm import catalog, fingerprints, jaccard_join, licenses, packing, range_coder, secrets, token_files, tokens, toxicity
+from stationqc.llm.common import shared_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -34,6 +34,16 @@ def test_rows_that_share_an_id_are_judged_each(spark):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_columns_of_the_table_may_have_any_name(spark):
+    x, y = (" ".join(f"{w}{k}" for k in range(40)) for w in "xy")
+    names = ["_text_hash", "_component", "_rank_in_group", "component", "text_hash", "row", "rank", "a.b"]
+    rows = [(k, t, f"t{k}", *[f"{n} of {k}" for n in names]) for k, t in enumerate([x, x + " more", y, None])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    found = corpus_pipeline.one_of_near_copies(spark, docs, "")
+    assert found.columns == docs.columns
+    assert sorted(map(tuple, found.collect())) == [rows[0], *rows[2:]]
+
+
 def _toxic(spark, sf_dir, before, after):
     docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in before], "doc_id long, text string")
     model = toxicity.fitted(docs, read(spark, sf_dir, "labels"))
