@@ -24,11 +24,12 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Documents without words link with nothing and stay. Rows without a doc_id stay, since no group can be named after them.
     """
-    found = jaccard_join.labelled(docs).filter("component_id = doc_id").select("doc_id", F.col("text_hash").alias("_text_hash"), F.col("component").alias("_component")).distinct()
-    rows = docs.withColumn("_text_hash", F.xxhash64("text")).join(found, ["doc_id", "_text_hash"])
+    found = jaccard_join.labelled(docs).filter("component_id = doc_id").select("doc_id", "text_hash", "component").distinct()
+    # A row's own columns travel in one, whatever their names.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).join(found, ["doc_id", "text_hash"])
     # A group has only one doc_id here: rows that share it are ranked.
-    rows = rows.withColumn("_rank_in_group", F.row_number().over(Window.partitionBy("doc_id", "_component").orderBy("text")))
-    return rows.filter("_rank_in_group = 1 or _component is null").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id", "component").orderBy("row.text")))
+    return rows.filter("rank = 1 or component is null").select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
