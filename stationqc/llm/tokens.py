@@ -8,6 +8,7 @@ each is its token's id, and the text is cut there.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import sys
@@ -134,12 +135,22 @@ def encoder(path: str | None = None) -> Encoder:
 
 @contextmanager
 def task_encoder(path: str | None = None) -> Iterator[Encoder]:
-    """The worker's encoder for the length of a task: what it remembers goes with the task's end, and so does memory that Arrow holds unused."""
+    """The worker's encoder for the length of a task: what it remembers goes with the task's end."""
+    give_back()
+    found = encoder(path)
     try:
-        yield (found := encoder(path))
+        yield found
     finally:
         found.forget()
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that this worker has freed, in this task or those before it, goes back to the system: workers of an executor share its limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
