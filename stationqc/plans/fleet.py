@@ -16,7 +16,7 @@ from stationqc.params import MODELS, VARIABLES, ModelParams
 from stationqc.plans.hours import scored_hours
 from stationqc.plans.slots import checked_slots
 from stationqc.schema import to_output_schema
-from stationqc.sources.telemetry import dedup_rows, one_row_per_second, select_rows, with_qod_date
+from stationqc.sources.telemetry import one_row_per_second, select_rows, with_qod_date
 
 
 def score_series(slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -36,7 +36,7 @@ def score_fleet(
 ) -> DataFrame:
     """Telemetry in the input schema to 24 scored rows per station-day.
 
-    Two exchanges: one that removes copies (skipped when ``deduplicated`` says that seconds are unique), and one on
+    Two exchanges: one that leaves one row of each second (skipped when ``deduplicated`` says that they are unique), and one on
     ``(device_id, qod_date)`` that everything after it builds on. Slots missing between a series' first and last row count as
     missing readings. ``dates`` limits the days scored and reaches the scan;
     ``models`` limits the station models. ``regrid`` moves irregular readings onto the model's grid first (the first
@@ -51,7 +51,7 @@ def score_fleet(
         if regrid:
             rows = resample_grid(rows, MODELS[name])
         else:
-            rows = with_qod_date(rows if deduplicated else dedup_rows(rows))
+            rows = with_qod_date(rows)
             rows = rows if deduplicated else one_row_per_second(rows)
             rows = fill_missing_slots(rows, MODELS[name].step, VARIABLES, ("model",))
         if dates:

@@ -3,35 +3,72 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationqc.functions.columns import epoch_seconds, extend
 from stationqc.functions.windows import KEYS
 from stationqc.params import MODELS, VARIABLES
-from stationqc.schema import to_input_schema
+from stationqc.schema import INPUT_TYPES, to_input_schema
 
 CONTEXT_HOURS = 6
 EVENING = 24 - CONTEXT_HOURS
+#: Stations that become literals of a plan, and paths whose footers are asked for at a time.
+LISTED, FOOTERS_AT_A_TIME = 1_000, 16
 
 
 def read_telemetry(
     spark: SparkSession,
     paths: str | Sequence[str],
-    device_ids: Sequence[str] | None = None,
+    device_ids: Sequence[str] | DataFrame | None = None,
     dates: Sequence[date] | None = None,
 ) -> DataFrame:
     """Parquet telemetry of any number of stations and days, in the input schema.
 
-    Each path keeps its own column types (``utc_datetime`` may be text); station and time filters reach the scan.
+    Paths whose files have the same column types (``utc_datetime`` may be text) are one scan together, so years of day files plan like
+    a few. Station and time filters reach the scan; ``device_ids`` may be a table with that column.
     """
-    every = [spark.read.parquet(path) for path in ([paths] if isinstance(paths, str) else paths)]
+    every = [
+        spark.read.schema(schema).parquet(*some)
+        for schema, some in by_types(spark, [paths] if isinstance(paths, str) else list(paths))
+    ]
     days = [to_input_schema(_text_days(raw, dates)) for raw in every]
     return select_rows(union_days(*days), device_ids, dates)
 
 
+def by_types(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The paths, grouped by the types of the input columns in their files.
+
+    One job looks at all footers and is the end of it where they agree. Where they don't, each path is asked, some at a time.
+    """
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(*paths).schema
+        return [(_input_columns(merged), list(paths))]
+    except Exception:
+        if len(paths) == 1:
+            raise
+    with ThreadPoolExecutor(FOOTERS_AT_A_TIME) as pool:
+        schemas = list(pool.map(lambda path: _input_columns(spark.read.parquet(path).schema), paths))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, path in zip(schemas, paths, strict=True):
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
+def _input_columns(schema: T.StructType) -> T.StructType:
+    """Only the input's columns, in its order: files that differ in others, or in their order, are read alike."""
+    there = {f.name: f for f in schema}
+    missing = [c for c in INPUT_TYPES if c not in there]
+    if missing:
+        raise ValueError(f"telemetry without the columns {missing}")
+    return T.StructType([T.StructField(c, there[c].dataType) for c in INPUT_TYPES])
+
+
 def _text_days(raw: DataFrame, dates: Sequence[date] | None) -> DataFrame:
     """Of times that are text, those from the day before the first named day to the last one: texts of this form sort like times, and
     such a filter prunes the scan, as one on the cast could not."""
@@ -42,10 +79,21 @@ def _text_days(raw: DataFrame, dates: Sequence[date] | None) -> DataFrame:
 
 
 def select_rows(
-    df: DataFrame, device_ids: Sequence[str] | None = None, dates: Sequence[date] | None = None
+    df: DataFrame, device_ids: Sequence[str] | DataFrame | None = None, dates: Sequence[date] | None = None
 ) -> DataFrame:
-    """Keep the named stations, and the time range the named days need."""
-    if device_ids is not None:
+    """Keep the named stations, and the time range the named days need.
+
+    Up to ``LISTED`` stations are literals of the plan. More, or a table of them, are a semi join, broadcast while Spark measures the
+    table as small enough; the least and the greatest name of a list still prune the scan.
+    """
+    if isinstance(device_ids, DataFrame):
+        df = df.join(device_ids.select("device_id").distinct(), "device_id", "left_semi")
+    elif device_ids is not None and len(device_ids) > LISTED:
+        named = sorted(set(device_ids))
+        df = df.filter(F.col("device_id").between(named[0], named[-1]))
+        table = df.sparkSession.createDataFrame(pa.table({"device_id": pa.array(named, pa.string())}))
+        df = df.join(table, "device_id", "left_semi")
+    elif device_ids is not None:
         df = df.filter(F.col("device_id").isin(*device_ids))
     if dates:
         first = F.lit(min(dates)).cast("timestamp_ntz") - F.expr(f"INTERVAL '{CONTEXT_HOURS}' HOUR")
@@ -67,15 +115,17 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def one_row_per_second(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Of different rows for one second of a series, the one with the fewest missing values, then the earliest, then the smallest.
+    """Of the rows of one second of a series, the one with the fewest missing values, then the earliest, then the smallest.
 
-    A window on the series' own keys and order, which later windows share. After it a station-day holds at most one row per
-    second, whatever the input looked like, which is what bounds them.
+    One aggregate that combines on the map side, as copies do: however many rows a station sends in a second, different or
+    not, each map task hands on one. So a station-day has at most one row per second wherever its rows meet.
     """
     missing = " + ".join(f"if({p} IS NULL, 1, 0)" for p in VARIABLES)
-    order = ", ".join(["sec", missing, "utc_datetime", *VARIABLES])
-    before = extend(df, {"_before": f"lag(sec) OVER (PARTITION BY {', '.join(keys)} ORDER BY {order})"})
-    return before.filter("_before IS NULL OR _before <> sec").drop("_before")
+    carried = [c for c in df.columns if c not in ("utc_datetime", *VARIABLES)]
+    by = list(dict.fromkeys([*keys, "sec", *carried]))
+    values = [c for c in ("utc_datetime", *VARIABLES) if c in df.columns]
+    chosen = df.groupBy(*by).agg(F.expr(f"min(struct({missing} AS missing, {', '.join(values)}))").alias("_row"))
+    return chosen.select(*[F.col(f"_row.{c}") if c in values else F.col(c) for c in df.columns])
 
 
 def conflicting_rows(df: DataFrame) -> DataFrame:
