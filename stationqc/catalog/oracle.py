@@ -658,9 +658,11 @@ def oracle() -> dict[str, str]:
         "LEFT JOIN lastday l ON l.device_id = s.device_id AND l.sec % 86400 // 3600 = h.range GROUP BY 1, 2"
     )
     six_means = ", ".join(f"round(avg({p}), 6) AS {p}" for p in SIX)
+    minutes = f"SELECT device_id, shifted - shifted % 60 AS m0, {six_means}, round(avg(illuminance) / 122, 6) AS irradiance FROM lastday GROUP BY 1, 2"
     q["minute_report"] = both(
-        f"SELECT device_id, make_timestamp((shifted - shifted % 60) * 1000000) AS minute, {six_means}, "
-        "round(avg(illuminance) / 122, 6) AS irradiance FROM lastday GROUP BY 1, 2"
+        f"SELECT s.device_id, make_timestamp(s.m0 * 1000000) AS minute, {', '.join(SIX)}, irradiance FROM "
+        f"(SELECT device_id, unnest(generate_series(min(m0), max(m0), 60)) AS m0 FROM ({minutes}) GROUP BY 1) s "
+        f"LEFT JOIN ({minutes}) m ON m.device_id = s.device_id AND m.m0 = s.m0"
     )
 
     q["time_bins"] = both(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationqc.functions.columns import floor_to, named, timestamp_of
-from stationqc.functions.windows import KEYS
+from stationqc.functions.columns import extend, floor_to, named, timestamp_of
+from stationqc.functions.windows import KEYS, Timeline
 from stationqc.operators.hours import DAY_SECONDS
 from stationqc.params import VARIABLES, ModelParams
 
@@ -37,11 +37,18 @@ def packages_per_hour(df: DataFrame, params: ModelParams, keys: Sequence[str] =
 
 
 def minute_report(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Minute means of the last day on the shifted time axis, with irradiance in W/m2. Minutes without rows are absent."""
-    minute = timestamp_of(floor_to(f"(sec + {params.step})", 60))
-    means = {p: f"avg({p})" for p in VARIABLES if p != "precipitation_accumulated"}
+    """Minute means of the last day on the shifted time axis, with irradiance in W/m2; a row for each minute from the first to the last one.
+
+    Each minute with rows brings the empty ones before it: one window over a series' minutes (1,440 at most), and no join.
+    """
+    minute = floor_to(f"(sec + {params.step})", 60)
+    columns = [p for p in VARIABLES if p != "precipitation_accumulated"]
     rows = last_day_rows(df, params)
-    report = rows.groupBy(*keys, F.expr(minute).alias("minute")).agg(*named(means))
+    report = rows.groupBy(*keys, F.expr(minute).alias("_at")).agg(*named({p: f"avg({p})" for p in columns}))
+    report = extend(report, {"_before": Timeline(keys, "_at").lag("_at")})
+    spread = report.selectExpr("*", "explode(sequence(coalesce(_before + 60, _at), _at, 60L)) AS _minute")
+    means = {p: f"if(_minute = _at, {p}, NULL)" for p in columns}
+    report = spread.selectExpr(*keys, f"{timestamp_of('_minute')} AS minute", *[f"{sql} AS {p}" for p, sql in means.items()])
     return report.withColumn("irradiance", F.col("illuminance") / LUX_PER_WATT)
 
 

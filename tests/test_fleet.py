@@ -1,13 +1,15 @@
 """Whole-chain properties."""
 
 import datetime as dt
+import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from stationqc import score_fleet
 from stationqc.catalog.view import readings
-from stationqc.params import MODELS
+from stationqc.params import MODELS, VARIABLES
 from stationqc.schema import input_schema, output_schema, to_input_schema
 from stationqc.sources.telemetry import (
     conflicting_rows,
@@ -178,6 +180,54 @@ def test_rejects_and_conflicts_are_reported(telemetry):
     assert one_row_per_second(known).count() == with_qod_date(telemetry).count()
 
 
+def test_many_rows_of_one_second_combine_before_they_are_moved(spark):
+    """A million different rows in one second, among others: each map task hands on one, and the fullest and smallest stays."""
+    values = [f"CAST(id % 1000 AS DOUBLE) + {k} AS {p}" for k, p in enumerate(p for p in VARIABLES if p != "temperature")]
+    same = "TIMESTAMP_NTZ '2024-01-01 12:00:00'"
+    crowd = spark.range(1_000_000).selectExpr("'d' AS device_id", "if(id = 77, CAST(id AS DOUBLE), NULL) AS temperature", *values, "'WS2000' AS model", f"{same} AS utc_datetime")
+    other = spark.range(5).selectExpr("'d' AS device_id", "1D AS temperature", *values, "'WS2000' AS model", f"{same} + make_interval(0, 0, 0, 0, 0, 3 * (CAST(id AS INT) + 1)) AS utc_datetime")
+    chosen = one_row_per_second(with_qod_date(crowd.unionByName(other)))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("functions=[min(") < plan.index("Exchange") < plan.index("partial_min(") and "Window" not in plan
+    rows = chosen.orderBy("utc_datetime").collect()
+    assert len(rows) == 6 and rows[0]["temperature"] == 77
+    scored = score_fleet(crowd.unionByName(other), models=["WS2000"])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.rindex("Window") < plan.rindex("Exchange hashpartitioning")
+
+
+def test_years_of_day_files_are_a_scan_for_each_set_of_types(spark, telemetry, tmp_path):
+    text = telemetry.withColumn("utc_datetime", F.col("utc_datetime").cast("string"))
+    (text.coalesce(1).write.parquet(str(tmp_path / "text")), telemetry.coalesce(1).write.parquet(str(tmp_path / "time")))
+    paths = []
+    for k in range(40):
+        paths.append(str(tmp_path / f"day{k}"))
+        shutil.copytree(tmp_path / ("text" if k % 2 else "time"), paths[-1])
+    df = read_telemetry(spark, paths)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert df.count() == 40 * telemetry.count() and df.distinct().count() == telemetry.count()
+    alike = read_telemetry(spark, paths[::2])
+    assert alike._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert alike.count() == 20 * telemetry.count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        read_telemetry(spark, [*paths, str(tmp_path / "nowhere")])
+
+
+def test_many_stations_are_a_table_and_still_prune_the_scan(spark, telemetry, tmp_path):
+    telemetry.write.parquet(str(tmp_path / "in"))
+    names = ["WS2000-1", "WS2000-16", *[f"WS2000-1/{k}" for k in range(100_000)]]
+    began = time.perf_counter()
+    df = read_telemetry(spark, str(tmp_path / "in"), device_ids=names)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - began < 20 and len(plan) < 20_000
+    assert "device_id" in plan.split("PushedFilters:")[1].split("ReadSchema")[0] and "LeftSemi" in plan
+    few = as_set(telemetry.filter("device_id in ('WS2000-1', 'WS2000-16')").select(*df.columns))
+    assert as_set(df) == few
+    table = spark.createDataFrame([("WS2000-1",), ("WS2000-16",), ("WS2000-16",), ("none",)], "device_id string")
+    assert as_set(read_telemetry(spark, str(tmp_path / "in"), device_ids=table)) == few
+
+
 def test_not_a_number_is_missing(spark):
     df = spark.range(1).selectExpr(
         "'d' AS device_id", "'WS2000' AS model", "'2024-01-01 00:00:00' AS utc_datetime",

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 from series import START, frame, rows
 
-from stationqc.operators import constancy, grid
+from stationqc.operators import constancy, grid, reports
 from stationqc.params import MODELS, RAIN, STICKING
 from stationqc.plans.slots import checked_slots, filled_slots
 from stationqc.operators import jumps
@@ -110,3 +111,34 @@ def test_resample_keeps_the_nearest_reading_and_completes_the_day(spark):
         best[slot] = min(best.get(slot, (10**9,)), (abs(s - slot * 180), s, v))
     got = {(r.sec - START) // 180: r.temperature for r in out.itertuples() if not np.isnan(r.temperature)}
     assert got == {k: v[2] for k, v in best.items()}
+
+
+def test_regrid_prefers_a_full_reading_to_a_nearer_empty_one(spark):
+    secs, values = [0, 170, 200, 365], [1.0, None, 2.0, 3.0]
+    df = frame(spark, rows(180, "WS2000", 4, secs=secs, temperature=values, start=START + 7 * 3600)).drop("qod_date", "sec")
+    out = grid.resample_grid(df, MODELS["WS2000"], ["temperature"]).filter("temperature IS NOT NULL")
+    assert [(r["sec"] - START - 7 * 3600, r["temperature"]) for r in out.orderBy("sec").collect() if r["qod_date"].day == 1] == [(0, 1.0), (180, 2.0), (360, 3.0)]
+
+
+def test_sliding_medians_equal_medians_of_each_window(spark):
+    rng = np.random.default_rng(11)
+    secs = np.sort(rng.choice(np.arange(0, 100_000, 7), 1_500)).tolist()  # times may repeat
+    values = [None if rng.random() < 0.3 else float(rng.choice([-5.5, 0.0, 3.25, 17.0, 94.9, 95.1])) for _ in secs]
+    df = frame(spark, rows(16, "WS1000", len(secs), secs=secs, temperature=values, humidity=values[::-1]))
+    df = df.withColumnsRenamed({p: f"{p}__filled" for p in ("temperature", "humidity")}).withColumn("mark", F.monotonically_increasing_id())
+    got = constancy.rolling_median(df).toPandas()
+    assert len(got) == len(secs) and got["mark"].nunique() == len(secs)
+    for x in constancy.MEDIAN_TESTS:
+        for sec, found in zip(got["sec"], got[f"{x.name}__median"], strict=True):
+            window = got[(got["sec"] >= sec - x.minutes * 60) & (got["sec"] < sec)][x.column].dropna()
+            assert (np.isnan(found) and not len(window)) or found == np.median(window)
+
+
+def test_empty_minutes_are_in_the_report(spark):
+    secs = [0, 16, 32, 200, 216, 700]
+    df = frame(spark, rows(16, "WS1000", 6, secs=secs, temperature=[1.0, 2.0, 3.0, 4.0, 5.0, 6.0], start=START + 10 * 3600))
+    df = df.withColumn("last_sec", F.lit(START + 10 * 3600 + 700).cast("long"))
+    got = reports.minute_report(df, MODELS["WS1000"]).orderBy("minute").collect()
+    means = [r["temperature"] for r in got]
+    assert means == [2.0 if k == 0 else 4.5 if k == 3 else 6.0 if k == 11 else None for k in range(12)]
+    assert [(b["minute"] - a["minute"]).seconds for a, b in zip(got, got[1:])] == [60] * 11
