@@ -574,7 +574,7 @@ def oracle() -> dict[str, str]:
         UNION ALL SELECT device_id, CAST(CAST(utc_datetime AS DATE) + INTERVAL 1 DAY AS DATE), utc_datetime FROM r
         WHERE utc_datetime >= CAST(utc_datetime AS DATE) + INTERVAL 18 HOUR"""
     q["model_params"] = params_sql()
-    q["output_schema"] = q["quality_scores"] = q["write_scores"] = q["unsent_rows"] = both("SELECT * FROM final")
+    q["output_schema"] = q["quality_scores"] = q["write_scores"] = q["unsent_rows"] = q["bucketed_scores"] = both("SELECT * FROM final")
     q["select_raw_columns"] = both(
         "SELECT device_id, utc_datetime, parameter, value, round(median, 6) AS rolling_median,"
         " round(diff, 6) AS consec_obs_diff_abs, round(md, 6) AS median_diff_abs, obc AS ann_obc,"

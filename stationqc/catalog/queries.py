@@ -19,10 +19,12 @@ from stationqc.schema import to_input_schema, to_output_schema
 from stationqc.session import shared_folder
 from stationqc.sources.telemetry import (
     dedup_rows,
+    read_table,
     read_telemetry,
     union_days,
     with_qod_date,
     write_scores,
+    write_telemetry,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +101,14 @@ def written_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final_rows(spark.read.parquet(path))
 
 
+def bucketed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores from a bucketed table of both models' readings."""
+    path = shared_folder(spark)
+    table = f"telemetry_{path.rsplit('/', 1)[1]}"
+    write_telemetry(all_readings(spark, sf_dir), table, 16, path)
+    return final_rows(score_fleet(read_table(spark, table)))
+
+
 def unsent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores where stations leave out a row instead of sending an incomplete one, with two readings of other rows beside each in its second."""
     sent = all_readings(spark, sf_dir).na.drop(subset=list(VARIABLES))
@@ -397,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "model_params": model_params,
     "write_scores": written_scores,
     "unsent_rows": unsent_rows,
+    "bucketed_scores": bucketed_scores,
     "output_schema": both_models(output_rows),
     "select_raw_columns": both_models(audit),
     # normalisation and gap filling

@@ -41,6 +41,27 @@ def read_telemetry(
     return select_rows(union_days(*days), device_ids, dates)
 
 
+def write_telemetry(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Telemetry as a table that needs no exchange of readings to be scored: a folder per model, its rows dealt into buckets by station.
+
+    All rows of a station and model are in one bucket, in the order of their times. ``buckets`` is for the fleet's size: a task scores one. A
+    ``path`` keeps the files outside the warehouse. Rows of other models are written too, in folders of their own.
+    """
+    dealt = to_input_schema(df).repartition(buckets, "device_id")
+    writer = dealt.write.mode("overwrite").partitionBy("model").bucketBy(buckets, "device_id").sortBy("device_id", "utc_datetime")
+    (writer.option("path", path) if path else writer).format("parquet").saveAsTable(table)
+
+
+def read_table(
+    spark: SparkSession,
+    table: str,
+    device_ids: Sequence[str] | DataFrame | None = None,
+    dates: Sequence[date] | None = None,
+) -> DataFrame:
+    """Telemetry of a table, such as :func:`write_telemetry` makes, in the input schema; filters as in :func:`read_telemetry`."""
+    return select_rows(to_input_schema(spark.table(table)), device_ids, dates)
+
+
 def by_types(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
     """The paths, grouped by the types of the input columns in their files.
 

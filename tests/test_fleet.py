@@ -14,10 +14,12 @@ from stationqc.schema import input_schema, output_schema, to_input_schema
 from stationqc.sources.telemetry import (
     conflicting_rows,
     one_row_per_second,
+    read_table,
     read_telemetry,
     rejected_rows,
     with_qod_date,
     write_scores,
+    write_telemetry,
 )
 
 SF = "/root/testdata/sf0.01"
@@ -228,6 +230,22 @@ def test_many_stations_are_a_table_and_still_prune_the_scan(spark, telemetry, tm
     assert as_set(read_telemetry(spark, str(tmp_path / "in"), device_ids=table)) == few
 
 
+def test_a_bucketed_table_is_scored_without_an_exchange(spark, telemetry, scored, tmp_path):
+    other = telemetry.withColumn("model", F.lit("WS1000")).limit(50)
+    write_telemetry(telemetry.unionByName(other), "telemetry_in_buckets", 4, str(tmp_path / "table"))
+    try:
+        table = read_table(spark, "telemetry_in_buckets")
+        assert as_set(table) == as_set(telemetry.unionByName(other).select(*table.columns))
+        both = score_fleet(table)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in both and both.count("FileScan parquet") == 2 and both.count("Bucketed: true") == 2
+        assert {p.split("]")[0].count("model") > 0 for p in both.split("PartitionFilters: [")[1:]} == {True}
+        assert as_set(score_fleet(table, models=["WS2000"])) == as_set(scored)
+        one = score_fleet(read_table(spark, "telemetry_in_buckets", ["WS2000-3"], [dt.date(2024, 1, 1)]), models=["WS2000"])
+        assert as_set(one) == as_set(scored.filter("device_id = 'WS2000-3'"))
+    finally:
+        spark.sql("DROP TABLE telemetry_in_buckets")
+
+
 def test_not_a_number_is_missing(spark):
     df = spark.range(1).selectExpr(
         "'d' AS device_id", "'WS2000' AS model", "'2024-01-01 00:00:00' AS utc_datetime",
@@ -236,3 +254,13 @@ def test_not_a_number_is_missing(spark):
     )
     row = to_input_schema(df).collect()[0]
     assert row["temperature"] is None and row["humidity"] == 1.5
+
+
+def test_a_cluster_is_not_given_a_local_folder(spark, monkeypatch):
+    from stationqc import session
+
+    assert session.shared_folder(spark)
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(spark)
