@@ -10,7 +10,8 @@ features that are clearly more frequent in P than in U are learned. P and U are
 doc_id, taken from rows whose fold is not held out; every text of the table is scored, whole, where it is read.
 
 Null and empty texts have no features and get the score of the bias. Without confirmed toxic rows all scores are 0. Repeated rows get the
-same score; repeated labels count once, the highest; extra columns are ignored; an empty table gives an empty result.
+same score; repeated labels count once, the highest; a null doc_id is never learned from, nor held out; extra columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -190,4 +191,4 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     rows = scored(docs, fitted(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
-    return rows.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return rows.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

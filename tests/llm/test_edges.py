@@ -68,6 +68,13 @@ def test_toxicity_without_labels(odd):
     assert {r.score for r in toxicity.scored(odd, model).collect()} == {toxicity.Model({}, -40.0).score(set())}
 
 
+def test_held_out_is_never_null(odd, tmp_path):
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    odd.sparkSession.createDataFrame([(5, 1), (8, 0), (None, 1)], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    found = toxicity.op2_toxicity(odd.sparkSession, str(tmp_path)).collect()
+    assert {r.held_out for r in found} <= {True, False} and {r.held_out for r in found if r.doc_id is None} == {False}
+
+
 def test_pages(spark):
     schema = T.StructType([T.StructField("page_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("url", "html", "host", "text")]])
     rows = [
