@@ -59,6 +59,9 @@ VOCABULARY = sorted({t for _, terms in _FORMS for t in terms})
 _WHOLE = [(name, {t: int(n) for t, n in (x.split(":") for x in counted.split())}) for name, counted in FILES.items()]
 WHOLE_VOCABULARY = sorted({t for _, terms in _WHOLE for t in terms})
 LEAST_TERMS = 0.5
+#: Bytes of directories with a licence that are given to every task, and copies of each beyond.
+SMALL = 16 << 20
+SALT = 32
 NAMES = "(?i)licen[cs]e|copyright"
 
 
@@ -174,6 +177,15 @@ def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return out.filter("text is null").select("doc_id", "path", "own", "file").unionByName(compared)
 
 
+def _to_directories(files: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Files with the row of their directory, which may hold any share of them: given to all tasks up to SMALL bytes, else in SALT copies."""
+    size = nearest.agg(F.sum(F.length("dir") + F.length("from.above") + F.length("from.license") + 64)).first()[0] or 0
+    if size <= SMALL:
+        return files.join(F.broadcast(nearest), "dir", "left")
+    copies = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return files.withColumn("salt", F.pmod(F.xxhash64("path", "doc_id"), F.lit(SALT)).cast("int")).join(copies, ["dir", "salt"], "left")
+
+
 def inherited(files: DataFrame) -> DataFrame:
     """doc_id, path, license, cosine, given_by ("own", "directory" or null) and directory: where an inherited licence comes from."""
     parent = lambda path: F.regexp_extract(path, "^(.*)/[^/]*$", 1)
@@ -185,7 +197,7 @@ def inherited(files: DataFrame) -> DataFrame:
     depth = F.size(F.split("dir", "/"))
     above = dirs.select("dir", F.explode(F.sequence(F.lit(1), depth)).alias("depth")).withColumn("above", F.array_join(F.slice(F.split("dir", "/"), 1, F.col("depth")), "/"))
     nearest = above.join(given, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "license")).alias("from"))
-    rows = files.join(nearest, "dir", "left")
+    rows = _to_directories(files, written(nearest))
     return rows.select(
         "doc_id",
         "path",
