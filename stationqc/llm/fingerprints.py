@@ -30,6 +30,10 @@ SEED = 11
 #: Documents in a range of ids, on average: the next document is found within ranges, and between ranges by their first rows.
 RANGE = 512
 RANGES_IN_BLOCK = 1024
+#: A stretch of ids is cut into SPLIT where one of its ranges has more than HEAVY times RANGE rows, until there are STRETCHES: they are kept by the driver.
+HEAVY = 8
+SPLIT = 16
+STRETCHES = 2048
 
 _FREE = 64 - BIN_BITS
 _EMPTY = (1 << _FREE) - 1
@@ -104,15 +108,53 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(some)
 
 
+def _placed(stretches: list[tuple[int, int, int]]) -> tuple[Column, Column]:
+    """Number of the stretch (least id, greatest id, rows) that an id is in, and of its range: ranges of one stretch are equally wide. Null ids have range -1."""
+    doc = F.col("doc_id")
+    table, base = [], 0
+    for low, high, rows in stretches:
+        ranges = max(1, rows // RANGE)
+        table.append(F.struct(F.lit(low).cast("long").alias("low"), F.lit((high - low + 1) / ranges).alias("width"), F.lit(ranges - 1).cast("long").alias("last"), F.lit(base).cast("long").alias("base")))
+        base += ranges
+    lows = F.array(*[F.lit(low).cast("long") for low, _, _ in stretches])
+    stretch = F.lit(0) if len(stretches) == 1 else F.greatest(F.size(F.filter(lows, lambda low: low <= doc)) - 1, F.lit(0))
+
+    def within(x: Column) -> Column:
+        # The exact difference, but for stretches of more than half of all ids.
+        ahead = F.coalesce(F.try_subtract(doc, x["low"]).cast("double"), doc.cast("double") - x["low"].cast("double"))
+        return x["base"] + F.least(F.greatest(F.floor(ahead / x["width"]), F.lit(0)), x["last"])
+
+    return stretch, F.coalesce(F.when(doc.isNotNull(), let(F.get(F.array(*table), stretch), within)), F.lit(-1)).cast("long")
+
+
+def _stretches(docs: DataFrame) -> list[tuple[int, int, int]]:
+    """Stretches of ids whose equally wide ranges have a bounded number of rows each, in order: a histogram that is refined where ids are dense."""
+    ids = docs.select(F.col("doc_id").cast("long")).filter("doc_id is not null")
+    low, high, rows = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
+    stretches = [(low or 0, high or 0, rows)]
+    while True:
+        stretch, place = _placed(stretches)
+        ranges = ids.groupBy(stretch.alias("stretch"), place.alias("range")).agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        # Rows of one id can't be parted.
+        heavy = {r[0] for r in ranges.filter((F.col("n") > HEAVY * RANGE) & (F.col("low") < F.col("high"))).select("stretch").distinct().collect()}
+        if not heavy or len(stretches) + len(heavy) * SPLIT > STRETCHES:
+            return stretches
+        cut = []
+        for k, (low, high, _) in enumerate(stretches):
+            lows = {low + (high - low + 1) * i // SPLIT for i in range(SPLIT)} if k in heavy else {low}
+            cut += [(x, x, 0) for x in sorted(lows)]
+        stretch, _ = _placed(cut)
+        found = ids.groupBy(stretch.alias("stretch")).agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).sort("stretch")
+        stretches = [tuple(r)[1:] for r in found.collect()]  # STRETCHES rows at most
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Adds next_text and next_sig, those of the following row by (doc_id, text), the first for the last, to (doc_id, text, sig).
 
-    Rows are dealt by ranges of ids, so that the texts are moved once. The first row of each range is also put at the end of the range before it.
+    Rows are dealt by ranges of ids, so that the texts are moved once; ranges are narrow where ids are dense. The first row of each range is also put at the end of the
+    range before it.
     """
-    bounds = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high, count = bounds[0] or 0, bounds[1] or 0, bounds[2]
-    width = max(1.0, (high - low + 1) / max(1, count // RANGE))
-    bucket = F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low)) / width).cast("long"), F.lit(-1))
+    _, bucket = _placed(_stretches(docs))
     rows = docs.withColumn("_bucket", bucket)
     firsts = rows.groupBy("_bucket").agg(F.min(F.struct("doc_id", "text")).alias("first"))
     block = F.floor(F.col("_bucket") / RANGES_IN_BLOCK)

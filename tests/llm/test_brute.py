@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stationqc.llm import catalog, fingerprints, jaccard_join, licenses, packing, range_coder, secrets, token_files, tokens, toxicity
@@ -228,6 +229,48 @@ def test_fingerprints(spark, sf_dir, documents):
     assert abs(np.mean(errors)) < 0.01 and np.sqrt(np.mean(np.square(errors))) < 0.04
 
 
+@pytest.mark.parametrize(
+    "ids",
+    [
+        [*range(1, 20_001), 1 << 62],
+        [-(1 << 63), *range(5000), *range(1 << 40, (1 << 40) + 9000), (1 << 63) - 1],
+        [7] * 9000 + list(range(9000)),
+        [None] * 50 + list(range(0, 3_000_000, 500)),
+        [],
+    ],
+)
+def test_ids_are_dealt_evenly_wherever_they_lie(spark, ids):
+    docs = spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(4)
+    stretches = fingerprints._stretches(docs)
+    placed = docs.select("doc_id", fingerprints._placed(stretches)[1].alias("range")).collect()
+    by_range = defaultdict(list)
+    for r in placed:
+        by_range[r.range].append(r.doc_id)
+    assert len(placed) == len(ids) and set(by_range.pop(-1, [None])) == {None}
+    for found in by_range.values():
+        assert len(found) <= fingerprints.HEAVY * fingerprints.RANGE or len(set(found)) == 1 or Counter(found).most_common(1)[0][1] > 4000
+    bounds = [(min(v), max(v)) for _, v in sorted(by_range.items())]
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
+def test_next_rows_of_distant_ids(spark):
+    ids = [*range(1, 6001), 1 << 62, (1 << 62) + 3]
+    docs = spark.createDataFrame([(i, f"text {i}", b"") for i in ids], "doc_id long, text string, sig binary").repartition(5)
+    docs = docs.withColumn("sig", fingerprints.text_signature(F.col("text")))
+    found = {r.doc_id: r.next_text for r in fingerprints.with_next(docs).select("doc_id", "next_text").collect()}
+    assert found == {i: f"text {after}" for i, after in zip(ids, [*ids[1:], ids[0]], strict=True)}
+
+
+def test_files_of_many_directories(spark, monkeypatch):
+    rows = [(k, f"/{'abc'[k % 3]}/d{k % 7}/{k}", {"cosine": 0.9, "license": "MIT"} if k == 6 else None) for k in range(60)]
+    own = "struct<cosine: double, license: string>"
+    files = spark.createDataFrame([(i, p, None, f) for i, p, f in rows], f"doc_id long, path string, own {own}, file {own}")
+    given = licenses.inherited(files).collect()
+    monkeypatch.setattr(licenses, "SMALL", 0)
+    assert sorted(given) == sorted(licenses.inherited(files).collect())
+    assert {r.doc_id for r in given if r.license} == {k for k in range(60) if k % 3 == 0 and k % 7 == 6}
+
+
 def _components(rows, least=85):
     """doc_id to component, by trying all pairs that share a shingle."""
     folded = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
