@@ -190,7 +190,14 @@ def test_secrets(spark, sf_dir, documents):
     for d in documents:
         spans = [(m.start(), k, f"{r.kind}:{m.start()}:{m.end()}") for k, r in enumerate(secrets.BASE) for m in re.finditer(r.pattern, d["text"] or "", r.flags) if len(m[r.group]) >= r.least]
         written = ",".join(s for _, _, s in sorted(spans))
-        assert found[d["doc_id"]].base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        r, counts = found[d["doc_id"]], Counter(k for _, k, _ in spans)
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert {f"n_{rule.kind}": r[f"n_{rule.kind}"] for rule in secrets.BASE} == {f"n_{rule.kind}": counts[k] for k, rule in enumerate(secrets.BASE)}
+        # Base spans stay among all spans, which are in order and lie in the text.
+        every = [s.rsplit(":", 2) for s in r.spans.split(",") if s]
+        assert Counter(s for _, _, s in spans) <= Counter(":".join(s) for s in every)
+        starts = [int(at) for _, at, _ in every]
+        assert starts == sorted(starts) and all(0 <= int(a) < int(b) <= len(d["text"] or "") for _, a, b in every)
 
 
 def test_trigram_queries():
