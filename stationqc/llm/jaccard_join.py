@@ -6,7 +6,8 @@ A document's set holds its distinct SHINGLE-word shingles (A-Z in lower case). T
 2. The shingles of a class are hashed into groups, more groups than the symmetric difference of two linked sets can hold shingles (for its
    band of set sizes). So linked sets agree in all shingles of some group, and meet under that group's digest. This brings together what may
    link without any pair in sight; digests that only one class has go at once. There are so many groups that linked sets agree in several:
-   a class that meets others under fewer digests than that has no link.
+   a class that meets others under fewer digests than that has no link. As sets agree in all but a known number of groups, a prefix of each set's
+   digests is enough. No digest stands for an empty group, so unrelated sets, short ones too, have no place in common.
 3. A class is first compared with the class of the highest degree among those it meets, if their count vectors (4.) allow a link. This joins large groups of near copies to one
    another with one comparison each.
 4. Where still different components meet, the classes' count vectors (shingles in COUNTS groups) are the points of an R-tree. An overlap is at
@@ -112,30 +113,35 @@ _EDGES = band_edges()
 
 
 def group_digests(s: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Where the set meets others: of each band that it can have a larger or equal partner in, a digest of each filled group.
+    """Where the set meets others: of each band that it can have a larger or equal partner in, digests of filled groups.
 
-    In a band whose sets have at most `top` shingles, two linked sets differ in `most` shingles at most, so in as many groups. If fewer groups
-    than that are filled, those in common may all be empty: then empty ones are given too. Beside each digest: the band, times 65,536, and
-    how many digests of the band a linked set has in common with this one at least. A partner may not give its empty groups, so only filled ones
-    count for that: as many as this set fills, less one for each shingle in which the two can differ at most, and one in any case.
+    In a band whose sets have at most `top` shingles, two linked sets differ in `most` shingles at most, and this set differs from any linked one in `apart`
+    at most. So of the groups that it fills, all but `apart` are the same in a linked set. Both give only the first of their digests by value: `apart` and
+    `common` more. Among these are the first `common` of those that both have (all, if they are fewer).
+
+    A set that fills no more than `apart` groups may share none of them. Such sets, few as they are, also give the first of their shingles by value: those
+    that are left when as many as a linked set has to share, less one, are taken away. Two linked sets of this kind have one of these in common.
+
+    Beside each digest: the band, times 65,536, and how many digests of the band a linked set has in common with this one at least.
     """
     n, found, needs = len(s), [], []
-    if not n:
+    apart = n * (100 - least) // least
+    if not apart:  # only equal sets link
         return np.empty(0, np.int64), np.empty(0, np.int64)
     b = int(np.searchsorted(_EDGES, n, "right")) - 1
     while _EDGES[b] * least <= n * 100 or _EDGES[b] <= n:
         most = 2 * (_EDGES[b + 1] - 1) * (100 - least) // (100 + least)
-        groups = 1 if most == 0 else most + 1 + max(3, most // 8)
+        common = 1 + max(3, most // 8)
+        groups = most + common
         group = ((s >> _U(32)) * _U(groups)) >> _U(32)
         starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        own = group[starts]
-        content = np.add.reduceat(_mix(s), starts)
-        need = max(1, len(own) - min(most, n * (100 - least) // least))
-        if len(own) <= most:
-            empty = np.setdiff1d(np.arange(groups, dtype=np.uint64), own)
-            own, content = np.concatenate([own, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
-        found.append(_mix(content ^ _mix(own * _ODD[0] + _U(b))))
-        needs.append(np.full(len(own), (b << 16) + min(need, (1 << 16) - 1)))
+        own, differ = group[starts], min(most, apart)
+        given = np.sort(_mix(np.add.reduceat(_mix(s), starts) ^ _mix(own * _ODD[0] + _U(b))))[: differ + common]
+        if len(own) <= differ:
+            shingles = np.sort(_mix(s ^ _ODD[2]))[: n + 1 - -(-n * least // 100)]
+            given = np.concatenate([given, _mix(shingles + (_ODD[3] + _U(b)))])
+        found.append(given)
+        needs.append(np.full(len(given), (b << 16) + min(max(1, min(common, len(own) - differ)), (1 << 16) - 1)))
         b += 1
     return np.concatenate(found).view(np.int64), np.concatenate(needs)
 

@@ -323,20 +323,20 @@ def test_jaccard_join_on_chains_and_short_sets(spark, monkeypatch):
     assert found == _components(rows)
 
 
-def test_linked_sets_share_the_digests_they_need():
-    """Random pairs of small sets that differ by few shingles, among them those of which only one gives its empty groups."""
-    rng = np.random.default_rng(5)
+@pytest.mark.parametrize("bits", [63, 60])
+def test_linked_sets_share_the_digests_they_need(bits):
+    """Random pairs of sets that differ by few shingles; with 60 bits all shingles of a set are in few groups."""
+    rng = np.random.default_rng(bits)
     linked = 0
     for _ in range(30_000):
-        n, extra, gone = int(rng.integers(8, 23)), int(rng.integers(1, 4)), int(rng.integers(0, 2))
-        every = np.unique(rng.integers(0, 1 << 63, n + extra, dtype=np.uint64) * np.uint64(2))
-        if len(every) < n + extra:
-            continue
-        every = rng.permutation(every)
-        a, b = np.sort(every[gone:]), np.sort(every[:n])
+        n, extra, gone = int(rng.integers(6, 60)), int(rng.integers(1, 8)), int(rng.integers(0, 4))
         if 100 * (n - gone) < 85 * (n + extra):
             continue
+        every = rng.permutation(np.unique(rng.integers(0, 1 << bits, n + extra, dtype=np.uint64) * np.uint64(2)))
+        if len(every) < n + extra:
+            continue
         linked += 1
+        a, b = np.sort(every[gone:]), np.sort(every[:n])
         (one, need_one), (other, need_other) = jaccard_join.group_digests(a), jaccard_join.group_digests(b)
         enough = False
         for band in set(need_one >> 16) & set(need_other >> 16):
@@ -347,6 +347,15 @@ def test_linked_sets_share_the_digests_they_need():
     assert linked > 5_000
 
 
+@pytest.mark.parametrize("size", [6, 8, 12, 20, 45])
+def test_unrelated_sets_have_no_place_in_common(size):
+    rng = np.random.default_rng(size)
+    sets = np.sort(rng.integers(0, 1 << 63, (20_000, size), dtype=np.uint64) * np.uint64(2), axis=1)
+    places = Counter(x for s in sets for x in set(jaccard_join.group_digests(s)[0].tolist()))
+    assert max(places.values()) == 1
+    assert all(len(jaccard_join.group_digests(s[:5])[0]) == 0 for s in sets[:100])  # only equal sets link
+
+
 def test_r_tree_finds_what_all_pairs_find():
     rng = np.random.default_rng(4)
     base = rng.poisson(4, (60, jaccard_join.COUNTS))
