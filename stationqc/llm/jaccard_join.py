@@ -50,8 +50,9 @@ CHUNK = 2000
 FANOUT = 16
 #: Ratio of the band edges of set sizes; above 100 / LEAST, so that a set meets larger ones in its own band or the next.
 BAND = 1.6
-#: Bits of the filter of candidate documents, whatever their number.
-FILTER_BITS = 1 << 23
+#: Bits of the filter of candidate documents: FILTER_SHARE for each class that meets others, between these bounds (1 and 16 MB).
+FILTER_SHARE = 16
+FILTER_BITS = (1 << 23, 1 << 27)
 #: Words and class digests that a worker remembers.
 REMEMBERED = 250_000
 
@@ -317,6 +318,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.filter(shared * (100 + least) >= least * (F.size("one") + F.size("other"))).select("a", "b")
 
 
+def filter_bits(classes: int) -> int:
+    """A power of two."""
+    return min(max(1 << (FILTER_SHARE * classes).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+
 def clustered(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id of docs (doc_id, text)."""
     return labelled(docs, least).select("doc_id", "n_shingles", "component_id")
@@ -348,12 +354,13 @@ def labelled(docs: DataFrame, least: int = LEAST) -> DataFrame:
     nodes = written(degrees.join(classes, ["c1", "c2"]).withColumn("node", F.monotonically_increasing_id()))
     at = written(meetings.join(nodes.select("c1", "c2", "node", "degree"), ["c1", "c2"]).select("meet", "node", "degree"))
 
-    slots = nodes.select((F.xxhash64("first_doc").bitwiseAND(F.lit(FILTER_BITS - 1))).alias("slot"))
+    bits = filter_bits(nodes.count())
+    slots = nodes.select((F.xxhash64("first_doc").bitwiseAND(F.lit(bits - 1))).alias("slot"))
     words = slots.groupBy(F.expr("cast(slot div 32 as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("bits"))
-    bitmap = np.zeros(FILTER_BITS // 32, "<u4")
-    for word, bits in words.collect():  # FILTER_BITS / 32 rows at most
-        bitmap[word] = bits
-    slotted = docs.withColumn("slot", F.xxhash64("doc_id").bitwiseAND(F.lit(FILTER_BITS - 1)))
+    found = words.toArrow()  # bits / 32 rows at most
+    bitmap = np.zeros(bits // 32, "<u4")
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    slotted = docs.withColumn("slot", F.xxhash64("doc_id").bitwiseAND(F.lit(bits - 1)))
     sets = slotted.mapInArrow(partial(_sets, bitmap.tobytes()), "c1 long, c2 long, items array<long>")
     sets = written(sets.join(nodes.select("c1", "c2", "node"), ["c1", "c2"]).select("node", "items"))
 

@@ -356,6 +356,10 @@ def test_unrelated_sets_have_no_place_in_common(size):
     assert all(len(jaccard_join.group_digests(s[:5])[0]) == 0 for s in sets[:100])  # only equal sets link
 
 
+def test_filter_grows_with_the_classes():
+    assert [jaccard_join.filter_bits(n) for n in (0, 500_000, 1_000_000, 1 << 40)] == [1 << 23, 1 << 23, 1 << 24, 1 << 27]
+
+
 def test_r_tree_finds_what_all_pairs_find():
     rng = np.random.default_rng(4)
     base = rng.poisson(4, (60, jaccard_join.COUNTS))
