@@ -4,8 +4,9 @@ A document is a file at /<source>/<lang>/<doc_id> unless the table has a `path`.
 file). Terms are runs of ASCII letters and digits in lower case; a term of the templates weighs its count times its inverse frequency over all
 documents, any other term 1 per occurrence. A unit whose cosine to a template reaches THRESHOLD has that licence; the best unit is the file's own.
 
-Notices are short, and whole licences are not like them: a whole text that names a licence or copyright is compared with whole licences (`license_files`) too,
-by the same cosine, with the terms of these as the vocabulary. As common words make long English texts alike, it also has to have half of a licence's terms.
+Notices are short, and whole licences are not like them: a whole text is compared with whole licences (`license_files`) too, by the same cosine, with the terms
+of these as the vocabulary. As common words make long English texts alike, it also has to have half of a licence's distinct terms, so only texts that
+have them are weighed; a text too short to hold the shortest of them is not even split.
 
 A unit that has none of a template's heaviest terms can't reach the threshold: its cosine is at most the share of the template's norm that the lighter terms
 hold. So only texts with one of these terms (`anchors`) are split into units; this leaves out nothing.
@@ -20,6 +21,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,14 +58,13 @@ TEMPLATES = {
 _FORMS = [(name, Counter(re.findall("[a-z0-9]+", form.lower()))) for name, forms in TEMPLATES.items() for form in forms]
 VOCABULARY = sorted({t for _, terms in _FORMS for t in terms})
 
-#: Whole licences, the share of whose distinct terms a whole text must have, and words of which each of them has one.
+#: Whole licences, and the share of whose distinct terms a whole text must have.
 _WHOLE = [(name, {t: int(n) for t, n in (x.split(":") for x in counted.split())}) for name, counted in FILES.items()]
 WHOLE_VOCABULARY = sorted({t for _, terms in _WHOLE for t in terms})
 LEAST_TERMS = 0.5
 #: Bytes of directories with a licence that are given to every task, and copies of each beyond.
 SMALL = 16 << 20
 SALT = 32
-NAMES = "(?i)licen[cs]e|copyright"
 
 
 def terms(text: Column) -> Column:
@@ -159,6 +161,27 @@ def _whole_licenses(texts: DataFrame, idf: dict[str, float], threshold: float) -
     return found.groupBy("rid").agg(*sums).select("rid", F.array_max(F.array(*each)).alias("whole")).filter("whole is not null")
 
 
+def _least(counted: dict[str, int]) -> int:
+    """Of a licence's distinct terms, those that a whole text must have."""
+    return math.ceil(LEAST_TERMS * len(counted))
+
+
+def _shortest(counted: dict[str, int]) -> int:
+    """Code points of the shortest text with that many of them."""
+    lengths = sorted(map(len, counted))[: _least(counted)]
+    return sum(lengths) + len(lengths) - 1
+
+
+def _has_half(text: Column) -> Column:
+    """Whether a text has half of the distinct terms of some whole licence."""
+    literal = lambda some: F.split(F.lit(" ".join(sorted(some))), " ")
+    has = lambda known: reduce(or_, [F.size(F.array_intersect(known, literal(counted))) >= _least(counted) for _, counted in _WHOLE])
+    enough = min(_least(counted) for _, counted in _WHOLE)
+    of = lambda known: F.when(F.size(known) >= enough, let(known, has)).otherwise(False)
+    half = let(F.array_intersect(terms(text), literal(WHOLE_VOCABULARY)), of)
+    return F.when(F.length(text) >= min(_shortest(counted) for _, counted in _WHOLE), half).otherwise(False)
+
+
 def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, path, own (cosine, license of the best unit) and file (of the whole text), null below the threshold, of docs (doc_id, path, text)."""
     idf = inverse_frequencies(docs)
@@ -168,8 +191,8 @@ def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = F.when(F.col("text").rlike(pattern), units)
     reached = lambda u: F.when(u["cosine"] >= threshold, u)
     # Numbers of rows are stable as they are written.
-    named = F.when(F.col("text").rlike(NAMES) & (F.length("text") >= LEAST_TERMS * min(len(x) for _, x in _WHOLE)), F.col("text"))
-    out = docs.select("doc_id", "path", found.alias("units"), named.alias("text"), F.monotonically_increasing_id().alias("rid"))
+    like = F.when(_has_half(F.col("text")), F.col("text"))
+    out = docs.select("doc_id", "path", found.alias("units"), like.alias("text"), F.monotonically_increasing_id().alias("rid"))
     out = written(out.select("doc_id", "path", reached(F.array_max("units")).alias("own"), reached(F.get("units", F.lit(0))).alias("file"), "text", "rid"))
     whole = _whole_licenses(out.filter("text is not null").select("rid", "text"), idf, threshold)
     compared = out.filter("text is not null").drop("text").join(whole, "rid", "left")
@@ -215,10 +238,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
+    whole = ", ".join(f"('{name}', '{counted}')" for name, counted in FILES.items())
     forms = ", ".join(f"({k}, '{name}', '{t}', {n})" for k, (name, counted) in enumerate(_FORMS) for t, n in sorted(counted.items()))
     return rf"""
 WITH form(k, license, term, n) AS (VALUES {forms}),
+whole_form AS (
+  SELECT license, split_part(x, ':', 1) AS term, CAST(split_part(x, ':', 2) AS INT) AS n
+  FROM (SELECT license, unnest(string_split(counted, ' ')) AS x FROM (VALUES {whole}) f (license, counted)) WHERE x <> ''),
 vocabulary AS (SELECT DISTINCT term FROM form),
+whole_vocabulary AS (SELECT DISTINCT term FROM whole_form),
 d AS (SELECT row_number() OVER () AS rid, doc_id, '/' || coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir, coalesce(CAST(doc_id AS VARCHAR), '-') AS file, coalesce(text, '') AS text FROM documents),
 unit AS (
   SELECT rid, 0 AS u, text AS body FROM d
@@ -231,7 +259,17 @@ tf AS (SELECT rid, u, term, count(*) AS n FROM word GROUP BY ALL),
 unit_norm AS (SELECT rid, u, sqrt(sum(CASE WHEN w IS NULL THEN n ELSE n * w * n * w END)) AS norm FROM tf LEFT JOIN idf USING (term) GROUP BY rid, u),
 dots AS (SELECT tf.rid, tf.u, form.k, form.license, sum(tf.n * w * form.n * w) AS dot FROM tf JOIN form USING (term) JOIN idf USING (term) GROUP BY ALL),
 cosines AS (SELECT rid, u, license, round(dot / form_norm.norm / unit_norm.norm, 6) AS cosine FROM dots JOIN form_norm USING (k) JOIN unit_norm USING (rid, u)),
-reached AS (SELECT * FROM cosines WHERE cosine >= {THRESHOLD}),
+whole_df AS (SELECT term, count(DISTINCT rid) AS n FROM word JOIN whole_vocabulary USING (term) WHERE u = 0 GROUP BY term),
+whole_idf AS (SELECT term, ln(((SELECT count(*) FROM d) + 1) / (coalesce(f.n, 0) + 1)) + 1 AS w FROM whole_vocabulary LEFT JOIN whole_df f USING (term)),
+whole_norm AS (SELECT license, sqrt(sum(n * w * n * w)) AS norm, count(*) AS terms FROM whole_form JOIN whole_idf USING (term) GROUP BY license),
+text_norm AS (SELECT rid, sqrt(sum(CASE WHEN w IS NULL THEN n ELSE n * w * n * w END)) AS norm FROM tf LEFT JOIN whole_idf USING (term) WHERE u = 0 GROUP BY rid),
+whole_dots AS (
+  SELECT tf.rid, f.license, sum(tf.n * w * f.n * w) AS dot, count(*) AS has
+  FROM tf JOIN whole_form f USING (term) JOIN whole_idf USING (term) WHERE tf.u = 0 GROUP BY ALL),
+whole_cosines AS (
+  SELECT rid, 0 AS u, license, round(dot / l.norm / t.norm, 6) AS cosine
+  FROM whole_dots JOIN whole_norm l USING (license) JOIN text_norm t USING (rid) WHERE has >= {LEAST_TERMS} * terms),
+reached AS (SELECT * FROM (SELECT * FROM cosines UNION ALL SELECT * FROM whole_cosines) WHERE cosine >= {THRESHOLD}),
 own AS (SELECT rid, max({{'c': cosine, 'l': license}}) AS b FROM reached GROUP BY rid),
 file AS (SELECT rid, max({{'c': cosine, 'l': license}}) AS b FROM reached WHERE u = 0 GROUP BY rid),
 given AS (SELECT dir, (min({{'c': -b.c, 'p': dir || '/' || file, 'l': b.l}})).l AS license FROM file JOIN d USING (rid) GROUP BY dir),

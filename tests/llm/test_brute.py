@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -105,6 +107,32 @@ def test_whole_licences_are_inherited(spark, documents):
     assert found["/words/common"].license is None and found["/words/other"].license is None
 
 
+def test_whole_licences_equal_sql(spark, tmp_path, documents):
+    """Texts from the terms of whole licences: all, half and one less of the distinct ones, among other words, without those that name a licence."""
+    rng = np.random.default_rng(6)
+    rows = [(d["doc_id"], d["source"], d["lang"], d["text"]) for d in documents]
+    plain = len(rows)
+    for name, counted in licenses._WHOLE:
+        every = [t for t in counted if t not in ("license", "licence", "licenses", "copyright")]
+        heavy = sorted(every, key=lambda t: (-counted[t], t))
+        half = licenses._least(counted)
+        for k, (some, others) in enumerate([(list(counted), 0), (heavy[:half], 0), (heavy[: half - 1], 0), (heavy[:half], 30), (every, 400)]):
+            found = [t for t in some for _ in range(counted[t])] + [f"other{x}" for x in range(others)]
+            rows.append((10**9 + len(rows), f"{name}{k}", "en", " ".join(rng.permutation(found))))
+        shortest = sorted(counted, key=len)[:half]
+        assert len(" ".join(shortest)) == licenses._shortest(counted)
+    pq.write_table(pa.table(dict(zip(("doc_id", "source", "lang", "text"), zip(*rows, strict=True), strict=True))), tmp_path / "documents.parquet")
+    found = {r.doc_id: r.asDict() for r in licenses.op3_license_scan(spark, str(tmp_path)).collect()}
+    con = _tables(duckdb.connect(), str(tmp_path)).execute(licenses.ORACLE_SQL)
+    names = [c[0] for c in con.description]
+    assert found == {r[names.index("doc_id")]: dict(zip(names, r, strict=True)) for r in con.fetchall()}
+    given = [found[r[0]]["license"] for r in rows[plain:]]
+    assert given[::5] == [name for name, _ in licenses._WHOLE]  # whole ones
+    assert sum(x is not None for x in given[1::5]) > 5  # half of the terms
+    # One less: at most a licence of nearly the same words has it.
+    assert all(x != name for x, (name, _) in zip(given[2::5], licenses._WHOLE, strict=True)) and given[2::5].count(None) > 10
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -207,8 +235,6 @@ def test_trigram_queries():
     assert q("[0-9a-f]+") == secrets.ALL and q("(abc)?") == secrets.ALL
     assert q("xab?cd") == {frozenset({"xab", "abc", "bcd"}), frozenset({"xac", "acd"})}
     scanner = secrets.Scanner()
-    import pyarrow as pa
-
     texts = pa.array(["PassWord: 'hunter22x'", None, "", "tok", "en=abcdefgh", "é" * 50 + " secret=abcdef", "https://u:pw@h"])
     assert [[k for k, _, _ in s] for s in scanner.spans(texts)] == [["assign"], [], [], [], [], ["assign"], ["url_login"]]
     assert scanner.spans(texts)[5] == [("assign", 51, 64)]
