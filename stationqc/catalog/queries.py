@@ -13,7 +13,7 @@ from stationqc.functions.columns import extend, json_pairs, timestamp_of, wind_u
 from stationqc.functions.windows import Timeline
 from stationqc.operators import annotate, bins, bounds, constancy, fill, grid, hours, jumps, reports, scores
 from stationqc.params import JUMPING, MODELS, RAIN, STICKING, STUCK_WINDOWS, VARIABLES, WIND, ModelParams, params_df
-from stationqc.plans.hours import aggregated_bins, scored_hours
+from stationqc.plans.hours import aggregated_bins, scored_hours, scoring_means
 from stationqc.plans.slots import bounded_slots, checked_slots, filled_slots
 from stationqc.schema import to_input_schema, to_output_schema
 from stationqc.session import shared_folder
@@ -301,7 +301,7 @@ def jumps_of_bins(df: DataFrame, params: ModelParams) -> DataFrame:
 
 def full_bins(*columns: str, texts: bool = False, trim: bool = False) -> Query:
     def build(df: DataFrame, params: ModelParams) -> DataFrame:
-        rows = aggregated_bins(checked_slots(df, params), params, texts=texts)
+        rows = aggregated_bins(checked_slots(df, params), params, texts=texts, means=scoring_means(params))
         return (bins.warmup_trim(rows, params) if trim else rows).select(*BIN, *columns)
 
     return both_models(build)
@@ -326,14 +326,14 @@ def hour_path(df: DataFrame, params: ModelParams) -> DataFrame:
 
 def code_rows(codes: Callable[[], str]) -> Query:
     def build(df: DataFrame, params: ModelParams) -> DataFrame:
-        counted = hours.hour_counts(aggregated_bins(checked_slots(df, params), params), params)
+        counted = hours.hour_counts(aggregated_bins(checked_slots(df, params), params, means=scoring_means(params)), params)
         return counted.filter(hours.in_last_day()).selectExpr(*HOUR, f"inline({codes()})")
 
     return both_models(build)
 
 
 def spine(df: DataFrame, params: ModelParams) -> DataFrame:
-    return hours.hourly_spine(hours.hour_counts(aggregated_bins(checked_slots(df, params), params), params))
+    return hours.hourly_spine(hours.hour_counts(aggregated_bins(checked_slots(df, params), params, means=scoring_means(params)), params))
 
 
 def spine_sizes(df: DataFrame, params: ModelParams) -> DataFrame:
@@ -347,7 +347,7 @@ def spine_json(df: DataFrame, params: ModelParams) -> DataFrame:
 
 
 def pivoted(df: DataFrame, params: ModelParams) -> DataFrame:
-    return scores.hour_pivot(scored_hours(checked_slots(df, params), params))
+    return scores.hour_pivot(scored_hours(checked_slots(df, params), params, means=scoring_means(params)))
 
 
 def pivot(df: DataFrame, params: ModelParams) -> DataFrame:

@@ -156,6 +156,28 @@ def tied_series(t: Timeline, candidates: Mapping[MedianTest, str]) -> dict[str,
     return {"_tied": t.over(f"max({ties})", EVERYTHING)}
 
 
+def readings_of_tied(t: Timeline, tests: Sequence[MedianTest] | Mapping[MedianTest, str] = MEDIAN_TESTS) -> dict[str, str]:
+    """``_readings``: a tied series' readings in time order (a station-day's); an empty list for any other series."""
+    columns = ", ".join(dict.fromkeys(x.column for x in tests))
+    return {"_readings": t.over(f"collect_list(if(_tied AND present, struct(sec, {columns}), NULL))", EVERYTHING)}
+
+
+def middles_of_tied(candidates: Mapping[MedianTest, str]) -> dict[str, str]:
+    """As :func:`middles`, from ``_readings``, on the candidate rows that are tied; null on all others."""
+
+    def middle(x: MedianTest, candidate: str) -> str:
+        def side(extreme: str, low: bool) -> str:
+            value = f"r.{x.column}"
+            on_side = x.holds(value) if low else f"NOT {x.holds(value)}"
+            window = f"filter(_readings, r -> r.sec >= sec - {x.minutes * 60} AND r.sec < sec AND {on_side})"
+            return f"{extreme}({window}.{x.column})"
+
+        tie = f"{candidate} AND count_{x.minutes} > 0 AND _{x.name}_low * 2 = count_{x.minutes}"
+        return f"if({tie}, ({side('array_max', True)} + {side('array_min', False)}) / 2, NULL)"
+
+    return {f"_{x.name}": middle(x, c) for x, c in candidates.items()}
+
+
 def middles(tests: Sequence[MedianTest], t: Timeline) -> dict[str, str]:
     """``_{test}``: the median where exactly half of the readings are on the low side, halfway between the two sides."""
 

@@ -61,16 +61,18 @@ def middles(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, s
     return {f"_{r.name}_mid": t.over(f"percentile({r.value}, 0.5D)", last_seconds(seconds)) for r in rules}
 
 
-def recent_values(rules: Sequence[JumpRule], seconds: int, t: Timeline) -> dict[str, str]:
-    """All series' values of the last ``seconds`` in one list, for series that have their gaps in common."""
+def recent_values(rules: Sequence[JumpRule], seconds: int, t: Timeline, wanted: str = "true") -> dict[str, str]:
+    """All series' values of the last ``seconds`` in one list, for series that have their gaps in common; only of ``wanted`` rows."""
     values = ", ".join(f"{r.value} AS {r.name}" for r in rules)
-    return {"_recent_values": t.over(f"collect_list(if(present, struct({values}), NULL))", last_seconds(seconds))}
+    wanted = f"present AND {wanted}"
+    return {"_recent_values": t.over(f"collect_list(if({wanted}, struct({values}), NULL))", last_seconds(seconds))}
 
 
-def sorted_at_jumps(rules: Sequence[JumpRule]) -> dict[str, str]:
-    """Each series' recent values in order, on the two sides of its jumps only."""
+def sorted_values(rules: Sequence[JumpRule], everywhere: bool) -> dict[str, str]:
+    """Each series' recent values in order, on all rows or on the two sides of its jumps only."""
     return {
-        f"_{r.name}_sorted": f"if({r.name}__couple = 1, sort_array(_recent_values.{r.name}), NULL)" for r in rules
+        f"_{r.name}_sorted": f"if({'true' if everywhere else f'{r.name}__couple = 1'}, sort_array(_recent_values.{r.name}), NULL)"
+        for r in rules
     }
 
 

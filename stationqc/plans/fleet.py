@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationqc.functions.windows import KEYS
-from stationqc.operators.bins import has_bin_jumps
 from stationqc.operators.grid import fill_missing_slots, resample_grid
 from stationqc.operators.scores import daily_rows, final_shape, hour_pivot
 from stationqc.params import MODELS, VARIABLES, ModelParams
-from stationqc.plans.hours import scored_hours
+from stationqc.plans.hours import scored_hours, scoring_means
 from stationqc.plans.slots import checked_slots
 from stationqc.schema import to_output_schema
 from stationqc.sources.telemetry import one_row_per_second, select_rows, with_qod_date
@@ -21,9 +20,7 @@ from stationqc.sources.telemetry import one_row_per_second, select_rows, with_qo
 
 def score_series(slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
     """Score series of one model that already carry ``sec`` and their keys: one row per series and hour."""
-    # Scores are counts; averages matter where they are searched for jumps.
-    means = "plain" if has_bin_jumps(params) else "none"
-    hours = scored_hours(checked_slots(slots, params, keys), params, keys, means=means)
+    hours = scored_hours(checked_slots(slots, params, keys), params, keys, means=scoring_means(params))
     return final_shape(daily_rows(hour_pivot(hours, keys), keys))
 
 

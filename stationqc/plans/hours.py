@@ -11,6 +11,11 @@ from stationqc.operators import bins, hours
 from stationqc.params import ModelParams
 
 
+def scoring_means(params: ModelParams) -> str:
+    """The means that scores and codes take: scores are counts; averages matter where they are searched for jumps."""
+    return "plain" if bins.has_bin_jumps(params) else "none"
+
+
 def aggregated_bins(
     slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False, means: str = "all"
 ) -> DataFrame:

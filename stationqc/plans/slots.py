@@ -32,26 +32,20 @@ def medians_where_needed(
 ) -> DataFrame:
     """All medians, computed where a flag depends on them.
 
-    A jump needs the medians of its two sides, i.e. the readings of the ``seconds`` up to each; a tied series needs those
-    of its long windows. These neighbourhoods keep their rows together in one window partition each. Every other row
-    becomes a partition of its own, for which moving frames cost next to nothing. Row order and data partitioning stay what they
-    are, so this needs no shuffle. ``everywhere`` keeps whole series together and computes every median.
+    A jump needs the medians of its two sides, i.e. the readings of the ``seconds`` up to each: only rows that a jump ahead reaches
+    back to are gathered. A tied row needs those of its long windows, so only series with such a row gather their readings. All
+    windows keep the partitions and the order of the others: neither a shuffle nor a sort. ``everywhere`` gathers all rows for the
+    jumps and computes every median.
     """
     t = Timeline(keys)
-    # Jump rows ahead within reach put this row into their neighbourhood; neighbourhoods are numbered by what is between.
-    near = "(_jump_ahead IS NOT NULL AND _jump_ahead >= sec)"
-    outside = t.over(f"count(if({near}, NULL, 1))", SO_FAR)
-    tied = constancy.tied_series(t, constancy.median_candidates())
-    df = extend(df, tied | {"_island": f"2 * {outside} + if({near}, 1, 0)"})
-    df = extend(df, {"_part": "-1L" if everywhere else "if(_tied, -1L, _island)"})
-    apart = Timeline((*keys, "_part"))
-    tests = constancy.middles(constancy.MEDIAN_TESTS, apart)
-    if everywhere:
-        df = extend(df, jumps.middles(rules, seconds, apart) | tests)
-    else:
-        df = extend(df, jumps.recent_values(rules, seconds, apart) | tests)
-        df = extend(extend(df, jumps.sorted_at_jumps(rules)), jumps.middles_of_sorted(rules))
-    return df.drop("_part", "_tied", "_island", "_jump_ahead", "_recent_values", *[f"_{r.name}_sorted" for r in rules])
+    # Jump rows ahead within reach put this row into their neighbourhood.
+    near = "true" if everywhere else "_jump_ahead IS NOT NULL AND _jump_ahead >= sec"
+    candidates = constancy.median_candidates()
+    df = extend(df, constancy.tied_series(t, candidates) | jumps.recent_values(rules, seconds, t, near))
+    df = extend(df, jumps.sorted_values(rules, everywhere)).drop("_recent_values", "_jump_ahead")
+    df = extend(df, jumps.middles_of_sorted(rules)).drop(*[f"_{r.name}_sorted" for r in rules])
+    df = extend(df, constancy.readings_of_tied(t, candidates))
+    return extend(df, constancy.middles_of_tied(candidates)).drop("_tied", "_readings")
 
 
 def checked_slots(
