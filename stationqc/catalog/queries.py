@@ -105,7 +105,7 @@ def bucketed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores from a bucketed table of both models' readings."""
     path = shared_folder(spark)
     table = f"telemetry_{path.rsplit('/', 1)[1]}"
-    write_telemetry(all_readings(spark, sf_dir), table, 16, path)
+    write_telemetry(all_readings(spark, sf_dir), table, path=path)
     return final_rows(score_fleet(read_table(spark, table)))
 
 

@@ -20,6 +20,8 @@ CONTEXT_HOURS = 6
 EVENING = 24 - CONTEXT_HOURS
 #: Stations that become literals of a plan, and paths whose footers are asked for at a time.
 LISTED, FOOTERS_AT_A_TIME = 1_000, 16
+#: Readings that a bucket holds on average, and the least number of buckets, where the caller names none.
+BUCKET_ROWS, LEAST_BUCKETS = 200_000, 16
 
 
 def read_telemetry(
@@ -41,17 +43,24 @@ def read_telemetry(
     return select_rows(union_days(*days), device_ids, dates)
 
 
-def write_telemetry(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+def write_telemetry(df: DataFrame, table: str, buckets: int | None = None, path: str | None = None) -> None:
     """Telemetry as a table that needs no exchange of readings to be scored: a folder per model, its rows dealt into buckets by station.
 
-    All rows of a station and model are in one bucket, in the order of their times. ``buckets`` is for the fleet's size: a task scores one. A
-    ``path`` keeps the files outside the warehouse. Rows of other models are written too, in folders of their own.
+    All rows of a station and model are in one bucket, in the order of their times. A task scores one bucket and needs memory for it, so
+    their number follows the rows (a count of its own) unless ``buckets`` names one. A ``path`` keeps the files outside the warehouse. Rows
+    of other models are written too, in folders of their own.
     """
+    buckets = buckets or _buckets_of(df)
     dealt = to_input_schema(df).repartition(buckets, "device_id")
     writer = dealt.write.mode("overwrite").partitionBy("model").bucketBy(buckets, "device_id").sortBy("device_id", "utc_datetime")
     (writer.option("path", path) if path else writer).format("parquet").saveAsTable(table)
 
 
+def _buckets_of(df: DataFrame) -> int:
+    most = int(df.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(LEAST_BUCKETS, -(-df.count() // BUCKET_ROWS)))
+
+
 def read_table(
     spark: SparkSession,
     table: str,

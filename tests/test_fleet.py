@@ -246,6 +246,20 @@ def test_a_bucketed_table_is_scored_without_an_exchange(spark, telemetry, scored
         spark.sql("DROP TABLE telemetry_in_buckets")
 
 
+def test_buckets_grow_with_the_readings(spark, telemetry, scored, monkeypatch, tmp_path):
+    from stationqc.sources import telemetry as source
+
+    monkeypatch.setattr(source, "BUCKET_ROWS", 50)
+    rows = telemetry.count()
+    write_telemetry(telemetry, "telemetry_by_size", path=str(tmp_path / "table"))
+    try:
+        described = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE FORMATTED telemetry_by_size").collect()}
+        assert int(described["Num Buckets"]) == -(-rows // 50) > source.LEAST_BUCKETS
+        assert as_set(score_fleet(read_table(spark, "telemetry_by_size"), models=["WS2000"])) == as_set(scored)
+    finally:
+        spark.sql("DROP TABLE telemetry_by_size")
+
+
 def test_not_a_number_is_missing(spark):
     df = spark.range(1).selectExpr(
         "'d' AS device_id", "'WS2000' AS model", "'2024-01-01 00:00:00' AS utc_datetime",
