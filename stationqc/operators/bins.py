@@ -83,9 +83,6 @@ def _partials(p: str, params: ModelParams, texts: bool, means: str) -> dict[str,
     scalar = p if p in SCALARS else None
     limit = number(params.of(p).bin_minutes * 60 * GAUGE_MM)
     columns = {
-        "num_time_slots": f"count({p})",
-        "num_faulty": f"sum({p}__faulty)",
-        "clean_slots": f"count(if({p}__faulty = 0, {p}, NULL))" if means == "all" else "0L",
         "total": total(scalar),
         "total_clean": clean(scalar),
         "u": total(u),
@@ -94,12 +91,43 @@ def _partials(p: str, params: ModelParams, texts: bool, means: str) -> dict[str,
         "v_clean": clean(v),
         "rain": total(f"if(precip_diff > 0 AND precip_diff <= {limit}, precip_diff, NULL)" if p == RAIN else None),
     }
-    columns |= {f"n_{f}": f"count(if({p}__{f} > 0, 1, NULL))" if f in APPLICABLE[p] else "0L" for f in RAW_FLAGS}
+    columns |= {f"_sum{i}": packed_sum(p, some) for i, some in enumerate(_packs(p))}
     if texts:
         columns["texts"] = f"collect_list(struct(sec, {p}__text AS text))"
     return columns
 
 
+#: Bits of a count among those that are added up in one number, counts in a number, and the most rows of a bin that fit.
+COUNT_BITS, PACKED = 21, 3
+MOST_ROWS = (1 << COUNT_BITS) - 1
+
+
+def _packs(p: str) -> list[list[str]]:
+    """The flags of a variable, and its faulty readings, in threes that are counted in one sum."""
+    names = ["faulty", *[f for f in RAW_FLAGS if f in APPLICABLE[p]]]
+    return [names[i : i + PACKED] for i in range(0, len(names), PACKED)]
+
+
+def packed_sum(p: str, names: Sequence[str]) -> str:
+    """Rows with each flag, in one number: an aggregate's cost is that of its functions, and flags of variables are some fifty."""
+    return f"sum({' + '.join(f'if({p}__{f} > 0, {1 << COUNT_BITS * n}L, 0L)' for n, f in enumerate(names))})"
+
+
+def _counts(p: str, means: str) -> dict[str, str]:
+    """The counts out of :func:`packed_sum`. A reading that is there lacks the flag of a missing one; a clean one is not faulty."""
+    fits = f"if(num_total_slots > {MOST_ROWS}, CAST(raise_error('more rows in a bin than counts hold') AS BIGINT), {{}})"
+    counts = {
+        f: fits.format(f"shiftright({p}___sum{i}, {COUNT_BITS * n}) & {MOST_ROWS}L") if n < len(some) - 1 else fits.format(f"shiftright({p}___sum{i}, {COUNT_BITS * n})")
+        for i, some in enumerate(_packs(p))
+        for n, f in enumerate(some)
+    }
+    return {
+        "num_time_slots": f"num_total_slots - {counts['no_datum']}",
+        "num_faulty": counts["faulty"],
+        "clean_slots": f"num_total_slots - {counts['faulty']}" if means == "all" else "0L",
+    } | {f"n_{f}": counts.get(f, "0L") for f in RAW_FLAGS}
+
+
 def bin_readings(
     slots: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS, texts: bool = False, means: str = "all"
 ) -> DataFrame:
@@ -114,13 +142,15 @@ def bin_readings(
     """
     shortest = min(v.bin_minutes for v in params.variables)
     partials = {p: _partials(p, params, texts, means) for p in VARIABLES}
-    names = list(partials[RAIN])
+    summed = [n for n in partials[RAIN] if not n.startswith("_sum")]
+    names = [*_counts(RAIN, means), *summed]
     shared = {"num_total_slots": "count(1)", "first_sec": "max(first_sec)", "last_sec": "max(last_sec)"}
     side_by_side = {f"{p}__{n}": sql for p in VARIABLES for n, sql in partials[p].items()}
     start = F.expr(floor_to("sec", shortest * 60)).alias("bin")
     wide = slots.groupBy(*keys, "model", start).agg(*named(shared | side_by_side))
+    laid_out = {p: _counts(p, means) | {n: f"{p}__{n}" for n in summed} for p in VARIABLES}
     readings = ", ".join(
-        f"struct('{p}' AS parameter, {', '.join(f'{p}__{n} AS {n}' for n in names)})" for p in VARIABLES
+        f"struct('{p}' AS parameter, {', '.join(f'{laid_out[p][n]} AS {n}' for n in names)})" for p in VARIABLES
     )
     # Not an unpivot: Spark forgets the partitioning across that, and would shuffle again for every aggregate after it.
     df = wide.selectExpr(*keys, "model", "bin", *shared, f"inline(array({readings}))")

@@ -11,7 +11,7 @@ exactly half are; only series where that happens get real medians (:func:`settle
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,14 +78,13 @@ def last_reading(t: Timeline, columns: Sequence[str] = STICKING) -> dict[str, st
     return {"_previous": t.over(f"last(if(present, {readings}, NULL), true)", EARLIER)}
 
 
-def run_starts(t: Timeline, columns: Sequence[str] = STICKING) -> dict[str, str]:
+def changed(p: str) -> str:
+    return f"(_previous IS NULL OR {p}__filled <> _previous.{p})"
+
+
+def run_starts(t: Timeline, columns: Sequence[str] = STICKING, changed: Callable[[str], str] = changed) -> dict[str, str]:
     """``{p}__run``: number of the reading that opened the run of equal readings before ``t``."""
-    return {
-        f"{p}__run": t.over(
-            f"max(if(present AND (_previous IS NULL OR {p}__filled <> _previous.{p}), seen, NULL))", older_than(0)
-        )
-        for p in columns
-    }
+    return {f"{p}__run": t.over(f"max(if(present AND {changed(p)}, seen, NULL))", older_than(0)) for p in columns}
 
 
 def is_constant(p: str, minutes: int) -> str:
@@ -150,9 +149,13 @@ def low_counts(t: Timeline, tests: Sequence[MedianTest] = MEDIAN_TESTS) -> dict[
     return {f"_{x.name}_low": f"{low(x, 0)} - {low(x, x.minutes * 60)}" for x in tests}
 
 
-def tied_series(t: Timeline, candidates: Mapping[MedianTest, str]) -> dict[str, str]:
+def is_tied(x: MedianTest) -> str:
+    return f"_{x.name}_low * 2 = count_{x.minutes}"
+
+
+def tied_series(t: Timeline, candidates: Mapping[MedianTest, str], tied: Callable[[MedianTest], str] = is_tied) -> dict[str, str]:
     """``_tied``: some candidate row of the series has exactly half of its readings on the low side."""
-    ties = any_of(yes(f"{c} AND _{x.name}_low * 2 = count_{x.minutes}") for x, c in candidates.items())
+    ties = any_of(yes(f"{c} AND {tied(x)}") for x, c in candidates.items())
     return {"_tied": t.over(f"max({ties})", EVERYTHING)}
 
 
@@ -172,8 +175,7 @@ def middles_of_tied(candidates: Mapping[MedianTest, str]) -> dict[str, str]:
             window = f"filter(_readings, r -> r.sec >= sec - {x.minutes * 60} AND r.sec < sec AND {on_side})"
             return f"{extreme}({window}.{x.column})"
 
-        tie = f"{candidate} AND count_{x.minutes} > 0 AND _{x.name}_low * 2 = count_{x.minutes}"
-        return f"if({tie}, ({side('array_max', True)} + {side('array_min', False)}) / 2, NULL)"
+        return f"if({candidate} AND {packed_tie(x)}, ({side('array_max', True)} + {side('array_min', False)}) / 2, NULL)"
 
     return {f"_{x.name}": middle(x, c) for x, c in candidates.items()}
 
@@ -239,35 +241,106 @@ def window_counts(minutes: Sequence[int] = STUCK_WINDOWS) -> dict[str, str]:
     return {f"count_{m}": in_window(m) for m in minutes}
 
 
-def median_candidates() -> dict[MedianTest, str]:
+def as_named(column: str) -> str:
+    return column
+
+
+def median_candidates(stuck: Callable[[str], str] = as_named) -> dict[MedianTest, str]:
     """Rows whose verdict depends on each test."""
-    still = any_of(f"_stuck_{p}" for p in WIND)
+    still = any_of(stuck(f"_stuck_{p}") for p in WIND)
     return {
-        DRY_4H: "_stuck_temperature",
+        DRY_4H: stuck("_stuck_temperature"),
         DRY_6H: still,
         COLD_6H: still,
-        COLD_24H: any_of(f"_day_{p}" for p in WIND),
+        COLD_24H: any_of(stuck(f"_day_{p}") for p in WIND),
     }
 
 
-def verdicts() -> dict[str, str]:
+# What the latest reading above a row has to be for some verdicts.
+BEFORE = {
+    "humidity": f"_previous.humidity < {number(HUMIDITY_CEILING)}",
+    "illuminance": "_previous.illuminance <> 0",
+    "wind_speed": "_previous.wind_speed <> 0",
+}
+
+
+def verdicts(stuck: Callable[[str], str] = as_named, before: Callable[[str], str] = BEFORE.__getitem__) -> dict[str, str]:
     """What each constant window means.
 
     Boolean ``{p}__hit`` / ``{p}__long_hit`` where any hit marks the window before it, and ``{p}__verdict`` (flag code
     or null) for wind, where the latest verdict counts.
     """
     by_weather = f"WHEN cold_6h THEN {CODE_FROZEN} WHEN NOT cold_6h AND dry_6h THEN {CODE_CONSTANT}"
-    moving = f"WHEN _previous.wind_speed <> 0 THEN {CODE_CONSTANT}"
+    moving = f"WHEN {before('wind_speed')} THEN {CODE_CONSTANT}"
+    return {
+        "humidity__hit": f"{stuck('_stuck_humidity')} AND {before('humidity')}",
+        "temperature__hit": f"{stuck('_stuck_temperature')} AND dry_4h",
+        "temperature__long_hit": stuck("_day_temperature"),
+        "illuminance__hit": f"{stuck('_stuck_illuminance')} AND {before('illuminance')}",
+        "pressure__hit": stuck("_stuck_pressure"),
+        "wind_direction__long_hit": f"{stuck('_day_wind_direction')} AND NOT cold_24h",
+        "wind_speed__long_hit": f"{stuck('_day_wind_speed')} AND NOT cold_24h",
+        "wind_direction__verdict": f"if({stuck('_stuck_wind_direction')}, CASE {by_weather} END, NULL)",
+        "wind_speed__verdict": f"if({stuck('_stuck_wind_speed')}, CASE {moving} {by_weather} END, NULL)",
+    }
+
+
+# ---- the same columns as bits of numbers: rows of the slot stage stay narrow ---------------------
+
+STUCK = (*[f"_stuck_{p}" for p in STICKING], *[f"_day_{p}" for p in LONG_CHECKED])
+UNKNOWN, HOLDS, TIED = 3, 2, 1
+
+
+def _bits(conditions: Sequence[str]) -> str:
+    return " | ".join(f"if({c}, {1 << i}, 0)" for i, c in enumerate(conditions))
+
+
+def packed_previous() -> dict[str, str]:
+    """``_changes``: which readings differ from the latest ones above, and what those are for :func:`verdicts`."""
+    return {"_changes": _bits([*map(changed, STICKING), *BEFORE.values()])}
+
+
+def packed_changed(p: str) -> str:
+    return f"((_changes & {1 << STICKING.index(p)}) <> 0)"
+
+
+def packed_before(p: str) -> str:
+    return f"((_changes & {1 << len(STICKING) + list(BEFORE).index(p)}) <> 0)"
+
+
+def packed_stuck(params: ModelParams) -> dict[str, str]:
+    """``_constant``: :func:`stuck_columns`."""
+    columns = stuck_columns(params)
+    return {"_constant": _bits([columns[c] for c in STUCK])}
+
+
+def is_stuck(column: str) -> str:
+    return f"((_constant & {1 << STUCK.index(column)}) <> 0)"
+
+
+def packed_tests() -> dict[str, str]:
+    """``_tests``: for each test what the counts say of it, in two bits."""
+
+    def state(x: MedianTest) -> str:
+        n, low = in_window(x.minutes), f"_{x.name}_low * 2"
+        return f"CASE WHEN {n} = 0 THEN {UNKNOWN} WHEN {low} = {n} THEN {TIED} WHEN {low} > {n} THEN {HOLDS} ELSE 0 END"
+
+    return {"_tests": " | ".join(f"shiftleft({state(x)}, {2 * i})" for i, x in enumerate(MEDIAN_TESTS))}
+
+
+def _state(x: MedianTest) -> str:
+    return f"(shiftright(_tests, {2 * MEDIAN_TESTS.index(x)}) & 3)"
+
+
+def packed_tie(x: MedianTest) -> str:
+    return f"{_state(x)} = {TIED}"
+
+
+def packed_settled() -> dict[str, str]:
+    """:func:`settled` from ``_tests`` and the medians of ties."""
     return {
-        "humidity__hit": f"_stuck_humidity AND _previous.humidity < {number(HUMIDITY_CEILING)}",
-        "temperature__hit": "_stuck_temperature AND dry_4h",
-        "temperature__long_hit": "_day_temperature",
-        "illuminance__hit": "_stuck_illuminance AND _previous.illuminance <> 0",
-        "pressure__hit": "_stuck_pressure",
-        "wind_direction__long_hit": "_day_wind_direction AND NOT cold_24h",
-        "wind_speed__long_hit": "_day_wind_speed AND NOT cold_24h",
-        "wind_direction__verdict": f"if(_stuck_wind_direction, CASE {by_weather} END, NULL)",
-        "wind_speed__verdict": f"if(_stuck_wind_speed, CASE {moving} {by_weather} END, NULL)",
+        x.name: f"CASE {_state(x)} WHEN {UNKNOWN} THEN NULL WHEN {TIED} THEN {x.holds(f'_{x.name}')} ELSE {_state(x)} = {HOLDS} END"
+        for x in MEDIAN_TESTS
     }
 
 

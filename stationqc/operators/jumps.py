@@ -41,6 +41,48 @@ class JumpRule:
     def counted(self) -> str:
         return self.shared_count or f"_{self.name}_count"
 
+    # Where the columns of the levels below are: what a verdict reads of this value and of those around it.
+
+    @property
+    def came(self) -> str:
+        return f"_{self.name}_came"
+
+    @property
+    def left(self) -> str:
+        return f"_{self.name}_left"
+
+    @property
+    def same(self) -> str:
+        return f"_{self.name}_same"
+
+    @property
+    def couple(self) -> str:
+        return f"{self.name}__couple = 1"
+
+    @property
+    def away(self) -> str:
+        return f"{self.name}__median_diff"
+
+    @property
+    def no_median(self) -> str:
+        return f"{self.name}__median IS NULL"
+
+    @property
+    def prev_away(self) -> str:
+        return f"_{self.name}_prev_md"
+
+    @property
+    def next_away(self) -> str:
+        return f"_{self.name}_next_md"
+
+    @property
+    def prev2_away(self) -> str:
+        return f"_{self.name}_prev2_md"
+
+    @property
+    def prev_came(self) -> str:
+        return f"_{self.name}_prev_came"
+
     def rounded(self, sql: str) -> str:
         return rint2(sql) if self.decimals else sql
 
@@ -48,6 +90,61 @@ class JumpRule:
         return yes(f"abs({a} - {b}) > {self.threshold}")
 
 
+@dataclass(frozen=True)
+class PackedRule(JumpRule):
+    """A rule of the slot stage, whose rows stay narrow: the steps of all rules are bits of ``_steps`` (:func:`step_bits`), their
+    distances from the medians a struct that only rows beside a jump have (:func:`packed_distances`). A verdict reads no others."""
+
+    place: int = 0
+
+    def bit(self, n: int) -> int:
+        return 1 << (3 * self.place + n)
+
+    def has(self, bits: int, steps: str = "_steps") -> str:
+        return f"(({steps} & {bits}) <> 0)"
+
+    @property
+    def came(self) -> str:
+        return self.has(self.bit(0))
+
+    @property
+    def left(self) -> str:
+        return self.has(self.bit(1))
+
+    @property
+    def same(self) -> str:
+        return self.has(self.bit(2))
+
+    @property
+    def couple(self) -> str:
+        return self.has(self.bit(0) | self.bit(1))
+
+    @property
+    def away(self) -> str:
+        return f"_away.{self.name}"
+
+    @property
+    def no_median(self) -> str:
+        # A value beside a jump is not null, so its distance is null only for want of a median.
+        return f"_away.{self.name} IS NULL"
+
+    @property
+    def prev_away(self) -> str:
+        return f"_before.{self.name}"
+
+    @property
+    def next_away(self) -> str:
+        return f"_after.{self.name}"
+
+    @property
+    def prev2_away(self) -> str:
+        return f"_before_that.{self.name}"
+
+    @property
+    def prev_came(self) -> str:
+        return self.has(self.bit(0), "_before.steps")
+
+
 # ---- levels: each set of columns depends on the one before it -----------------------------------
 
 
@@ -71,7 +168,7 @@ def recent_values(rules: Sequence[JumpRule], seconds: int, t: Timeline, wanted:
 def sorted_values(rules: Sequence[JumpRule], everywhere: bool) -> dict[str, str]:
     """Each series' recent values in order, on all rows or on the two sides of its jumps only."""
     return {
-        f"_{r.name}_sorted": f"if({'true' if everywhere else f'{r.name}__couple = 1'}, sort_array(_recent_values.{r.name}), NULL)"
+        f"_{r.name}_sorted": f"if({'true' if everywhere else r.couple}, sort_array(_recent_values.{r.name}), NULL)"
         for r in rules
     }
 
@@ -107,6 +204,32 @@ def steps(rules: Sequence[JumpRule]) -> dict[str, str]:
     return columns
 
 
+def step_bits(rules: Sequence[PackedRule]) -> dict[str, str]:
+    """:func:`steps` of all rules in one number, ``_steps``; and ``{name}__diff``."""
+    bits = []
+    columns: dict[str, str] = {}
+    for r in rules:
+        prev = f"_{r.name}_prev"
+        told = (r.jumped(r.value, prev), r.jumped(f"_{r.name}_next", r.value), yes(f"{r.value} = {prev}"))
+        bits += [f"if({condition}, {r.bit(n)}, 0)" for n, condition in enumerate(told)]
+        columns[f"{r.name}__diff"] = r.rounded(f"abs({r.value} - {prev})")
+    return {"_steps": " | ".join(bits)} | columns
+
+
+def packed_couples(rules: Sequence[PackedRule]) -> dict[str, str]:
+    return {f"{r.name}__couple": flag(r.couple) for r in rules}
+
+
+def packed_distances(rules: Sequence[PackedRule]) -> dict[str, str]:
+    """``_away``: the steps of a row beside a jump and its distances from the medians; null on all other rows."""
+    away = ", ".join(f"{r.name}__median_diff AS {r.name}" for r in rules)
+    return {"_away": f"if({any_of(r.couple for r in rules)}, struct(_steps AS steps, {away}), NULL)"}
+
+
+def packed_distances_around(t: Timeline) -> dict[str, str]:
+    return {"_before": t.lag("_away"), "_after": t.lead("_away"), "_before_that": t.over("lag(_away, 2)")}
+
+
 def medians(rules: Sequence[JumpRule]) -> dict[str, str]:
     """``{name}__median``: null where too few values are there."""
     return {
@@ -133,17 +256,13 @@ def distances_around(rules: Sequence[JumpRule], t: Timeline) -> dict[str, str]:
 
 def blamed(r: JumpRule) -> str:
     """On either side of a jump, the value farther from its own median. A tie blames neither."""
-    md = f"{r.name}__median_diff"
-    return yes(f"(_{r.name}_came AND {md} > _{r.name}_prev_md)") + " OR " + yes(
-        f"(_{r.name}_left AND {md} > _{r.name}_next_md)"
-    )
+    return yes(f"({r.came} AND {r.away} > {r.prev_away})") + " OR " + yes(f"({r.left} AND {r.away} > {r.next_away})")
 
 
 def previous_blamed(r: JumpRule) -> str:
     """The same, for the value before this one."""
-    prev = f"_{r.name}_prev_md"
-    return yes(f"(_{r.name}_prev_came AND {prev} > _{r.name}_prev2_md)") + " OR " + yes(
-        f"(_{r.name}_came AND {prev} > {r.name}__median_diff)"
+    return yes(f"({r.prev_came} AND {r.prev_away} > {r.prev2_away})") + " OR " + yes(
+        f"({r.came} AND {r.prev_away} > {r.away})"
     )
 
 
@@ -154,11 +273,9 @@ def flags(rules: Sequence[JumpRule]) -> dict[str, str]:
     """
     columns: dict[str, str] = {}
     for r in rules:
-        repeat = f"_{r.name}_same AND ({previous_blamed(r)})"
+        repeat = f"{r.same} AND ({previous_blamed(r)})"
         columns[f"{r.name}__invalid"] = flag(f"{blamed(r)} OR ({repeat})", CODE_INVALID)
-        columns[f"{r.name}__unidentified"] = flag(
-            f"{r.name}__median IS NULL AND {r.name}__couple = 1", CODE_UNIDENTIFIED
-        )
+        columns[f"{r.name}__unidentified"] = flag(f"{r.no_median} AND {r.couple}", CODE_UNIDENTIFIED)
     return columns
 
 
@@ -196,20 +313,18 @@ def search_jumps(df: DataFrame, rules: Sequence[JumpRule], seconds: int, t: Time
 # ---- raw readings ------------------------------------------------------------------------------
 
 
-def raw_rules(
-    params: ModelParams, columns: Sequence[str] = JUMPING, shared_count: str | None = None
-) -> list[JumpRule]:
-    return [
-        JumpRule(
-            p,
-            f"{p}__filled",
-            number(params.of(p).raw_jump),
-            number(params.of(p).median_availability),
-            number(params.median_minutes * 60 / params.step),
-            shared_count=shared_count,
-        )
-        for p in columns
-    ]
+def raw_rules(params: ModelParams, columns: Sequence[str] = JUMPING) -> list[JumpRule]:
+    return [JumpRule(*_raw_rule(params, p)) for p in columns]
+
+
+def packed_rules(params: ModelParams, shared_count: str, columns: Sequence[str] = JUMPING) -> list[PackedRule]:
+    return [PackedRule(*_raw_rule(params, p), shared_count=shared_count, place=i) for i, p in enumerate(columns)]
+
+
+def _raw_rule(params: ModelParams, p: str) -> tuple[str, str, str, str, str]:
+    v = params.of(p)
+    possible = number(params.median_minutes * 60 / params.step)
+    return p, f"{p}__filled", number(v.raw_jump), number(v.median_availability), possible
 
 
 def raw_median(

@@ -2,7 +2,7 @@
 
 Input: ``device_id, qod_date, model, sec`` and the seven variables, one row per slot. All windows share one partitioning
 and one order, so the whole stage is one exchange. The operators' levels are interleaved: independent columns of
-different checks share a Window node, and rows are narrowed between nodes.
+different checks share a Window node, and rows are narrowed between nodes: what a check knows of a row is a bit of a number.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from stationqc.functions.columns import any_of, extend
 from stationqc.functions.windows import KEYS, SO_FAR, Timeline, older_than, until
 from stationqc.operators import bounds, constancy, fill, jumps
 from stationqc.operators.annotate import text_annotation
-from stationqc.params import JUMPING, VARIABLES, WIND, ModelParams
+from stationqc.params import VARIABLES, ModelParams
 
 
 def filled_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -28,7 +28,7 @@ def bounded_slots(df: DataFrame, params: ModelParams, keys: Sequence[str] = KEYS
 
 
 def medians_where_needed(
-    df: DataFrame, rules: Sequence[jumps.JumpRule], seconds: int, everywhere: bool, keys: Sequence[str]
+    df: DataFrame, rules: Sequence[jumps.PackedRule], seconds: int, everywhere: bool, keys: Sequence[str]
 ) -> DataFrame:
     """All medians, computed where a flag depends on them.
 
@@ -40,8 +40,9 @@ def medians_where_needed(
     t = Timeline(keys)
     # Jump rows ahead within reach put this row into their neighbourhood.
     near = "true" if everywhere else "_jump_ahead IS NOT NULL AND _jump_ahead >= sec"
-    candidates = constancy.median_candidates()
-    df = extend(df, constancy.tied_series(t, candidates) | jumps.recent_values(rules, seconds, t, near))
+    candidates = constancy.median_candidates(constancy.is_stuck)
+    ties = constancy.tied_series(t, candidates, constancy.packed_tie)
+    df = extend(df, ties | jumps.recent_values(rules, seconds, t, near))
     df = extend(df, jumps.sorted_values(rules, everywhere)).drop("_recent_values", "_jump_ahead")
     df = extend(df, jumps.middles_of_sorted(rules)).drop(*[f"_{r.name}_sorted" for r in rules])
     df = extend(df, constancy.readings_of_tied(t, candidates))
@@ -57,7 +58,7 @@ def checked_slots(
     """
     t = Timeline(keys)
     seconds = params.median_minutes * 60
-    rules = jumps.raw_rules(params, shared_count="_recent")
+    rules = jumps.packed_rules(params, shared_count="_recent")
     # A reading is what was filled in without being carried, so the originals need not travel along.
     df = filled_slots(df, params, keys).drop(*VARIABLES)
     # counts so far, neighbours
@@ -73,26 +74,28 @@ def checked_slots(
         | jumps.neighbours(rules, t)
         | {"_recent": f"{t.over(count, SO_FAR)} - {t.over(count, older_than(seconds - 1))}"},
     )
-    df = extend(df, jumps.steps(rules) | constancy.window_counts())
+    df = extend(df, jumps.step_bits(rules) | constancy.packed_previous() | constancy.packed_tests())
     # runs of equal readings, jumps ahead
-    jump = any_of(f"{p}__couple = 1" for p in JUMPING)
+    jump = any_of(r.couple for r in rules)
     df = extend(
         df,
         fill.fill_counter(t)
-        | constancy.run_starts(t)
+        | constancy.run_starts(t, changed=constancy.packed_changed)
         | {"_jump_ahead": t.over(f"max(if({jump}, sec, NULL))", until(seconds - 1))},
     )
-    df = extend(df, constancy.stuck_columns(params))
+    df = extend(df, constancy.packed_stuck(params))
     df = medians_where_needed(df, rules, seconds, audit, keys)
-    df = extend(df, jumps.medians(rules) | constancy.settled(constancy.MEDIAN_TESTS))
-    df = extend(df, jumps.distances(rules) | constancy.verdicts())
+    df = extend(df, jumps.medians(rules) | constancy.packed_settled())
+    df = extend(df, jumps.distances(rules) | constancy.verdicts(constancy.is_stuck, constancy.packed_before))
+    df = extend(df, jumps.packed_distances(rules))
     # hits onto the windows before them, sides of a jump against each other
-    df = extend(df, constancy.spread(params, t) | jumps.distances_around(rules, t))
+    df = extend(df, constancy.spread(params, t) | jumps.packed_distances_around(t))
     df = extend(df, {p: f"if(is_fill, NULL, {p}__filled)" for p in VARIABLES})
     df = extend(
         df,
         constancy.constancy_flags()
         | jumps.flags(rules)
+        | jumps.packed_couples(rules)
         | jumps.not_applicable()
         | jumps.no_datum_columns()
         | bounds.bounds_columns(params)
