@@ -1,13 +1,13 @@
-"""An adaptive context-mixing range coder for token ids, in blocks that are coded side by side.
+"""An adaptive context-mixing range coder for token ids, in blocks whose lanes are coded side by side.
 
-Each block starts from a blank model. For every id the order-2 and order-1 contexts (the ids before it) name a candidate. Whether the id is that candidate
-is one binary decision; its probability mixes three adaptive predictions in the logistic domain: of the order-2 and of the order-1 context by their confidence, and of
-order 0 by how often the candidate came lately. Other ids are coded by order 0 as four adaptive 16-way choices. A range coder turns the
-decisions into 16-bit words; carries into words already out are settled at the end. All model arithmetic is on integers, so any machine
-decodes what another has coded.
+A block is self-contained: it starts from a blank model. Its ids are dealt over lanes, runs of equal length that share the model; step t is done for all lanes at once with
+numpy. The model stands still for a round of steps, then learns from all ids of the round; rounds double.
 
-The steps of a block follow each other, but blocks are independent: step t is done for all blocks of a group at once with numpy. Encoder and
-decoder are the same loop, so that their models can't differ.
+Where the two ids before name a candidate that is worth asking for, whether the id is the candidate is one binary decision. Its probability mixes three adaptive predictions in the
+logistic domain, by weights that are learnt: how often the candidate held, its share after the id before (order 1), and its share of all ids (order 0). Other ids are
+coded by their share after the id before; those that are new there, by their share of all; those that are new to the block, as 16 bits. A range coder turns the
+decisions into 16-bit words; carries into words already out are settled at the end. All model arithmetic is on integers, so any machine decodes what another has
+coded. Encoder and decoder are the same loop, so that their models can't differ.
 """
 
 from __future__ import annotations
@@ -17,190 +17,286 @@ import zlib
 
 import numpy as np
 
-#: Blocks that are coded side by side, about, and ids in a block at most; smaller groups get shorter blocks.
-LANES = 512
-BLOCK = 8192
-SHORTEST = 4096
+#: Ids in a block at most; lanes of a block at most, and ids of a lane that are worth its fixed bytes.
+BLOCK = 1 << 21
+LANES = 4096
+LANE = 256
 MOST_ID = (1 << 16) - 1
 
 MAGIC = b"TKRC"
-_HEAD = struct.Struct("<4sHIIII")  # magic, version, ids, words, crc32 of the ids, bytes of the index
-
-_SLOTS2, _SLOTS1, _SLOTS0 = 13, 12, 12
-_SURE = 15
-_WORD, _LOW = np.uint64(16), np.uint64(1 << 32)
-#: A 16-way choice is kept as its cumulative shares of 1 << _SHARE; a share goes to its goal by 1 / 2 ** rate, faster while a context is new.
-_SHARE, _LEAST = 15, 16
-_GOAL = np.array([[i * _LEAST if i <= d else (1 << _SHARE) - (16 - i) * _LEAST for i in range(17)] for d in range(16)], np.int32)
-_RATE = np.array([1, 2, 2, 3, 3, 3, 4, 4, 4, 4, 4, 4, *[5] * 20, 6], np.int32)
-#: First row of each level of the 16-way choices: after 0, 1, 2 and 3 hexadecimal digits, of which _KEPT bits choose the row.
-_LEVELS = (0, 1, 17, 273)
-_KEPT = (1 << 10) - 1
-_ROWS = 273 + _KEPT + 1
+_HEAD = struct.Struct("<4sHIIII")  # magic, version, ids, lanes, crc32 of the ids, bytes of the index
+_VERSION = 2
+
+_LOW, _REST = 1 << 32, (1 << 32) - 1
+#: Shares of ids are of 1 << _SHARE. _NEW stands for an id that is new after the one before; order 0 is the context _ALL.
+_SHARE = 20
+_OWN = (1 << _SHARE) - 1
+_NEW = _ALL = MOST_ID + 1
+_SYMBOL = 17
+_SLOTS, _HASH = 16, 19
 
 _grid = np.arange(4096)
-#: ln(p / (1 - p)) in 1/256 of 12-bit probabilities, and its inverse; rounded to integers when made, from the same formula everywhere.
+#: ln(p / (1 - p)) in 1/256 of 12-bit probabilities, its inverse, and log2 in 1/1024; rounded to integers when made, from the same formula everywhere.
 STRETCH = np.rint(np.clip(np.log((_grid + 0.5) / (4095.5 - _grid)) * 256, -2047, 2047)).astype(np.int64)
 SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-(_grid - 2048) / 256))), 32, 4064).astype(np.int64)
+LOG = np.rint(np.log2(np.maximum(np.arange(4097), 0.5) / 4096) * 1024).astype(np.int64)
+
+
+class _Model:
+    """What a block's ids so far say about the next one. Tables are read between `learn`s only."""
+
+    def __init__(self) -> None:
+        # Pairs of an id and the one before it, in order, and their numbers; numbers of all ids.
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.all = np.zeros(MOST_ID + 1, np.int64)
+        # Of every context: its number among those met (-1: none), and the place of its _NEW. Of every place: context and id, the shares below it in all contexts, its own share.
+        self.number, self.new = np.full(_ALL + 1, -1, np.int64), np.zeros(0, np.int64)
+        self.places, self.below, self.share = (np.zeros(0, np.int64) for _ in range(3))
+        # Two ways to a place: by a hash of context and id, and by the first bits of what lies below (how many places begin before the next of these stretches).
+        self.hashed, self.until, self.stretch = np.zeros(1 << _HASH, np.int32), np.zeros(0, np.int32), 0
+        # Of every slot of two ids before: these, the candidate, how often it was asked for and right, the probability to code with (0: not asked).
+        self.tag, self.candidate = np.full(1 << _SLOTS, -1, np.int64), np.zeros(1 << _SLOTS, np.int64)
+        self.asked, self.right, self.chance = (np.zeros(1 << _SLOTS, np.int64) for _ in range(3))
+        self.weights = [50_000, 15_000, 0]
+
+    @staticmethod
+    def slot(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return (last * 40_503 + before * 60_493 >> 3) & (1 << _SLOTS) - 1
+
+    def place(self, context: np.ndarray | int, symbol: np.ndarray) -> np.ndarray:
+        """The places of ids in contexts that have been met: those of _NEW for new ones."""
+        wanted = (context << _SYMBOL) | symbol
+        found = self.hashed[self._hash(wanted)].astype(np.int64)
+        other = np.flatnonzero(self.places[found] != wanted)
+        if len(other):
+            wanted = wanted[other]
+            place = self.places.searchsorted(wanted)
+            found[other] = np.where(self.places[place] == wanted, place, self.new[self.number[wanted >> _SYMBOL]])
+        return found
 
+    @staticmethod
+    def _hash(key: np.ndarray) -> np.ndarray:
+        return (key ^ key >> _SYMBOL - 3) * 40_503 >> 4 & (1 << _HASH) - 1
 
-def block_length(n: int) -> int:
-    """Ids in a block of a group of n: as many as make LANES blocks, within bounds."""
-    return min(BLOCK, max(SHORTEST, -(-n // LANES)))
+    def place_of(self, below: np.ndarray) -> np.ndarray:
+        """The places whose shares cover what is below in all contexts."""
+        stretch = below >> self.stretch
+        found, first = self.until[stretch + 1] - 1, self.until[stretch] - 1
+        several = np.flatnonzero(found != first)
+        if len(several):
+            found[several] = self.below.searchsorted(below[several], "right") - 1
+        return found
+
+    def learn(self, before: np.ndarray, last: np.ndarray, x: np.ndarray) -> None:
+        self.all += np.bincount(x, minlength=MOST_ID + 1)
+        new, times = np.unique(last << _SYMBOL | x, return_counts=True)
+        at = self.pairs.searchsorted(new)
+        known = np.zeros(len(new), bool)
+        known[at < len(self.pairs)] = self.pairs[at[at < len(self.pairs)]] == new[at < len(self.pairs)]
+        self.times[at[known]] += times[known]
+        self.pairs, self.times = np.insert(self.pairs, at[~known], new[~known]), np.insert(self.times, at[~known], times[~known])
+        self._shares()
+        self._candidates(before, last, x)
+
+    def _shares(self) -> None:
+        ids = np.flatnonzero(self.all)
+        keys, times = np.concatenate([self.pairs, _ALL << _SYMBOL | ids]), np.concatenate([self.times, self.all[ids]])
+        contexts, firsts, kinds = np.unique(keys >> _SYMBOL, return_index=True, return_counts=True)
+        totals = np.add.reduceat(times, firsts)
+        number = np.repeat(np.arange(len(contexts)), kinds)
+        # An id that was met n of N times has about (2 n - 1) / 2 N; what is left is for new ones.
+        share = np.maximum((2 * times - 1) * np.repeat((1 << _SHARE) - kinds - 1, kinds) // (2 * totals[number]), 1)
+        self.number[contexts] = np.arange(len(contexts))
+        self.new = firsts + kinds + np.arange(len(contexts))
+        at = np.arange(len(keys)) + number
+        self.places, self.share = (np.empty(len(keys) + len(contexts), np.int64) for _ in range(2))
+        self.places[at], self.places[self.new] = keys, contexts << _SYMBOL | _NEW
+        self.share[at], self.share[self.new] = share, (1 << _SHARE) - np.add.reduceat(share, firsts)
+        self.below = self.share.cumsum() - self.share
+        self.hashed[self._hash(self.places)] = np.arange(len(self.places))
+        self.stretch = max(_SHARE - 8, _SHARE + len(contexts).bit_length() - 20)
+        self.until = np.zeros((len(contexts) << _SHARE >> self.stretch) + 1, np.int32)
+        np.cumsum(np.bincount(self.below >> self.stretch, minlength=len(self.until) - 1), out=self.until[1:])
+
+    def _candidates(self, before: np.ndarray, last: np.ndarray, x: np.ndarray) -> None:
+        size = 1 << _SLOTS
+        slot, tag = self.slot(before, last), before << 16 | last
+        weak = 2 * self.right <= self.asked
+        at = np.flatnonzero(weak[slot])
+        self.asked[weak] = self.right[weak] = 0
+        self.tag[slot[at]], self.candidate[slot[at]] = tag[at], x[at]
+        own = slot[self.tag[slot] == tag]
+        hit = slot[(self.tag[slot] == tag) & (self.candidate[slot] == x)]
+        asked, right = np.bincount(own, minlength=size), np.bincount(hit, minlength=size)
+        # The occurrence that a slot has its candidate from is not counted.
+        fresh = weak & (asked > 0)
+        asked[fresh] -= 1
+        right[fresh] -= 1
+        self.asked += asked
+        self.right += right
+        k = np.flatnonzero(self.asked > 1)
+        self.chance[:] = 0
+        if not len(k):
+            return
+        candidate, context = self.candidate[k], self.tag[k] & MOST_ID
+        order1 = np.clip(self.share[self.place(context, candidate)] >> _SHARE - 12, 1, 4095)
+        order0 = np.clip(self.share[self.place(_ALL, candidate)] >> _SHARE - 12, 1, 4095)
+        inputs = [STRETCH[p] for p in ((2 * self.right[k] + 1) * 4096 // (2 * self.asked[k] + 3), order1, order0)]
+        n = int(asked[k].sum())
+        for last_time in (False, False, True):
+            chance = SQUASH[np.clip((sum(w * s for w, s in zip(self.weights, inputs, strict=True)) >> 16) + 2048, 0, 4095)]
+            if not last_time and n:
+                error = (right[k] << 12) - asked[k] * chance
+                self.weights = [w + int((error * s).sum()) // (32 * n) for w, s in zip(self.weights, inputs, strict=True)]
+        worth = chance * (LOG[chance] - LOG[order1]) + (4096 - chance) * LOG[4096 - chance] > 0
+        self.chance[k] = np.where(worth, chance, 0)
 
 
 def _run(lanes: int, steps: int, ids: np.ndarray | None, words: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Codes ids (lanes x steps) to words and their number per lane, or decodes words to ids."""
-    u64, decode = np.uint64, ids is None
-    every = np.arange(lanes)
-    low, span = np.zeros(lanes, u64), np.full(lanes, (1 << 48) - 1, u64)
-    code, at = np.zeros(lanes, u64), np.zeros(lanes, np.int64)
+    """Codes ids (steps x lanes) to words (a row for each of a lane's) and their number per lane, or decodes words to ids."""
+    decode = ids is None
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, (1 << 48) - 1, np.int64)
+    code, at = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     if decode:
-        ids = np.zeros((lanes, steps), np.int64)
+        ids = np.zeros((steps, lanes), np.int32)
         for k in range(3):
-            code = code << _WORD | words[:, k].astype(u64)
+            code = code << 16 | words[k]
         at += 3
     else:
-        # Cells are wider than the words, for their carries.
-        words = np.zeros((lanes, 4 * steps + 8), np.uint32)
+        # Cells are wider than the words, for their carries; five words are the most that an id can take.
+        words = np.zeros((5 * steps + 8, lanes), np.uint32)
 
-    def narrow(k, lane: np.ndarray, part: np.ndarray, below: np.ndarray, own: np.ndarray) -> None:
-        """The lanes (k: their index) take the share `own` above `below` of their span; part: the span of one count. A word moves at most."""
-        move = part * below.astype(u64)
-        spans = part * own.astype(u64)
+    def narrow(k: np.ndarray, part: np.ndarray, below: np.ndarray | int, own: np.ndarray | int) -> None:
+        """Lanes k take the share `own` above `below` of their span; part: the span of one count."""
         if decode:
-            code[k] -= move
+            code[k] -= part * below
         else:
-            low[k] += move
-        short = spans < _LOW
-        ready = lane[short]
-        if len(ready):
+            low[k] += part * below
+        spans = part * own
+        span[k] = spans
+        ready = k[spans < _LOW]
+        while len(ready):
             if decode:
-                code[ready] = code[ready] << _WORD | words[ready, at[ready]].astype(u64)
+                code[ready] = code[ready] << 16 | words[at[ready], ready]
             else:
                 lows = low[ready]
-                words[ready, at[ready]] = lows >> u64(32)
-                low[ready] = (lows & (_LOW - u64(1))) << _WORD
+                words[at[ready], ready] = lows >> 32
+                low[ready] = (lows & _REST) << 16
             at[ready] += 1
-            spans[short] <<= _WORD
-        span[k] = spans
+            spans = span[ready] << 16
+            span[ready] = spans
+            ready = ready[spans < _LOW]
 
-    t2, t1 = np.zeros((lanes, 1 << _SLOTS2), np.int32), np.zeros((lanes, 1 << _SLOTS1), np.int32)
-    n2, n1, n0 = (np.zeros((lanes, 1 << s), np.uint8) for s in (_SLOTS2, _SLOTS1, _SLOTS0))
-    q2, q1, q0 = (np.full((lanes, n), 1 << 14, np.int64) for n in (_SURE + 1, 2 * _SURE + 3, _SURE + 1))
-    w2, w1, w0 = (np.full(lanes, w, np.int64) for w in (30_000, 25_000, 15_000))
-    digits = np.broadcast_to(np.arange(17, dtype=np.uint16) << (_SHARE - 4), (lanes, _ROWS, 17)).copy()
-    met = np.zeros((lanes, _ROWS), np.uint8)
-    last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    def count(k: np.ndarray, part: np.ndarray, bits: int) -> np.ndarray:
+        """What lanes k of a decoder have next, in parts of their span."""
+        return np.minimum((code[k].view(np.uint64) // part.view(np.uint64)).view(np.int64), (1 << bits) - 1)
 
-    for step in range(steps):
-        h1 = (last * 40_503 >> 3) & (1 << _SLOTS1) - 1
-        h2 = (last * 40_503 + before * 60_493 >> 3) & (1 << _SLOTS2) - 1
-        c1, f1, c2, f2 = t1[every, h1], n1[every, h1].astype(np.int64), t2[every, h2], n2[every, h2].astype(np.int64)
-        guess = np.where(f2 > 0, c2, c1).astype(np.int64)
-        i1 = np.where(c1 == guess, f1, _SURE + 1 + f1)
-        seen = n0[every, guess & (1 << _SLOTS0) - 1]
-        i0 = np.minimum(seen, _SURE)
-        p2, p1, p0 = q2[every, f2], q1[every, i1], q0[every, i0]
-        s2, s1, s0 = STRETCH[p2 >> 4], STRETCH[p1 >> 4], STRETCH[p0 >> 4]
-        p = SQUASH[np.clip((w2 * s2 + w1 * s1 + w0 * s0 >> 16) + 2048, 0, 4095)]
-        part = span >> u64(12)
+    def shared(k: np.ndarray, context: np.ndarray | int) -> np.ndarray:
+        """Codes the ids of lanes k by their shares in contexts; gives those that are new there."""
+        part = span[k] >> _SHARE
         if decode:
-            hit = code // part < p.astype(u64)
+            place = model.place_of((model.number[context] << _SHARE) | count(k, part, _SHARE))
         else:
-            x = ids[:, step]
-            hit = x == guess
-        narrow(slice(None), every, part, np.where(hit, 0, p), np.where(hit, p, 4096 - p))
-        error = ((hit.astype(np.int64) << 12) - p) * 6
-        w2 += s2 * error + 0x2000 >> 14
-        w1 += s1 * error + 0x2000 >> 14
-        w0 += s0 * error + 0x2000 >> 14
-        goal = np.where(hit, 65_535, 0)
-        q2[every, f2] = p2 + (goal - p2 >> 5)
-        q1[every, i1] = p1 + (goal - p1 >> 5)
-        q0[every, i0] = p0 + (goal - p0 >> 5)
+            place = model.place(context, x[k])
+        narrow(k, part, model.below[place] & _OWN, model.share[place])
+        symbol = model.places[place] & (1 << _SYMBOL) - 1
         if decode:
-            x = guess.copy()
-        miss = np.flatnonzero(~hit)
-        if len(miss):
-            prefix = np.zeros(len(miss), np.int64)
-            own = np.arange(len(miss))
-            other = x[miss]
-            for level, first in enumerate(_LEVELS):
-                context = first + (prefix & _KEPT)
-                row = digits[miss, context].astype(np.int32)
-                part = span[miss] >> u64(_SHARE)
-                if decode:
-                    digit = (row[:, 1:] <= (code[miss] // part).astype(np.int32)[:, None]).sum(axis=1)
-                    digit = np.minimum(digit, 15)
-                else:
-                    digit = other >> (12 - 4 * level) & 15
-                below = row[own, digit]
-                narrow(miss, miss, part, below, row[own, digit + 1] - below)
-                times = met[miss, context]
-                digits[miss, context] = row + (_GOAL[digit] - row >> _RATE[times][:, None])
-                met[miss, context] = np.minimum(times + 1, len(_RATE) - 1)
-                prefix = prefix << 4 | digit
+            x[k] = symbol
+        return k[symbol == _NEW]
+
+    model, every = _Model(), np.arange(lanes)
+    last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    history = np.zeros((2, lanes), np.int64)  # the two ids before a round
+    learnt, until = 0, 1
+    for step in range(steps):
+        if step == until:
+            seen = np.concatenate([history, ids[learnt:step].astype(np.int64)])
+            model.learn(seen[:-2].ravel(), seen[1:-1].ravel(), seen[2:].ravel())
+            history, learnt, until = seen[-2:], step, 2 * step
+        x = np.zeros(lanes, np.int64) if decode else ids[step].astype(np.int64)
+        slot = model.slot(before, last)
+        chance = model.chance[slot]
+        k = np.flatnonzero(chance)
+        k = k[model.tag[slot[k]] == (before[k] << 16 | last[k])]
+        left = every
+        if len(k):
+            p, guess, part = chance[k], model.candidate[slot[k]], span[k] >> 12
+            hit = count(k, part, 12) < p if decode else x[k] == guess
+            narrow(k, part, np.where(hit, 0, p), np.where(hit, p, 4096 - p))
             if decode:
-                x[miss] = prefix
+                x[k] = guess
+            done = np.zeros(lanes, bool)
+            done[k[hit]] = True
+            left = np.flatnonzero(~done)
+        context = last[left]
+        met = model.number[context] >= 0
+        new = left[~met]
+        if met.any():
+            new = np.concatenate([new, shared(left[met], context[met])])
+        if len(new) and step:
+            new = shared(new, _ALL)
+        if len(new):
+            part = span[new] >> 16
+            if decode:
+                x[new] = count(new, part, 16)
+            narrow(new, part, x[new], 1)
         if decode:
-            ids[:, step] = x
-        for table, sure, h, c, f in ((t2, n2, h2, c2, f2), (t1, n1, h1, c1, f1)):
-            right, weak = (c == x) & (f > 0), f <= 1
-            sure[every, h] = np.where(right, np.minimum(f + 1, _SURE), np.where(weak, 1, f >> 1))
-            table[every, h] = np.where(right | ~weak, c, x)
-        slot = x & (1 << _SLOTS0) - 1
-        n0[every, slot] = np.minimum(n0[every, slot], 254) + 1
+            ids[step] = x
         before, last = last, x
     if decode:
         return ids, at
     for _ in range(3):
-        words[every, at] = low >> u64(32)
-        low = (low & (_LOW - u64(1))) << _WORD
+        words[at, every] = low >> 32
+        low = (low & _REST) << 16
         at += 1
-    for k in range(int(at.max()) - 1, 0, -1):
-        words[:, k - 1] += words[:, k] >> 16
-    return (words & 0xFFFF).astype(np.uint16), at
+    for k in range(int(at.max(initial=0)) - 1, 0, -1):
+        words[k - 1] += words[k] >> 16
+    return (words[: int(at.max(initial=0))] & 0xFFFF).astype(np.uint16), at
+
+
+def _shape(n: int) -> tuple[int, int]:
+    """Lanes, and ids in each but the last ones, which are filled with zeros."""
+    steps = -(-n // min(LANES, max(n // LANE, 1)))
+    return -(-n // max(steps, 1)), steps
 
 
 def encode(blocks: list[np.ndarray], indexes: list[bytes]) -> list[bytes]:
     """Each block of ids, with bytes of the caller's in front, as bytes."""
-    if not blocks:
-        return []
-    if max(int(b.max(initial=0)) for b in blocks) > MOST_ID:
+    if max((int(b.max(initial=0)) for b in blocks), default=0) > MOST_ID:
         raise ValueError(f"ids above {MOST_ID} can't be coded")
-    steps = max(map(len, blocks))
-    grid = np.zeros((len(blocks), steps), np.int64)
-    for row, block in zip(grid, blocks, strict=True):
-        row[: len(block)] = block
-    words, used = _run(len(blocks), steps, grid, None)
     out = []
-    for block, index, row, n in zip(blocks, indexes, words, used, strict=True):
-        head = _HEAD.pack(MAGIC, 1, len(block), int(n), zlib.crc32(block.astype("<u4").tobytes()), len(index))
-        out.append(head + index + row[:n].astype("<u2").tobytes())
+    for block, index in zip(blocks, indexes, strict=True):
+        lanes, steps = _shape(len(block))
+        grid = np.zeros(lanes * steps, np.int32)
+        grid[: len(block)] = block
+        words, used = _run(lanes, steps, np.ascontiguousarray(grid.reshape(lanes, steps).T), None)
+        head = _HEAD.pack(MAGIC, _VERSION, len(block), lanes, zlib.crc32(block.astype("<u4").tobytes()), len(index))
+        ours = np.arange(len(words))[None, :] < used[:, None]
+        out.append(head + index + used.astype("<u2").tobytes() + words.T[ours].astype("<u2").tobytes())
     return out
 
 
 def decode(blocks: list[bytes]) -> list[tuple[np.ndarray, bytes]]:
     """Ids and the caller's bytes of each block; raises where a checksum doesn't hold."""
-    heads = [_HEAD.unpack_from(b) for b in blocks]
-    for head in heads:
-        if head[:2] != (MAGIC, 1):
-            raise ValueError("not a block of this format")
     found: list[tuple[np.ndarray, bytes]] = []
-    for at in range(0, len(blocks), LANES):
-        some = heads[at : at + LANES]
-        # Two words of room: a decoder reads ahead of what it needs.
-        words = np.zeros((len(some), max(h[3] for h in some) + 8), np.uint16)
-        for row, head, block in zip(words, some, blocks[at : at + LANES], strict=True):
-            row[: head[3]] = np.frombuffer(block, "<u2", head[3], _HEAD.size + head[5])
-        steps = max(h[2] for h in some)
-        if len({h[2] for h in some}) > 1:  # a shorter block may run out of words before the others end
-            words = np.pad(words, ((0, 0), (0, 4 * steps + 8)))
-        ids, _ = _run(len(some), steps, None, words)
-        for row, head, block in zip(ids, some, blocks[at : at + LANES], strict=True):
-            own = row[: head[2]]
-            if zlib.crc32(own.astype("<u4").tobytes()) != head[4]:
-                raise ValueError("a block's checksum doesn't hold")
-            found.append((own, block[_HEAD.size : _HEAD.size + head[5]]))
+    for block in blocks:
+        magic, version, n, lanes, crc, size = _HEAD.unpack_from(block)
+        if (magic, version) != (MAGIC, _VERSION):
+            raise ValueError("not a block of this format")
+        start = _HEAD.size + size
+        used = np.frombuffer(block, "<u2", lanes, start).astype(np.int64)
+        words = np.zeros((lanes, int(used.max(initial=0)) + 8), np.int64)
+        ours = np.arange(words.shape[1])[None, :] < used[:, None]
+        coded = np.frombuffer(block, "<u2", offset=start + 2 * lanes)
+        if (lanes, len(coded)) != (_shape(n)[0], int(used.sum())):
+            raise ValueError("a block's length doesn't hold")
+        words[ours] = coded
+        try:
+            ids, _ = _run(lanes, _shape(n)[1], None, np.ascontiguousarray(words.T))
+        except IndexError:  # beyond the words, or no such place
+            raise ValueError("a block's words don't hold") from None
+        own = ids.T.ravel()[:n]
+        if zlib.crc32(own.astype("<u4").tobytes()) != crc:
+            raise ValueError("a block's checksum doesn't hold")
+        found.append((own, block[_HEAD.size : start]))
     return found

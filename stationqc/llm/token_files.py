@@ -1,7 +1,7 @@
 """Token ids in compressed blocks, written in ascending doc_id order and read back.
 
 Writing deals the texts by ranges of doc_id, one range a part. A part's ids, an end id after every document, go into blocks, which the range coder compresses
-side by side; a block is self-contained: it starts from a blank model, and carries a checksum and the index of its documents. A block has whole documents, or
+one by one; a block is self-contained: it starts from a blank model, and carries a checksum and the index of its documents. A block has whole documents, or
 (`cut`) a piece of one that is longer than a block. Blocks are the rows of a Parquet table, so that any file system works and a lost task leaves nothing behind.
 
 Reading decodes blocks wherever they lie; only the pieces of longer documents are brought together, by part and number.
@@ -45,7 +45,7 @@ def _rows(index: bytes) -> np.ndarray:
 
 
 class _Stream:
-    """Ids of documents in a row, given out as coded blocks, a group at a time."""
+    """Ids of documents in a row, given out as coded blocks."""
 
     def __init__(self) -> None:
         self.docs: list[tuple[tuple[int, ...], np.ndarray]] = []  # (number, doc_id, is_null, start), ids
@@ -56,11 +56,11 @@ class _Stream:
         self.numbers, self.end, self.waiting = self.numbers + 1, self.end + len(ids), self.waiting + len(ids)
 
     def full(self) -> bool:
-        return self.waiting * 5 >= range_coder.LANES * range_coder.BLOCK * 4
+        return self.waiting * 5 >= range_coder.BLOCK * 4
 
     def coded(self) -> Iterator[tuple[int, int, bool, bytes]]:
         """(block, ids, cut, data) of all that waits."""
-        length = range_coder.block_length(self.waiting)
+        length = range_coder.BLOCK
         blocks: list[tuple[list[np.ndarray], list[tuple[int, ...]], bool]] = []
         room = 0
         for about, ids in self.docs:
@@ -74,9 +74,9 @@ class _Stream:
                 blocks[-1][0].append(ids), blocks[-1][1].append((*about, len(ids), 0, len(ids)))
                 room -= len(ids)
         self.docs, self.waiting = [], 0
-        joined = [np.concatenate(parts) for parts, _, _ in blocks]
-        for ids, (_, _, cut), data in zip(joined, blocks, range_coder.encode(joined, [_index(rows) for _, rows, _ in blocks]), strict=True):
-            yield self.blocks, len(ids), cut, data
+        for parts, rows, cut in blocks:
+            ids = np.concatenate(parts)
+            yield self.blocks, len(ids), cut, range_coder.encode([ids], [_index(rows)])[0]
             self.blocks += 1
 
 
@@ -86,7 +86,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, parts: int |
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream, part = _Stream(), TaskContext.get().partitionId()
-        end = np.array([end_id], np.int64)
+        end = np.array([end_id], np.uint32)
 
         def out() -> Iterator[pa.RecordBatch]:
             for block, n, cut, data in stream.coded():
@@ -96,7 +96,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, parts: int |
             for batch in batches:
                 for some in tokens.slices(batch, "text"):
                     for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
-                        stream.add(doc_id, np.concatenate([np.frombuffer(encoder.encode(text or ""), "<u4").astype(np.int64), end]))
+                        stream.add(doc_id, np.concatenate([np.frombuffer(encoder.encode(text or ""), "<u4"), end]))
                         if stream.full():
                             yield from out()
             yield from out()
@@ -111,15 +111,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, range_coder.LANES):
-                some = batch.slice(at, range_coder.LANES)
-                for part, (ids, index) in zip(some.column("part").to_pylist(), range_coder.decode(some.column("data").to_pylist()), strict=True):
-                    rows = _rows(index)
-                    ends = rows[:, 6].cumsum()
-                    data = ids.astype("<u4").tobytes()
-                    pieces = [data[4 * int(e - c) : 4 * int(e)] for e, c in zip(ends, rows[:, 6], strict=True)]
-                    columns = [pa.array(np.full(len(rows), part), pa.int32()), pa.array(rows[:, 0]), pa.array(rows[:, 1], mask=rows[:, 2].astype(bool)), pa.array(rows[:, 3]), pa.array(rows[:, 4]), pa.array(rows[:, 5]), pa.array(pieces, pa.binary())]
-                    yield pa.record_batch(columns, names=["part", "number", "doc_id", "start", "n_tokens", "at", "ids"])
+            for part, block in zip(batch.column("part").to_pylist(), batch.column("data"), strict=True):
+                ((ids, index),) = range_coder.decode([block.as_py()])
+                rows = _rows(index)
+                ends = rows[:, 6].cumsum()
+                data = ids.astype("<u4").tobytes()
+                pieces = [data[4 * int(e - c) : 4 * int(e)] for e, c in zip(ends, rows[:, 6], strict=True)]
+                columns = [pa.array(np.full(len(rows), part), pa.int32()), pa.array(rows[:, 0]), pa.array(rows[:, 1], mask=rows[:, 2].astype(bool)), pa.array(rows[:, 3]), pa.array(rows[:, 4]), pa.array(rows[:, 5]), pa.array(pieces, pa.binary())]
+                yield pa.record_batch(columns, names=["part", "number", "doc_id", "start", "n_tokens", "at", "ids"])
 
     # A row per part, not per document.
     sizes = blocks.groupBy("part").agg(F.sum("n").alias("in_part"))
